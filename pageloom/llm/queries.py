@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pageloom.llm import quality_rules, sharding
+from pageloom.llm import packing, quality_rules, sharding
 from pageloom.llm.catalog import query, table
 
 SHARD_LIMIT = 1 << 20
@@ -30,3 +30,8 @@ def op4_sharding(spark, sf_dir):
 @query()
 def op2_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
