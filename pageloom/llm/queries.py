@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pageloom.llm import packing, quality_rules, sharding
+from pageloom.llm import packing, quality_classifier, quality_rules, sharding, toxicity
 from pageloom.llm.catalog import query, table
 
 SHARD_LIMIT = 1 << 20
@@ -35,3 +35,13 @@ def op2_quality_rules(spark, sf_dir):
 @query()
 def op9_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op10_quality_classifier(spark, sf_dir):
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
