@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pageloom.llm import packing, quality_classifier, quality_rules, sharding, toxicity
+from pageloom.llm import lm_scoring, packing, quality_classifier, quality_rules, sharding, toxicity
 from pageloom.llm.catalog import query, table
 
 SHARD_LIMIT = 1 << 20
@@ -45,3 +45,8 @@ def op8_toxicity(spark, sf_dir):
 @query()
 def op10_quality_classifier(spark, sf_dir):
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op5_lm_scoring(spark, sf_dir):
+    return lm_scoring.lm_scores(table(spark, sf_dir, "documents"))
