@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pageloom.llm import lm_scoring, packing, quality_classifier, quality_rules, sharding, toxicity
+from pageloom.llm import lm_scoring, neighbours, packing, quality_classifier, quality_rules, sharding, toxicity
 from pageloom.llm.catalog import query, table
 
 SHARD_LIMIT = 1 << 20
@@ -50,3 +50,8 @@ def op10_quality_classifier(spark, sf_dir):
 @query()
 def op5_lm_scoring(spark, sf_dir):
     return lm_scoring.lm_scores(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_nearest_neighbours(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
