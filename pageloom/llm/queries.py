@@ -1,8 +1,10 @@
 """The queries: each applies its operator, with production parameters, to its whole table."""
 
+import zlib
+
 from pyspark.sql import functions as F
 
-from pageloom.llm import lm_scoring, neighbours, packing, quality_classifier, quality_rules, sharding, toxicity
+from pageloom.llm import lm_scoring, mixing, neighbours, packing, quality_classifier, quality_rules, sharding, toxicity
 from pageloom.llm.catalog import query, table
 
 SHARD_LIMIT = 1 << 20
@@ -55,3 +57,47 @@ def op5_lm_scoring(spark, sf_dir):
 @query()
 def op3_nearest_neighbours(spark, sf_dir):
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+#: Which domain the checksum gives each of the driver's sources, for SQL without that checksum.
+DOMAINS = {f"src{i}": f"domain{zlib.crc32(f'src{i}'.encode()) % 4}" for i in range(20)}
+
+
+def _fill_sql(name: str, nodes: str, parent: str) -> str:
+    """DuckDB form of a level of the tree: {name}(own columns, budget) from {nodes}(own columns, parent's, cap, weight, key, budget)."""
+    by = f"PARTITION BY {parent}" if parent else ""
+    order = f"{by} ORDER BY cap / weight, key"
+    return f"""
+{name} AS (SELECT * REPLACE (least(cap, max(lvl) OVER ({by}) * weight) AS budget) FROM (
+  SELECT *, (budget - coalesce(sum(cap) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lvl FROM ({nodes})))"""
+
+
+def mixing_sql(documents: str = "documents", columns: str = "doc_id, CAST(epoch AS INTEGER) AS epoch, domain, lang, source, tokens") -> str:
+    """The mix with its default parameters, as DuckDB SQL."""
+    domains = "coalesce(map {" + ", ".join(f"'{k}': '{v}'" for k, v in DOMAINS.items()) + "}[coalesce(source, '')], 'domain0')"
+    node = lambda own, extra: f"SELECT {own}, sum(tokens)::DOUBLE * 2 AS cap, sqrt(sum(tokens)::DOUBLE) AS weight, {own.split(', ')[-1]} AS key, {extra}"
+    return f"""
+WITH rws AS (SELECT *, {domains} AS dm, coalesce(lang, '') AS lg, coalesce(source, '') AS sc,
+                    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tk FROM {documents}),
+lv AS (SELECT dm, lg, sc, sum(tk) AS tokens, count(*) AS n FROM rws WHERE tk > 0 GROUP BY ALL),
+{_fill_sql("l1", node("dm", "(SELECT sum(tokens)::DOUBLE FROM lv) AS budget FROM lv GROUP BY dm"), "")},
+{_fill_sql("l2", "SELECT a.*, l1.budget FROM (" + node("dm, lg", "0 AS z FROM lv GROUP BY dm, lg") + ") a JOIN l1 USING (dm)", "dm")},
+{_fill_sql("l3", "SELECT a.*, l2.budget FROM (" + node("dm, lg, sc", "0 AS z FROM lv GROUP BY dm, lg, sc") + ") a JOIN l2 USING (dm, lg)", "dm, lg")},
+pl AS (SELECT dm, lg, sc, CAST(floor(budget / tokens + 1e-9) AS INTEGER) AS ep, greatest(0.0, budget - floor(budget / tokens + 1e-9) * tokens) AS rest
+       FROM l3 JOIN lv USING (dm, lg, sc)),
+od AS (SELECT *, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '/11/' || ep), 1, 15) AS BIGINT) AS place FROM rws JOIN pl USING (dm, lg, sc) WHERE tk > 0),
+cm AS (SELECT *, sum(tk) OVER (PARTITION BY dm, lg, sc ORDER BY place RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM od),
+tm AS (SELECT *, ep + CASE WHEN cum <= rest THEN 1 ELSE 0 END AS times FROM cm),
+mixed AS (SELECT * EXCLUDE (tokens), CAST(tk AS BIGINT) AS tokens FROM (SELECT *, 0 AS tokens, dm AS domain, unnest(range(0, times)) AS epoch FROM tm WHERE times > 0))
+SELECT {columns} FROM mixed"""
+
+
+
+
+
+@query(mixing_sql())
+def op6_mixing(spark, sf_dir):
+    """Every document as often as a mix of all tokens takes it, at most twice."""
+    out = mixing.mix(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "epoch", "domain", "lang", "source", "tokens")
