@@ -4,7 +4,7 @@ import zlib
 
 from pyspark.sql import functions as F
 
-from pageloom.llm import lm_scoring, mixing, neighbours, packing, quality_classifier, quality_rules, sharding, toxicity
+from pageloom.llm import lm_scoring, mixing, neighbours, ngram_join, packing, quality_classifier, quality_rules, sharding, toxicity
 from pageloom.llm.catalog import query, table
 
 SHARD_LIMIT = 1 << 20
@@ -101,3 +101,8 @@ def op6_mixing(spark, sf_dir):
     """Every document as often as a mix of all tokens takes it, at most twice."""
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "epoch", "domain", "lang", "source", "tokens")
+
+
+@query()
+def op1_ngram_join(spark, sf_dir):
+    return ngram_join.jaccard_join(table(spark, sf_dir, "documents"))
