@@ -4,7 +4,7 @@ import zlib
 
 from pyspark.sql import functions as F
 
-from pageloom.llm import lm_scoring, mixing, neighbours, ngram_join, packing, quality_classifier, quality_rules, sharding, toxicity
+from pageloom.llm import line_dedup, lm_scoring, mixing, neighbours, ngram_join, packing, quality_classifier, quality_rules, sharding, toxicity
 from pageloom.llm.catalog import query, table
 
 SHARD_LIMIT = 1 << 20
@@ -106,3 +106,9 @@ def op6_mixing(spark, sf_dir):
 @query()
 def op1_ngram_join(spark, sf_dir):
     return ngram_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_line_dedup(spark, sf_dir):
+    """All documents that keep a line, without fuzzy copies of earlier lines."""
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
