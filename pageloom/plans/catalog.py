@@ -22,4 +22,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from pageloom.plans import function_queries, scoring_queries  # noqa: E402,F401
+from pageloom.plans import function_queries, page_queries, scoring_queries  # noqa: E402,F401
