@@ -11,7 +11,7 @@ from pageloom.llm.work import SPACE, Scratch, let, words_of
 
 WINDOW = 8
 #: Smallest spread each transformed statistic may have; a group that hardly varies rejects nothing within it.
-FLOORS = {"x_len": 0.8, "x_word": 0.5, "x_symbol": 0.02, "x_repeat": 0.08, "x_lines": 0.08, "x_upper": 0.05, "x_punct": 0.04}
+FLOORS = {"x_len": 0.8, "x_word": 0.5, "x_symbol": 0.02, "x_repeat": 0.12, "x_lines": 0.15, "x_upper": 0.05, "x_punct": 0.04}
 
 
 def _repeated(words: Column) -> Column:
