@@ -40,3 +40,25 @@ def test_report(spark):
     assert r["accuracy"][0]["accuracy"] == 0.5 and r["errors"]["total"] == 1
     md = report.to_markdown(r)
     assert "50.0 %" in md and "| b | y | f | wrong_value | 2 |" in md and report.to_json(r) == report.to_json(r)
+
+
+def test_command_line(spark, tmp_path):
+    import json
+    import struct
+
+    from pageloom.__main__ import main
+
+    images = tmp_path / "images"
+    images.mkdir()
+    for name in ("a", "b"):
+        (images / f"{name}.png").write_bytes(b"\x89PNG\r\n\x1a\n" + b"\0\0\0\rIHDR" + struct.pack(">II", 40, 30) + b"\x08\x02\0\0\0")
+    (tmp_path / "order").write_text("b\na\n")
+    assert main(["inventory", str(images), "--order", str(tmp_path / "order"), "--book", "x", "--out", str(tmp_path / "inv")]) == 0
+    rows = [json.loads(x) for f in (tmp_path / "inv").glob("part*") for x in f.read_text().splitlines()]
+    assert sorted((r["scan_index"], r["scan_id"], r["width"]) for r in rows) == [(0, "b", 40), (1, "a", 40)]
+    assert main(["gold-template", str(images), "--order", str(tmp_path / "order"), "--book", "x", "--out", str(images / "gold")]) == 2
+    book = {"schema_version": "0.3", "book_id": "b", "scans": [{"scan_id": "s0", "scan_index": 0, "observation": {"page_type": "normalPage", "printed_numbers": [{"raw": "7", "numeric_value": 7, "numeral_system": "arabic"}], "subpages": []}}, {"scan_id": "s1", "scan_index": 1}]}
+    (tmp_path / "book.json").write_text(json.dumps(book))
+    assert main(["labels", str(tmp_path / "book.json"), "--out", str(tmp_path / "labels")]) == 0
+    rows = [json.loads(x) for f in (tmp_path / "labels").glob("part*") for x in f.read_text().splitlines()]
+    assert sorted((r["scan_index"], r["page_number"]) for r in rows) == [(0, "7"), (1, "[8]")]
