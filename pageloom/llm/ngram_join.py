@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.work import Memo, Scratch, by_group, byte_words, components
+from pageloom.llm.work import Memo, Scratch, by_group, byte_words, components, mark
 
 SHINGLE = 4
 #: Links: PERCENT * union <= 100 * intersection.
@@ -17,7 +17,7 @@ PERCENT = 85
 #: Bounds: documents from which frequent shingles are learnt, how many are remembered, bits of the filter that holds them.
 SAMPLE, FREQUENT, FILTER_BITS = 16_000, 1 << 18, 22
 CHUNK = 64
-POSTING = 1024
+POSTING = 256
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -51,15 +51,6 @@ def matrix_row(s: np.ndarray, bits: int) -> np.ndarray:
     return row
 
 
-def unpack(data: list[bytes], most: int = 1 << 14) -> np.ndarray:
-    """Packed rows as one matrix, folded (halves joined by OR) to the narrowest of them or to `most` bits."""
-    bits = min(most, *(8 * len(d) for d in data))
-    out = np.zeros((len(data), bits), bool)
-    for k, d in enumerate(data):
-        out[k] = np.unpackbits(np.frombuffer(d, np.uint8), bitorder="little").reshape(-1, bits).any(0)
-    return out
-
-
 def need(n, m):
     """Smallest intersection of sets of n and m shingles that links."""
     return -(-PERCENT * (n + m) // (100 + PERCENT))
@@ -172,7 +163,7 @@ def _group(reps: DataFrame, docs: DataFrame, work: Scratch) -> DataFrame:
     often = work.save(keys.groupBy("end", "key").agg(F.count("*").alias("c")).where("c > 1"), "keys")
     salt = F.pmod(F.xxhash64("h", "end"), F.ceil(F.col("c") / CHUNK))
     dealt = work.save(keys.join(often, ["end", "key"]).select("end", "key", salt.alias("salt"), "h", "doc_id"), "dealt")
-    texts = dealt.join(docs.select("doc_id", "text"), "doc_id").drop("doc_id")
+    texts = mark(work, docs, "doc_id", dealt, "dealt-marks").where("_maybe").drop("_maybe").join(dealt, "doc_id").drop("doc_id")
 
     def link(t: pa.Table):
         h, first = np.unique(t["h"].to_numpy(), return_index=True)
@@ -192,38 +183,109 @@ _shingles = None
 
 
 def _merge(t: pa.Table) -> pa.Table:
-    """One row for a group: sizes of its members, and the union of their rows, as wide as the widest."""
-    bits = t["bits"].to_pylist()
+    """One row for a group: sizes of its members, the union of their rows, as wide as the widest, and what all rows share, as narrow as the narrowest."""
+    bits, core = t["bits"].to_pylist(), t["core"].to_pylist()
     top = max(map(len, bits))
     union = np.zeros(top, np.uint8)
     for b in bits:  # a narrower row says nothing about the halves of a wider one: it fills both
         union |= np.tile(np.frombuffer(b, np.uint8), top // len(b))
-    return pa.table({"g": t["g"][:1], "lo": [min(t["lo"].to_pylist())], "hi": [max(t["hi"].to_pylist())], "members": [sum(t["members"].to_pylist())], "bits": pa.array([union.tobytes()], pa.binary())})
-
-
-def _qualify(t: pa.Table) -> pa.Table | None:
-    """Pairs of groups in one posting whose bound lets a member of one link with a member of the other."""
-    i, j = t["bi"][0].as_py(), t["bj"][0].as_py()
-    g, lo, hi, own = (t[c].to_numpy() for c in ("g", "lo", "hi", "blk"))
-    if len(g) < 2:
-        return None
-    rows = unpack(t["bits"].to_pylist()).astype(np.float32)
-    size, single = rows.sum(1), t["members"].to_numpy() == 1
+    least = min(map(len, core))
+    common = np.full(least, 255, np.uint8)
+    for c in core:
+        common &= np.bitwise_or.reduce(np.frombuffer(c, np.uint8).reshape(-1, least), 0)
+    row = {"g": t["g"][:1], "lo": [min(t["lo"].to_pylist())], "hi": [max(t["hi"].to_pylist())], "members": [sum(t["members"].to_pylist())]}
+    return pa.table(row | {"bits": pa.array([union.tobytes()], pa.binary()), "core": pa.array([common.tobytes()], pa.binary())})
+
+
+class Groups:
+    """Rows of the matrix for groups of one Arrow table: names, sizes, unions and cores, the bits still packed."""
+
+    def __init__(self, t):
+        get = lambda c: t.column(t.schema.get_field_index(c))
+        self.g, self.lo, self.hi = (get(c).to_numpy() for c in ("g", "lo", "hi"))
+        self.bits, self.core = self._bytes(get("bits")), self._bytes(get("core"))
+
+    @staticmethod
+    def _bytes(col):
+        col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
+        at = np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1].astype(np.int64)
+        return np.frombuffer(col.buffers()[2] or b"", np.uint8), at[:-1], np.diff(at)
+
+    def fits(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Sizes that can link at all."""
+        return (self.hi[i] * 100 >= PERCENT * self.lo[j]) & (self.hi[j] * 100 >= PERCENT * self.lo[i])
+
+    def _rows(self, what, at: np.ndarray, size: int, to: int) -> np.ndarray:
+        """Packed rows of `size` bytes each, folded (parts joined by OR) to `to` bytes."""
+        data, offset, _ = what
+        rows = data[offset[at][:, None] + np.arange(size)]
+        return np.bitwise_or.reduce(rows.reshape(len(at), size // to, to), 1)
+
+    def qualify(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which pairs the bound leaves: a member shares no more than its size, less one for each bit that all members of its group have and the other group lacks.
+
+        Rows are compared at the narrower core of the two, so a long document beside a short one keeps its detail against its like.
+        """
+        keep = np.zeros(len(i), bool)
+        shape = np.stack([self.bits[2][i], self.core[2][i], self.bits[2][j], self.core[2][j]], 1)
+        kinds, which = np.unique(shape, axis=0, return_inverse=True)
+        for k, (bi, ci, bj, cj) in enumerate(kinds.tolist()):
+            to, all_ = min(ci, cj), np.flatnonzero(which.ravel() == k)
+            step = max(1, (8 << 20) // max(bi, bj, 1))
+            for at in (all_[x : x + step] for x in range(0, len(all_), step)):
+                x, y = i[at], j[at]
+                lack_x = np.bitwise_count(self._rows(self.core, x, ci, to) & ~self._rows(self.bits, y, bj, to)).sum(1, dtype=np.int64)
+                lack_y = np.bitwise_count(self._rows(self.core, y, cj, to) & ~self._rows(self.bits, x, bi, to)).sum(1, dtype=np.int64)
+                keep[at] = np.minimum(self.hi[x] - lack_x, self.hi[y] - lack_y) >= need(self.lo[x], self.lo[y])
+        return keep
+
+
+def _pairs(g: Groups, i: np.ndarray, j: np.ndarray):
+    """The pairs among rows i and j that stay, each once, the smaller name first."""
+    ok = (g.g[i] != g.g[j]) & g.fits(i, j)
+    i, j = i[ok], j[ok]
+    swap = g.g[i] > g.g[j]
+    i, j = np.where(swap, j, i), np.where(swap, i, j)
+    _, first = np.unique(np.stack([g.g[i], g.g[j]], 1), axis=0, return_index=True) if len(i) else (None, np.zeros(0, np.int64))
+    i, j = i[first], j[first]
+    ok = g.qualify(i, j)
+    return g.g[i[ok]], g.g[j[ok]]
+
+
+def _short_postings(batches):
+    """Pairs of groups in sorted postings of at most POSTING groups: each row meets those up to the end of its posting, all postings of a batch at a time."""
+    held = None
+    for b in batches:
+        t = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+        token = t["token"].to_numpy()
+        end = int(np.searchsorted(token, token[-1])) if len(token) else 0
+        held, t = t.slice(end), t.slice(0, end)
+        yield from _meet(t)
+    if held is not None:
+        yield from _meet(held)
+
+
+def _meet(t: pa.Table):
+    if t.num_rows < 2:
+        return
+    t = t.combine_chunks()
+    token, g = t["token"].to_numpy(), Groups(t)
+    for d in range(1, POSTING):
+        i = np.flatnonzero(token[d:] == token[:-d]) if d < len(token) else []
+        if not len(i):
+            break
+        a, b = _pairs(g, i, i + d)
+        if len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
+def _long_posting(t: pa.Table) -> pa.Table | None:
+    """Pairs of groups of two blocks of one long posting."""
+    t = t.combine_chunks()
+    g, own, i, j = Groups(t), t["blk"].to_numpy(), t["bi"][0].as_py(), t["bj"][0].as_py()
     a, b = np.flatnonzero(own == i), np.flatnonzero(own == j)
-    out = []
-    for k in range(0, len(a), 256):
-        q = a[k : k + 256]
-        both = rows[q] @ rows[b].T
-        # shared shingles: no more than the largest member holds, less one for each bit of a single document that the other group lacks
-        ma = hi[q][:, None] - np.where(single[q][:, None], size[q][:, None] - both, 0)
-        mb = hi[b][None, :] - np.where(single[b][None, :], size[b][None, :] - both, 0)
-        least = need(lo[q][:, None], lo[b][None, :])
-        fits = (np.minimum(ma, mb) >= least - 0.5) & (hi[q][:, None] * 100 >= PERCENT * lo[b][None, :]) & (hi[b][None, :] * 100 >= PERCENT * lo[q][:, None])
-        x, y = np.nonzero(fits)
-        x, y = g[q[x]], g[b[y]]
-        keep = x < y if i == j else x != y
-        out += [(np.minimum(x, y)[keep], np.maximum(x, y)[keep])]
-    x, y = (np.concatenate(z) for z in zip(*out, strict=True))
+    out = [_pairs(g, np.repeat(a[k : k + 64], len(b)), np.tile(b, len(a[k : k + 64]))) for k in range(0, len(a), 64)]
+    x, y = (np.concatenate(z) for z in zip(*out, strict=True)) if out else (np.zeros(0), np.zeros(0))
     return pa.table({"a": x, "b": y}) if len(x) else None
 
 
@@ -234,7 +296,7 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
        shingle are compared in chunks; linked ones form a group. A node alone is a group too.
     2. The matrix: each group's row is the union of its members' shingles, hashed to bits. Linked nodes share a shingle of
        their prefixes, so only groups that share one there are paired; a pair is kept if the bound on the intersection,
-       from what a document's row has beyond the other group's row, allows a link. Postings over POSTING groups are compared
+       from what the rows of all members have beyond the other group's row, allows a link. Postings over POSTING groups are compared
        in pairs of blocks. Pairs within a group are never made.
     3. Kept pairs are opened: the smaller group's members are compared with blocks of the larger one's, exactly.
     4. Components of all links. No link between two components is missed; links within one aren't needed.
@@ -251,26 +313,32 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     first = components(work, work.save(_group(reps, docs, work), "near").distinct(), "one")
     named = work.save(reps.select("h", "doc_id").join(first.select(F.col("v").alias("h"), F.col("c").alias("g")), "h", "left").select("h", "doc_id", F.coalesce("g", "h").alias("g")), "named")
     nodes = work.save(live.join(named, ["h", "doc_id"]).dropDuplicates(["h"]).select("h", "doc_id", "g", "n", "prefix", "bits"), "nodes")
+    seats = work.save(sig.select("doc_id", F.col("n").alias("n_shingles"), "h"), "seats")
+    work.drop("sig", "near", "dealt", "keys", "reps")
     tokens = nodes.select(F.explode("prefix").alias("token"), "g")
     shared = work.save(tokens.groupBy("token").agg(F.min("g").alias("a"), F.max("g").alias("b")).where("a != b").select("token"), "shared")
     matrix = work.save(tokens.join(shared, "token").distinct(), "matrix")
     # groups' rows: those of single documents as they are, of others merged twice, so that no task merges a large group alone
-    one = nodes.select("g", F.col("n").alias("lo"), F.col("n").alias("hi"), F.lit(1).cast("bigint").alias("members"), "bits", F.pmod("h", F.lit(64)).alias("salt"))
+    one = nodes.select("g", F.col("n").alias("lo"), F.col("n").alias("hi"), F.lit(1).cast("bigint").alias("members"), "bits", F.col("bits").alias("core"), F.pmod("h", F.lit(64)).alias("salt"))
     many = work.save(first.select(F.col("c").alias("g")).distinct(), "many")
-    fields = "g bigint, lo bigint, hi bigint, members bigint, bits binary"
+    fields = "g bigint, lo bigint, hi bigint, members bigint, bits binary, core binary"
     merged = by_group(by_group(one.join(many, "g"), ["g", "salt"], _merge, fields), ["g"], _merge, fields)
     groups = work.save(one.drop("salt").join(many, "g", "left_anti").unionByName(merged), "groups")
     long = work.save(matrix.groupBy("token").agg(F.count("*").alias("m")).where(F.col("m") > POSTING), "long")
-    posted = matrix.join(long, "token", "left").withColumn("nb", F.ceil(F.coalesce(F.col("m"), F.lit(1)) / POSTING))
+    rows = groups.drop("members")
+    short = matrix.join(long, "token", "left_anti").join(rows, "g").repartition("token").sortWithinPartitions("token").mapInArrow(_short_postings, "a bigint, b bigint")
+    posted = matrix.join(long, "token").withColumn("nb", F.ceil(F.col("m") / POSTING))
     posted = posted.withColumn("blk", F.pmod(F.xxhash64("g"), F.col("nb"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nb") - 1)))
-    posted = posted.select("token", "g", "blk", F.least("blk", "other").alias("bi"), F.greatest("blk", "other").alias("bj")).join(groups, "g")
-    pairs = work.save(by_group(posted, ["token", "bi", "bj"], _qualify, "a bigint, b bigint").distinct(), "pairs")
+    posted = posted.select("token", "g", "blk", F.least("blk", "other").alias("bi"), F.greatest("blk", "other").alias("bj")).join(rows, "g")
+    pairs = work.save(short.unionByName(by_group(posted, ["token", "bi", "bj"], _long_posting, "a bigint, b bigint")).distinct(), "pairs")
+    work.drop("matrix", "shared", "long")
     second = components(work, _open(pairs, groups, nodes, docs, work), "two")
     final = named.join(second.select(F.col("v").alias("g"), F.col("c").alias("c")), "g", "left").select("h", "doc_id", F.coalesce("c", "g").alias("c"))
     final = work.save(final, "final")
     least = work.save(final.groupBy("c").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("k")).where("k > 1").drop("k"), "least")
     rooms = work.save(final.join(least, "c", "left").select("h", F.coalesce("component_id", "doc_id").alias("component_id")), "rooms")
-    out = sig.select("doc_id", F.col("n").alias("n_shingles"), "h").join(rooms, "h", "left")
+    work.drop("nodes", "groups", "opened")
+    out = seats.join(rooms, "h", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
@@ -281,11 +349,13 @@ def _open(pairs: DataFrame, groups: DataFrame, nodes: DataFrame, docs: DataFrame
     big = (F.col("ma") > F.col("mb")) | ((F.col("ma") == F.col("mb")) & (F.col("a") < F.col("b")))
     blocks = F.ceil(F.greatest("ma", "mb") / 256)
     sized = work.save(sized.select(F.when(big, F.col("a")).otherwise(F.col("b")).alias("big"), F.when(big, F.col("b")).otherwise(F.col("a")).alias("small"), blocks.alias("blocks")), "sized")
+    asks = work.save(sized.join(size.withColumnRenamed("g", "small"), "small").groupBy("big").agg(F.ceil(F.sum("members") / 256).alias("turns")), "asks")
+    sized = sized.join(asks, "big")
     who = nodes.select("g", "h", "doc_id")
-    members = sized.select("big", "blocks").distinct().join(who, F.col("big") == F.col("g")).select("big", F.pmod(F.xxhash64("h"), F.col("blocks")).alias("blk"), "g", "doc_id", F.lit(False).alias("query"))
-    asking = sized.join(who, F.col("small") == F.col("g")).select("big", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("blk"), "g", "doc_id", F.lit(True).alias("query"))
+    members = sized.select("big", "blocks", "turns").distinct().join(who, F.col("big") == F.col("g")).select("big", F.pmod(F.xxhash64("h"), F.col("blocks")).alias("blk"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("turns") - 1)).alias("turn"), "g", "doc_id", F.lit(False).alias("query"))
+    asking = sized.join(who, F.col("small") == F.col("g")).select("big", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("blk"), F.pmod(F.xxhash64("h"), F.col("turns")).alias("turn"), "g", "doc_id", F.lit(True).alias("query"))
     opened = work.save(members.unionByName(asking), "opened")
-    texts = opened.join(docs, "doc_id")
+    texts = mark(work, docs, "doc_id", opened, "opened-marks").where("_maybe").drop("_maybe").join(opened, "doc_id")
 
     def link(t: pa.Table):
         global _shingles
@@ -301,4 +371,4 @@ def _open(pairs: DataFrame, groups: DataFrame, nodes: DataFrame, docs: DataFrame
         found = s.links(np.flatnonzero(query), np.flatnonzero(~query))
         return pa.table({"a": g[[i for i, _ in found]], "b": g[[j for _, j in found]]}) if found else None
 
-    return by_group(texts, ["big", "blk"], link, "a bigint, b bigint")
+    return by_group(texts, ["big", "blk", "turn"], link, "a bigint, b bigint")

@@ -136,6 +136,23 @@ def tokenizer(path: str):
     return t
 
 
+#: Positions of the bitmap that mark() sets: 2 MiB in all, whatever the number of keys.
+BITMAP = 1 << 24
+
+
+def mark(scratch: Scratch, df: DataFrame, key: str, wanted: DataFrame, name: str) -> DataFrame:
+    """df with _maybe: False where the key is certainly not among the column `key` of wanted. Saves shuffling rows that a join would drop.
+
+    A bitmap of fixed size, summed up on the executors in 512 parts; more keys only make it less selective.
+    """
+    at = lambda: F.pmod(F.xxhash64(F.col(key)), F.lit(BITMAP))
+    parts = wanted.select(F.floor(at() / 32768).alias("_part"), (at() % 32768).alias("_at")).groupBy("_part").agg(F.bitmap_construct_agg(F.col("_at")).alias("_bits"))
+    parts = scratch.save(parts, name)
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(at() % 32768 / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.col("_bits").isNotNull() & (F.call_function("getbit", byte, (at() % 8).cast("int")) == 1)
+    return df.withColumn("_part", F.floor(at() / 32768)).join(F.broadcast(parts), "_part", "left").withColumn("_maybe", F.coalesce(hit, F.lit(False))).drop("_part", "_bits")
+
+
 def components(scratch: Scratch, edges: DataFrame, name: str = "cc") -> DataFrame:
     """(v, c) for each vertex of the edges (a, b): c is the smallest vertex that v is joined to.
 
