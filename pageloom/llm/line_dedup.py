@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.work import Scratch, components, let, words_of
+from pageloom.llm.work import Scratch, components, let, mark, words_of
 
 #: Characters of a shingle, and the similarity at which lines are joined, in hundredths.
 LENGTH = 20
@@ -15,20 +15,18 @@ ENDS = 3
 
 
 def shingles(line: Column) -> Column:
-    """The line's distinct shingles as rising hashes.
+    """The distinct shingles of a line in lower case as rising hashes.
 
-    A shingle is the LENGTH characters from the beginning of a word, in lower case with single spaces, or what three
+    A shingle is the LENGTH characters from the beginning of a word, with single spaces, or what three
     words give if that is shorter. Lines whose words are over 24 characters on average (scripts without spaces) have
     a shingle of 8 characters at every character instead.
     """
-    text = F.lower(line)
-
     def of_words(w: Column) -> Column:
         at_words = F.transform(w, lambda x, i: F.xxhash64(F.substring(F.concat_ws(" ", x, F.get(w, i + 1), F.get(w, i + 2)), 1, LENGTH)))
         at_chars = let(F.split(F.array_join(w, " "), ""), lambda c: F.transform(F.sequence(F.lit(1), F.greatest(F.size(c) - 7, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(c, i, 8), ""))))
         return F.when(F.length(line) <= 24 * F.size(w), at_words).otherwise(at_chars)
 
-    return F.sort_array(F.array_distinct(let(words_of(text), of_words)))
+    return F.sort_array(F.array_distinct(let(words_of(line), of_words)))
 
 
 def _bands(ends: Column, side: int) -> Column:
@@ -39,9 +37,9 @@ def _bands(ends: Column, side: int) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no (from 1), line: the lines that have a word."""
+    """doc_id, line_no (from 1), line: the lines that have a word, in lower case."""
     rows = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line")).where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
-    return rows.select("doc_id", (F.col("at") + 1).alias("line_no"), "line")
+    return rows.select("doc_id", (F.col("at") + 1).alias("line_no"), F.lower("line").alias("line"))
 
 
 def duplicate_lines(docs: DataFrame, work: Scratch) -> DataFrame:
@@ -54,22 +52,22 @@ def duplicate_lines(docs: DataFrame, work: Scratch) -> DataFrame:
     each such pair is verified on the full sets.
     """
     signed = _lines(docs).select(
-        "doc_id", "line_no", F.xxhash64(F.lower("line")).alias("h"),
+        "doc_id", "line_no", F.xxhash64("line").alias("h"),
         let(shingles(F.col("line")), lambda s: F.struct(F.size(s).alias("n"), F.slice(s, 1, ENDS).alias("low"), F.slice(s, F.greatest(F.size(s) - (ENDS - 1), F.lit(1)), ENDS).alias("high"))).alias("s"),
     ).select("doc_id", "line_no", "h", "s.*")
     lines = work.save(signed, "lines")
     distinct = work.save(lines.groupBy("h").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("times"), F.first("n").alias("n"), F.first("low").alias("low"), F.first("high").alias("high")), "distinct")
     banded = distinct.select("h", "n", F.explode(F.concat(_bands(F.col("low"), 0), _bands(F.col("high"), 1))).alias("band"))
     ends = work.save(banded.groupBy("band").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a != b"), "ends")
-    met = banded.join(ends, "band").select("h", "n", F.explode(F.array("a", "b")).alias("to")).where("h != to")
+    met = mark(work, banded, "band", ends, "ends-marks").where("_maybe").join(ends, "band").select("h", "n", F.explode(F.array("a", "b")).alias("to")).where("h != to")
     pairs = work.save(met.select(F.least("h", "to").alias("a"), F.greatest("h", "to").alias("b")).distinct(), "pairs")
     sizes = distinct.select("h", "n")
     sized = pairs.join(sizes.select(F.col("h").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("h").alias("b"), F.col("n").alias("nb")), "b")
     pairs = work.save(sized.where((100 * F.col("na") >= PERCENT * F.col("nb")) & (100 * F.col("nb") >= PERCENT * F.col("na"))), "sized")
     wanted = work.save(pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct(), "wanted")
     places = work.save(distinct.join(wanted, "h").groupBy("first.doc_id").agg(F.collect_list(F.struct(F.col("first.line_no").alias("line_no"), "h")).alias("at")), "places")
-    read = docs.select("doc_id", "text").join(places, "doc_id").select(F.split("text", "\n").alias("ls"), "at").select(F.explode(F.transform("at", lambda x: F.struct(x["h"].alias("h"), F.get(F.col("ls"), x["line_no"] - 1).alias("line")))).alias("x"))
-    sets = read.select("x.*").where(F.xxhash64(F.lower("line")) == F.col("h")).select("h", shingles(F.col("line")).alias("set"))
+    read = mark(work, docs.select("doc_id", "text"), "doc_id", places, "places-marks").where("_maybe").join(places, "doc_id").select(F.split("text", "\n").alias("ls"), "at").select(F.explode(F.transform("at", lambda x: F.struct(x["h"].alias("h"), F.lower(F.get(F.col("ls"), x["line_no"] - 1)).alias("line")))).alias("x"))
+    sets = read.select("x.*").where(F.xxhash64("line") == F.col("h")).select("h", shingles(F.col("line")).alias("set"))
     sets = work.save(sets.groupBy("h").agg(F.first("set").alias("set")), "sets")
     half = work.save(pairs.join(sets.select(F.col("h").alias("a"), F.col("set").alias("sa")), "a"), "half")
     both = half.join(sets.select(F.col("h").alias("b"), F.col("set").alias("sb")), "b").withColumn("both", F.size(F.array_intersect("sa", "sb")))
@@ -92,8 +90,10 @@ def dedup_lines(docs: DataFrame, drop_emptied: bool = True) -> DataFrame:
     that share a doc_id count as one document: their lines at the same place are one. Columns beside doc_id and text stay.
     """
     work = Scratch(docs.sparkSession, "lines")
-    removed = duplicate_lines(docs.where(F.col("doc_id").isNotNull()), work).select(F.col("doc_id").alias("_of"), F.col("removed").alias("_removed"))
-    rows = docs.join(removed, docs["doc_id"] == F.col("_of"), "left")
+    removed = duplicate_lines(docs.where(F.col("doc_id").isNotNull()), work)
+    marked = mark(work, docs, "doc_id", removed, "removed-marks")
+    removed = removed.select(F.col("doc_id").alias("_of"), F.col("removed").alias("_removed"))
+    rows = marked.where("_maybe").join(removed, F.col("doc_id") == F.col("_of"), "left")
 
     def kept(ls: Column) -> Column:
         return F.array_join(F.transform(F.array_except(F.sequence(F.lit(1), F.size(ls)), F.col("_removed")), lambda i: F.get(ls, i - 1)), "\n")
@@ -104,4 +104,4 @@ def dedup_lines(docs: DataFrame, drop_emptied: bool = True) -> DataFrame:
         out = out.where(F.col("_removed").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_removed").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+    return out.select(*docs.columns).unionByName(marked.where("not _maybe").select(*docs.columns))
