@@ -17,6 +17,7 @@ from pageloom.llm.work import Memo
 SECOND = frozenset("you your yours yourself ya u du dich dir dein deine deinen deiner ihr euch sie tu te toi ton ta tes vous votre vos tú ti tuyo usted ustedes os vosotros su".split())
 _LEET = str.maketrans("013457@$!|", "oieastasil")
 _EDGE = re.compile(r"^\W+|\W+$")
+_MARKS = ".,;:!?\"'()[]"
 _INNER = re.compile(r"[\W\d_]")
 _SAME = re.compile(r"(.)\1{2,}")
 LEXICON = 2000
@@ -52,20 +53,24 @@ def featurizer(lexicon: dict[str, float]):
     """text -> FEATURES numbers. Each distinct word is looked at once for a bounded memo; a text costs one lookup a word."""
 
     def flags(raw: str) -> int:
-        bare = _bare(raw)
-        weight = lexicon.get(bare)
-        code = 0
+        bare = raw.strip(_MARKS)
+        if not bare.isalpha():
+            bare = _EDGE.sub("", raw)
+        word = bare.lower()
+        stretched, mixed = bool(_SAME.search(raw)), not bare.isalpha()
+        weight, code = lexicon.get(word), 0
         if weight is not None:
             code |= 1 | min(255, int(weight * 16)) << 8
-        elif (w := lexicon.get(_plain(raw))) is not None and len(_plain(raw)) > 3:
+        elif (stretched or mixed) and len(p := _plain(raw)) > 3 and (w := lexicon.get(p)) is not None:
             code |= 2 | min(255, int(w * 16)) << 8
-        elif len(bare) > 6 and any(len(k) > 4 and k in bare for k in strong):
+        elif len(word) > 6 and strong is not None and strong.search(word):
             code |= 128
-        code |= 4 * (bare in SECOND) | 8 * (len(bare) > 1 and raw.isupper()) | 16 * bool(_INNER.search(bare) and any(c.isalpha() for c in bare))
-        return code | 32 * bool(_SAME.search(raw)) | 64 * raw[:1].isupper()
+        code |= 4 * (word in SECOND) | 8 * (len(bare) > 1 and raw.isupper()) | 16 * bool(mixed and _INNER.search(word) and any(c.isalpha() for c in word))
+        return code | 32 * stretched | 64 * raw[:1].isupper()
 
-    strong = [k for k, v in lexicon.items() if v > 3][:200]
-    memo = Memo(flags, 150_000)
+    words = [re.escape(k) for k, v in lexicon.items() if v > 3 and len(k) > 4][:200]
+    strong = re.compile("|".join(words)) if words else None
+    memo = Memo(flags, 400_000)
 
     def features(text: str | None) -> np.ndarray:
         text = text or ""
