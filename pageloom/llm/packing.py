@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pageloom.llm.work import Memo, Scratch, tokenizer
+from pageloom.llm.work import Scratch, byte_words, tokenizer
 
 END_ID = 1
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
@@ -22,26 +22,57 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def encoder(path: str):
-    """text -> its ids and the end id as little-endian unsigned 32-bit bytes.
+class Encoder:
+    """Texts -> their ids and the end id as little-endian unsigned 32-bit bytes.
 
-    The tokenizer drops white space and never joins across it, so ids are found word by word and kept in a bounded memo.
+    The tokenizer drops white space and never joins across it, so ids are found word by word, and words that no memo has
+    yet are encoded together. A-Z in lower case and marks that end a word change no id: the tokenizer lowers all letters, and
+    a run of such marks after a letter or digit is a part of its own. The memo is emptied when it holds MOST words.
     """
-    tok = tokenizer(path)
-    word = Memo(lambda w: array("I", tok.encode(w.decode(), add_special_tokens=False).ids).tobytes())
-    get, end = word.__getitem__, array("I", [END_ID]).tobytes()
-    return lambda text: b"".join([*map(get, (text or "").encode().split()), end])
+
+    MOST, CHUNK, MARKS = 400_000, 256, b".,;:!?"
+
+    def __init__(self, path: str):
+        self.tok, self.memo, self.end = tokenizer(path), {}, array("I", [END_ID]).tobytes()
+
+    def _learn(self, words) -> None:
+        if len(self.memo) + len(words) > self.MOST:
+            self.memo.clear()
+        stems, whole = {}, []
+        for w in words:
+            stem = w.rstrip(self.MARKS)
+            if stem and stem is not w and len(stem) < len(w) and (stem[-1] >= 97 and stem[-1] <= 122):
+                stems[w] = stem
+            else:
+                whole.append(w)
+        need = {x for w, s in stems.items() for x in (s, w[len(s) :]) if x not in self.memo} | {w for w in whole if w not in self.memo}
+        need = list(need)
+        for lo in range(0, len(need), 10_000):
+            part = need[lo : lo + 10_000]
+            for w, e in zip(part, self.tok.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
+                self.memo[w] = array("I", e.ids).tobytes()
+        for w, s in stems.items():
+            self.memo[w] = self.memo[s] + self.memo[w[len(s) :]]
+
+    def __call__(self, texts):
+        for lo in range(0, len(texts), self.CHUNK):
+            words = [byte_words(t) for t in texts[lo : lo + self.CHUNK]]
+            new = set().union(*words)
+            if not new <= self.memo.keys():
+                self._learn(new if len(self.memo) + len(new) > self.MOST else new - self.memo.keys())
+            get = self.memo.__getitem__
+            for w in words:
+                yield b"".join([*map(get, w), self.end])
 
 
 def _pieces(docs: DataFrame, path: str, window: int) -> DataFrame:
     """Each document cut at multiples of the window."""
 
     def run(frames):
-        ids = encoder(path)
+        ids = Encoder(path)
         for f in frames:
             out = []
-            for doc_id, text in zip(f.doc_id, f.text, strict=True):
-                b = memoryview(ids(text))
+            for doc_id, b in zip(f.doc_id, map(memoryview, ids(f.text.tolist())), strict=True):
                 n = len(b) // 4
                 doc_id = None if pd.isna(doc_id) else int(doc_id)
                 for at in range(0, n, window):
@@ -185,12 +216,12 @@ def _read_cut(docs: DataFrame, cut: DataFrame, path: str) -> DataFrame:
     few = mine.join(wanted, F.col("doc_id").eqNullSafe(F.col("of")), "left_semi").dropDuplicates(["doc_id", "text"])
 
     def run(frames):
-        ids = encoder(path)
+        ids = Encoder(path)
         for f in frames:
             memo, crc, ok = ("", b""), [], []
             for text, start, length, total in zip(f.text, f.start, f["length"], f.doc_tokens, strict=True):
                 if memo[0] is not text:
-                    memo = (text, ids(text))
+                    memo = (text, next(ids([text])))
                 b = memo[1][4 * start : 4 * (start + length)]
                 crc.append(zlib.crc32(b))
                 ok.append(len(memo[1]) == 4 * total)
@@ -238,9 +269,9 @@ def sequences(docs: DataFrame, pieces: DataFrame, path: str | None = None) -> Da
     path = path or tokenizer_path()
 
     def run(frames):
-        ids = encoder(path)
+        ids = Encoder(path)
         for f in frames:
-            out = [np.frombuffer(ids(t), "<u4")[s : s + n].astype("int64").tolist() for t, s, n in zip(f.text, f.start, f["length"], strict=True)]
+            out = [np.frombuffer(b, "<u4")[s : s + n].astype("int64").tolist() for b, s, n in zip(ids(f.text.tolist()), f.start, f["length"], strict=True)]
             yield f[["sequence_id", "offset"]].assign(ids=out)
 
     parts = docs.select("doc_id", "text").join(pieces, "doc_id").select("text", "start", "length", "sequence_id", "offset").mapInPandas(run, "sequence_id bigint, offset bigint, ids array<bigint>")
