@@ -18,6 +18,12 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LOW = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
+@functools.cache
+def _own_folder() -> str:
+    """For sessions without a shared folder, as in tests on one machine."""
+    return "file://" + tempfile.mkdtemp(prefix="pageloom-")
+
+
 class Scratch:
     """Intermediate tables of one operator run, as Parquet in the folder that the cluster shares.
 
@@ -28,9 +34,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        if not root:
-            root = "file://" + tempfile.mkdtemp(prefix="pageloom-")
-            spark.conf.set("spark.checkpoint.dir", root)
+        root = root or _own_folder()
         self.spark, self.root = spark, f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
         atexit.register(self._remove, self.root)
 
