@@ -5,35 +5,44 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.work import Scratch, components, let, mark, words_of
+from pageloom.llm.work import SPACE, Scratch, components, let, mark
 
 #: Characters of a shingle, and the similarity at which lines are joined, in hundredths.
-LENGTH = 20
+LENGTH = 5
 PERCENT = 80
-#: Smallest and largest hashes of a line that make up its signature, from either end.
-ENDS = 3
+#: The range of hashes is cut into BINS; the smallest and the largest ENDS hashes of a bin are a band each.
+BINS = 6
+ENDS = 5
+_CUTS = [-(1 << 63) + k * (1 << 64) // BINS for k in range(1, BINS)]
+#: Bands with more lines than this are compared in pairs of blocks of about this size.
+BLOCK = 1024
 
 
-def shingles(line: Column) -> Column:
-    """The distinct shingles of a line in lower case as rising hashes.
+def with_shingles(df: DataFrame, line: str, to: str) -> DataFrame:
+    """df with `to`: hashes of the shingles of `line`, one at every position, some perhaps repeated.
 
-    A shingle is the LENGTH characters from the beginning of a word, with single spaces, or what three
-    words give if that is shorter. Lines whose words are over 24 characters on average (scripts without spaces) have
-    a shingle of 8 characters at every character instead.
+    A shingle is LENGTH characters of the line in lower case with single spaces between words; a shorter line is one shingle.
     """
-    def of_words(w: Column) -> Column:
-        at_words = F.transform(w, lambda x, i: F.xxhash64(F.substring(F.concat_ws(" ", x, F.get(w, i + 1), F.get(w, i + 2)), 1, LENGTH)))
-        at_chars = let(F.split(F.array_join(w, " "), ""), lambda c: F.transform(F.sequence(F.lit(1), F.greatest(F.size(c) - 7, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(c, i, 8), ""))))
-        return F.when(F.length(line) <= 24 * F.size(w), at_words).otherwise(at_chars)
-
-    return F.sort_array(F.array_distinct(let(words_of(line), of_words)))
-
-
-def _bands(ends: Column, side: int) -> Column:
-    """Keys of the pairs among the ENDS hashes of one side; a line with one shingle has that alone."""
-    n = F.size(ends)
-    pairs = [(i, j) for i in range(ENDS) for j in range(i + 1, ENDS)]
-    return F.filter(F.array(*[F.when((n > j) | ((n == 1) & F.lit((i, j) == (0, 1))), F.xxhash64(F.lit(side), F.get(ends, F.lit(i)), F.get(ends, F.lit(j)))) for i, j in pairs]), lambda x: x.isNotNull())
+    text = F.regexp_replace(F.btrim(F.lower(line), F.lit(" \t\n\x0b\x0c\r")), SPACE + "+", " ")
+    # four bytes a character, so that a position is found without reading what is before it
+    df = df.withColumn("_code", F.encode(text, "UTF-32"))
+    at = F.sequence(F.lit(1), F.greatest(F.octet_length("_code") - (4 * LENGTH - 1), F.lit(1)), F.lit(4))
+    return df.withColumn(to, F.transform(at, lambda i: F.xxhash64(F.substring(F.col("_code"), i, F.lit(4 * LENGTH))))).drop("_code")
+
+
+def with_bands(df: DataFrame, hashes: str) -> DataFrame:
+    """df with n, the number of distinct shingles, and bands: keys that like lines are likely to share. `hashes` goes."""
+    df = df.withColumn("_s", F.sort_array(F.array_distinct(F.concat(hashes, F.array(*map(F.lit, _CUTS)))))).drop(hashes)
+    cuts = [F.array_position("_s", F.lit(c)).cast("int").alias(f"_p{k}") for k, c in enumerate(_CUTS, 1)]
+    df = df.select("*", F.lit(0).alias("_p0"), *cuts, (F.size("_s") + 1).alias(f"_p{BINS}"))
+    keys = []
+    for k in range(BINS):
+        lo, hi = F.col(f"_p{k}"), F.col(f"_p{k + 1}")
+        n = hi - lo - 1
+        keys.append(F.when(n > 0, F.xxhash64(F.lit(k), F.lit(0), F.slice("_s", lo + 1, F.least(n, F.lit(ENDS))))))
+        keys.append(F.when(n > ENDS, F.xxhash64(F.lit(k), F.lit(1), F.slice("_s", hi - ENDS, ENDS))))
+    df = df.withColumn("n", F.size("_s") - len(_CUTS)).withColumn("bands", F.array_compact(F.array(*keys)))
+    return df.drop("_s", *(f"_p{k}" for k in range(BINS + 1)))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -42,38 +51,63 @@ def _lines(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", (F.col("at") + 1).alias("line_no"), F.lower("line").alias("line"))
 
 
+def _like_sizes(n: str, m: str) -> Column:
+    """Whether sets of such sizes can be alike at all."""
+    return (100 * F.col(n) >= PERCENT * F.col(m)) & (100 * F.col(m) >= PERCENT * F.col(n))
+
+
+def _verified(docs: DataFrame, distinct: DataFrame, pairs: DataFrame, work: Scratch, name: str) -> DataFrame:
+    """The pairs (a, na, b, nb) whose lines are alike, as (a, b), by the full sets of their shingles."""
+    wanted = work.save(pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct(), f"{name}-wanted")
+    places = work.save(distinct.join(wanted, "h").groupBy("first.doc_id").agg(F.collect_list(F.struct(F.col("first.line_no").alias("line_no"), "h")).alias("at")), f"{name}-places")
+    read = mark(work, docs.select("doc_id", "text"), "doc_id", places, f"{name}-marks").where("_maybe").join(places, "doc_id").select(F.split("text", "\n").alias("ls"), "at").select(F.explode(F.transform("at", lambda x: F.struct(x["h"].alias("h"), F.lower(F.get(F.col("ls"), x["line_no"] - 1)).alias("line")))).alias("x"))
+    texts = work.save(read.select("x.*").where(F.xxhash64("line") == F.col("h")).dropDuplicates(["h"]), f"{name}-texts")
+    half = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("la")), "a")
+    both = half.join(texts.select(F.col("h").alias("b"), F.col("line").alias("lb")), "b")
+    both = with_shingles(with_shingles(both, "la", "sa").drop("la"), "lb", "sb").drop("lb").withColumn("both", F.size(F.array_intersect("sa", "sb")))
+    edges = work.save(both.where(100 * F.col("both") >= PERCENT * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b"), f"{name}-edges")
+    work.drop(f"{name}-wanted", f"{name}-places", f"{name}-texts")
+    return edges
+
+
+def _across(met: DataFrame, joined: DataFrame, work: Scratch) -> DataFrame:
+    """Pairs (a, na, b, nb) of lines that share a band and are not joined yet, all of them. Large bands are dealt out in pairs of blocks."""
+    at = met.join(joined.select(F.col("v").alias("h"), "c"), "h", "left").select("band", "h", "n", F.coalesce("c", "h").alias("c"))
+    at = work.save(at, "at")
+    open_ = work.save(at.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).where("lo != hi").select("band", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb")), "open")
+    rows = at.join(open_, "band").withColumn("blk", F.pmod(F.xxhash64("h"), F.col("nb")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select("band", F.least("blk", "other").alias("bi"), F.greatest("blk", "other").alias("bj"), "blk", "h", "n", "c")
+    left = rows.where("blk = bi").select("band", "bi", "bj", F.col("h").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
+    right = rows.where("blk = bj").select("band", "bi", "bj", F.col("h").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
+    # within a block each pair is met twice, across blocks once
+    new = (F.col("ca") != F.col("cb")) & _like_sizes("na", "nb") & ((F.col("bi") != F.col("bj")) | (F.col("a") < F.col("b")))
+    pairs = left.join(right, ["band", "bi", "bj"]).where(new)
+    return pairs.select(F.least("a", "b").alias("a"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb")).distinct()
+
+
 def duplicate_lines(docs: DataFrame, work: Scratch) -> DataFrame:
     """doc_id, removed (line numbers): the lines of which a like line comes earlier, by (doc_id, line number).
 
     Lines are alike if a chain of lines of Jaccard similarity 0.8 or more over their shingles joins them. Equal lines are
-    one line with its first place. A signature holds the three smallest and three largest shingle hashes (two bottom-k
-    MinHash sketches); each two of one side are a band, so lines of similarity 0.8 share a band with a probability of 0.99,
-    of 0.9 with 0.999. In each band lines are set against its smallest and its largest hash, never all against all, and
-    each such pair is verified on the full sets.
+    one line with its first place. The shingle hashes of a line fall into BINS ranges; the ENDS smallest and the ENDS largest
+    of each are a band (two bottom-k MinHash sketches a range), those of a smaller bin all together. Lines that share a band
+    are set against its smallest and its largest line first; all pairs of the band that this has not joined follow. Each pair is
+    verified on the full sets.
     """
-    signed = _lines(docs).select(
-        "doc_id", "line_no", F.xxhash64("line").alias("h"),
-        let(shingles(F.col("line")), lambda s: F.struct(F.size(s).alias("n"), F.slice(s, 1, ENDS).alias("low"), F.slice(s, F.greatest(F.size(s) - (ENDS - 1), F.lit(1)), ENDS).alias("high"))).alias("s"),
-    ).select("doc_id", "line_no", "h", "s.*")
+    signed = with_bands(with_shingles(_lines(docs), "line", "s").withColumn("h", F.xxhash64("line")).drop("line"), "s")
     lines = work.save(signed, "lines")
-    distinct = work.save(lines.groupBy("h").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("times"), F.first("n").alias("n"), F.first("low").alias("low"), F.first("high").alias("high")), "distinct")
-    banded = distinct.select("h", "n", F.explode(F.concat(_bands(F.col("low"), 0), _bands(F.col("high"), 1))).alias("band"))
-    ends = work.save(banded.groupBy("band").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a != b"), "ends")
-    met = mark(work, banded, "band", ends, "ends-marks").where("_maybe").join(ends, "band").select("h", "n", F.explode(F.array("a", "b")).alias("to")).where("h != to")
-    pairs = work.save(met.select(F.least("h", "to").alias("a"), F.greatest("h", "to").alias("b")).distinct(), "pairs")
-    sizes = distinct.select("h", "n")
-    sized = pairs.join(sizes.select(F.col("h").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("h").alias("b"), F.col("n").alias("nb")), "b")
-    pairs = work.save(sized.where((100 * F.col("na") >= PERCENT * F.col("nb")) & (100 * F.col("nb") >= PERCENT * F.col("na"))), "sized")
-    wanted = work.save(pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct(), "wanted")
-    places = work.save(distinct.join(wanted, "h").groupBy("first.doc_id").agg(F.collect_list(F.struct(F.col("first.line_no").alias("line_no"), "h")).alias("at")), "places")
-    read = mark(work, docs.select("doc_id", "text"), "doc_id", places, "places-marks").where("_maybe").join(places, "doc_id").select(F.split("text", "\n").alias("ls"), "at").select(F.explode(F.transform("at", lambda x: F.struct(x["h"].alias("h"), F.lower(F.get(F.col("ls"), x["line_no"] - 1)).alias("line")))).alias("x"))
-    sets = read.select("x.*").where(F.xxhash64("line") == F.col("h")).select("h", shingles(F.col("line")).alias("set"))
-    sets = work.save(sets.groupBy("h").agg(F.first("set").alias("set")), "sets")
-    half = work.save(pairs.join(sets.select(F.col("h").alias("a"), F.col("set").alias("sa")), "a"), "half")
-    both = half.join(sets.select(F.col("h").alias("b"), F.col("set").alias("sb")), "b").withColumn("both", F.size(F.array_intersect("sa", "sb")))
-    edges = work.save(both.where(100 * F.col("both") >= PERCENT * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b"), "edges")
-    work.drop("half", "sets", "places", "pairs", "ends")
-    joined = components(work, edges, "lines")
+    distinct = work.save(lines.groupBy("h").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("times"), F.first("n").alias("n"), F.first("bands").alias("bands")), "distinct")
+    banded = distinct.select("h", "n", F.explode("bands").alias("band"))
+    ends = work.save(banded.groupBy("band").agg(F.min("h").alias("a"), F.min_by("n", "h").alias("na"), F.max("h").alias("b"), F.max_by("n", "h").alias("nb")).where("a != b"), "ends")
+    met = work.save(mark(work, banded, "band", ends, "ends-marks").where("_maybe").drop("_maybe").join(ends.select("band"), "band"), "met")
+    to = F.explode(F.array(F.struct(F.col("a").alias("h"), F.col("na").alias("n")), F.struct(F.col("b").alias("h"), F.col("nb").alias("n"))))
+    first = met.join(ends, "band").select("h", "n", to.alias("to")).select("h", "n", F.col("to.h").alias("g"), F.col("to.n").alias("m")).where((F.col("h") != F.col("g")) & _like_sizes("n", "m"))
+    small = F.col("h") < F.col("g")
+    pairs = work.save(first.select(F.least("h", "g").alias("a"), F.when(small, F.col("n")).otherwise(F.col("m")).alias("na"), F.greatest("h", "g").alias("b"), F.when(small, F.col("m")).otherwise(F.col("n")).alias("nb")).distinct(), "pairs")
+    edges = _verified(docs, distinct, pairs, work, "ends")
+    rest = work.save(_across(met, components(work, edges, "ends"), work).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "rest")
+    work.drop("met", "at", "open", "ends", "pairs")
+    joined = components(work, edges.union(_verified(docs, distinct, rest, work, "rest")), "lines")
     named = distinct.select("h", "first", "times").join(joined.select(F.col("v").alias("h"), "c"), "h", "left").where("c is not null or times > 1").select("h", "first", F.coalesce("c", "h").alias("c"))
     named = work.save(named, "named")
     firsts = work.save(named.groupBy("c").agg(F.min("first").alias("keep")), "firsts")
