@@ -55,3 +55,8 @@ def test_one_letter_in_a_short_line(spark):
     want, got = kept(lines), run(spark, lines)
     assert len(want) <= 105 and want <= got
     assert len(got - want) <= 3  # links that no band shows
+
+
+def test_the_end_of_a_long_word_counts(spark):
+    lines = [f"source: https://example.org/articles/{k}" for k in ("1234567890", "abcdefghij")] + ["Ab", "AB", "𝔘𝔘 x", "你好", "你们"]
+    assert run(spark, lines) == kept(lines) == {0, 1, 2, 4, 5, 6}
