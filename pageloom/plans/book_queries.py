@@ -273,7 +273,7 @@ def q_alto_text(spark, sf_dir):
     """Documents wrapped as ALTO sidecars and read back through the OCR source."""
     d = table(spark, sf_dir, "documents")
     name = F.concat(F.lit("d"), F.col("doc_id").cast("string"))
-    words = F.array_join(F.transform(F.slice(F.split(F.regexp_replace("text", '[<>&"]', ""), r"\s+"), 1, 40), lambda w: F.concat(F.lit('<String CONTENT="'), w, F.lit('"/>'))), "")
+    words = F.array_join(F.transform(F.split(F.regexp_replace("text", '[<>&"]', ""), r"\s+"), lambda w: F.concat(F.lit('<String CONTENT="'), w, F.lit('"/>'))), "")
     xml = F.concat(F.lit('<alto xmlns="http://www.loc.gov/standards/alto/ns-v4#"><Layout><TextBlock><TextLine>'), words, F.lit("</TextLine></TextBlock></Layout></alto>"))
     out = inventory.attach_ocr(d.select(name.alias("scan_id")), d.select(F.concat(name, F.lit(".xml")).alias("filename"), F.encode(xml, "UTF-8").alias("content")))
     return out.select("scan_id", "ocr.status", "ocr.format", F.col("ocr.chars").cast("bigint").alias("chars"), "ocr_text")
