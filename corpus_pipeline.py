@@ -13,6 +13,8 @@ from pageloom.llm.work import Scratch
 
 #: Documents that the classifier takes for toxic with this probability go.
 TOXIC = 0.5
+#: Near copies: words of a shingle, and the similarity in hundredths.
+COPY_SHINGLE, COPY_PERCENT = 5, 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +31,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each component of the join. Rows with a NULL doc_id stay; rows that share one stay together."""
     work = Scratch(spark, "copies")
-    rooms = work.save(ngram_join.jaccard_join(docs).where("doc_id != component_id").select("doc_id").distinct(), "gone")
+    rooms = work.save(ngram_join.jaccard_join(docs, COPY_SHINGLE, COPY_PERCENT).where("doc_id != component_id").select("doc_id").distinct(), "gone")
     return docs.join(rooms, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from pageloom.llm.work import Memo, Scratch, by_group, byte_words, components, mark
 
 SHINGLE = 4
-#: Links: PERCENT * union <= 100 * intersection.
+#: Links of the op1 query: PERCENT * union <= 100 * intersection.
 PERCENT = 85
 #: Bounds: documents from which frequent shingles are learnt, how many are remembered, bits of the filter that holds them.
 SAMPLE, FREQUENT, FILTER_BITS = 16_000, 1 << 18, 22
@@ -51,17 +53,17 @@ def matrix_row(s: np.ndarray, bits: int) -> np.ndarray:
     return row
 
 
-def need(n, m):
+def need(n, m, percent: int = PERCENT):
     """Smallest intersection of sets of n and m shingles that links."""
-    return -(-PERCENT * (n + m) // (100 + PERCENT))
+    return -(-percent * (n + m) // (100 + percent))
 
 
-def prefix_length(n: int) -> int:
+def prefix_length(n: int, percent: int = PERCENT) -> int:
     """Two linked sets share one of the first so many shingles of each, in any order that both follow."""
-    return n - -(-PERCENT * n // 100) + 1
+    return n - -(-percent * n // 100) + 1
 
 
-def _learn_frequent(docs: DataFrame) -> np.ndarray:
+def _learn_frequent(docs: DataFrame, size: int) -> np.ndarray:
     """Filter of shingles that several sampled documents hold. It only sets the order in which prefixes are taken: any filter is right."""
     key = F.xxhash64(F.col("doc_id"), F.lit(3))
     edge = docs.select(key.alias("k")).orderBy("k").limit(SAMPLE).agg(F.max("k")).first()[0]
@@ -70,7 +72,7 @@ def _learn_frequent(docs: DataFrame) -> np.ndarray:
         return np.packbits(bits)
 
     def run(frames):
-        shingles = shingler()
+        shingles = shingler(size)
         for f in frames:
             s = [shingles(t) for t in f.text]
             u, n = np.unique(np.concatenate(s), return_counts=True)
@@ -83,11 +85,11 @@ def _learn_frequent(docs: DataFrame) -> np.ndarray:
     return np.packbits(bits)
 
 
-def _signatures(docs: DataFrame, frequent) -> DataFrame:
+def _signatures(docs: DataFrame, frequent, size: int, percent: int) -> DataFrame:
     """doc_id, n, h (hash of the set), lo, hi (its extreme shingles), prefix (rare ones first), bits (its row of the matrix)."""
 
     def run(frames):
-        shingles, often = shingler(), np.unpackbits(frequent.value).astype(bool)
+        shingles, often = shingler(size), np.unpackbits(frequent.value).astype(bool)
         for f in frames:
             out = []
             for doc_id, text in zip(f.doc_id.tolist(), f.text, strict=True):
@@ -97,7 +99,7 @@ def _signatures(docs: DataFrame, frequent) -> DataFrame:
                     out.append((doc_id, 0, None, None, None, [], b""))
                     continue
                 hot = often[(s >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
-                p = prefix_length(n)
+                p = prefix_length(n, percent)
                 first = np.concatenate([s[~hot][:p], s[hot][:p]])[:p] if hot.any() else s[:p]
                 h = xxhash.xxh3_64_intdigest(s.tobytes())
                 out.append((doc_id, n, int(np.uint64(h).view(np.int64)), int(s[:1].view(np.int64)[0]), int(s[-1:].view(np.int64)[0]), first.view(np.int64), np.packbits(matrix_row(s, width(n)), bitorder="little").tobytes()))
@@ -124,7 +126,8 @@ class _Rows:
 class Sets:
     """Documents whose links are looked for in one task: bounds first, by the matrix, then exact intersections, none within a component."""
 
-    def __init__(self, texts: list[str], shingles):
+    def __init__(self, texts: list[str], shingles, percent: int = PERCENT):
+        self.percent = percent
         self.s = [shingles(t) for t in texts]
         self.n = np.array([len(x) for x in self.s], np.int64)
         self.up = list(range(len(texts)))
@@ -144,9 +147,9 @@ class Sets:
             q = query[lo : lo + 256]
             both = rows[q] @ rows[member].T
             nq, nm = self.n[q][:, None], self.n[member][None, :]
-            least = need(nq, nm)
+            least = need(nq, nm, self.percent)
             bound = np.minimum(nq - (size[q][:, None] - both), nm - (size[member][None, :] - both))
-            fits = (bound >= least - 0.5) & (nq * 100 >= PERCENT * nm) & (nm * 100 >= PERCENT * nq)
+            fits = (bound >= least - 0.5) & (nq * 100 >= self.percent * nm) & (nm * 100 >= self.percent * nq)
             for a, b in zip(*np.nonzero(fits), strict=True):
                 i, j = int(q[a]), int(member[b])
                 if i == j or self.root(i) == self.root(j):
@@ -157,7 +160,7 @@ class Sets:
         return out
 
 
-def _group(reps: DataFrame, docs: DataFrame, work: Scratch) -> DataFrame:
+def _group(reps: DataFrame, docs: DataFrame, work: Scratch, size: int, percent: int) -> DataFrame:
     """Links among documents that share an extreme shingle, in chunks of about CHUNK that the salt deals out anew for either end."""
     keys = reps.select("h", "doc_id", F.explode(F.array(F.struct(F.lit(0).alias("end"), F.col("lo").alias("key")), F.struct(F.lit(1).alias("end"), F.col("hi").alias("key")))).alias("k")).select("h", "doc_id", "k.*")
     often = work.save(keys.groupBy("end", "key").agg(F.count("*").alias("c")).where("c > 1"), "keys")
@@ -169,9 +172,7 @@ def _group(reps: DataFrame, docs: DataFrame, work: Scratch) -> DataFrame:
         h, first = np.unique(t["h"].to_numpy(), return_index=True)
         if len(h) < 2:
             return None
-        global _shingles
-        _shingles = _shingles or shingler()
-        s = Sets([t["text"][int(i)].as_py() for i in first], _shingles)
+        s = Sets([t["text"][int(i)].as_py() for i in first], _shingler(size), percent)
         at = np.argsort(s.n, kind="stable")
         found = s.links(at, at)
         return pa.table({"a": h[[i for i, _ in found]], "b": h[[j for _, j in found]]}) if found else None
@@ -179,7 +180,10 @@ def _group(reps: DataFrame, docs: DataFrame, work: Scratch) -> DataFrame:
     return by_group(texts, ["end", "key", "salt"], link, "a bigint, b bigint")
 
 
-_shingles = None
+@functools.cache
+def _shingler(size: int):
+    """One a size in each worker."""
+    return shingler(size)
 
 
 def _merge(t: pa.Table) -> pa.Table:
@@ -200,7 +204,8 @@ def _merge(t: pa.Table) -> pa.Table:
 class Groups:
     """Rows of the matrix for groups of one Arrow table: names, sizes, unions and cores, the bits still packed."""
 
-    def __init__(self, t):
+    def __init__(self, t, percent: int):
+        self.percent = percent
         get = lambda c: t.column(t.schema.get_field_index(c))
         self.g, self.lo, self.hi = (get(c).to_numpy() for c in ("g", "lo", "hi"))
         self.bits, self.core = self._bytes(get("bits")), self._bytes(get("core"))
@@ -213,7 +218,7 @@ class Groups:
 
     def fits(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Sizes that can link at all."""
-        return (self.hi[i] * 100 >= PERCENT * self.lo[j]) & (self.hi[j] * 100 >= PERCENT * self.lo[i])
+        return (self.hi[i] * 100 >= self.percent * self.lo[j]) & (self.hi[j] * 100 >= self.percent * self.lo[i])
 
     def _rows(self, what, at: np.ndarray, size: int, to: int) -> np.ndarray:
         """Packed rows of `size` bytes each, folded (parts joined by OR) to `to` bytes."""
@@ -236,7 +241,7 @@ class Groups:
                 x, y = i[at], j[at]
                 lack_x = np.bitwise_count(self._rows(self.core, x, ci, to) & ~self._rows(self.bits, y, bj, to)).sum(1, dtype=np.int64)
                 lack_y = np.bitwise_count(self._rows(self.core, y, cj, to) & ~self._rows(self.bits, x, bi, to)).sum(1, dtype=np.int64)
-                keep[at] = np.minimum(self.hi[x] - lack_x, self.hi[y] - lack_y) >= need(self.lo[x], self.lo[y])
+                keep[at] = np.minimum(self.hi[x] - lack_x, self.hi[y] - lack_y) >= need(self.lo[x], self.lo[y], self.percent)
         return keep
 
 
@@ -252,7 +257,7 @@ def _pairs(g: Groups, i: np.ndarray, j: np.ndarray):
     return g.g[i[ok]], g.g[j[ok]]
 
 
-def _short_postings(batches):
+def _short_postings(batches, percent: int):
     """Pairs of groups in sorted postings of at most POSTING groups: each row meets those up to the end of its posting, all postings of a batch at a time."""
     held = None
     for b in batches:
@@ -260,16 +265,16 @@ def _short_postings(batches):
         token = t["token"].to_numpy()
         end = int(np.searchsorted(token, token[-1])) if len(token) else 0
         held, t = t.slice(end), t.slice(0, end)
-        yield from _meet(t)
+        yield from _meet(t, percent)
     if held is not None:
-        yield from _meet(held)
+        yield from _meet(held, percent)
 
 
-def _meet(t: pa.Table):
+def _meet(t: pa.Table, percent: int):
     if t.num_rows < 2:
         return
     t = t.combine_chunks()
-    token, g = t["token"].to_numpy(), Groups(t)
+    token, g = t["token"].to_numpy(), Groups(t, percent)
     for d in range(1, POSTING):
         i = np.flatnonzero(token[d:] == token[:-d]) if d < len(token) else []
         if not len(i):
@@ -279,18 +284,18 @@ def _meet(t: pa.Table):
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
-def _long_posting(t: pa.Table) -> pa.Table | None:
+def _long_posting(t: pa.Table, percent: int) -> pa.Table | None:
     """Pairs of groups of two blocks of one long posting."""
     t = t.combine_chunks()
-    g, own, i, j = Groups(t), t["blk"].to_numpy(), t["bi"][0].as_py(), t["bj"][0].as_py()
+    g, own, i, j = Groups(t, percent), t["blk"].to_numpy(), t["bi"][0].as_py(), t["bj"][0].as_py()
     a, b = np.flatnonzero(own == i), np.flatnonzero(own == j)
     out = [_pairs(g, np.repeat(a[k : k + 64], len(b)), np.tile(b, len(a[k : k + 64]))) for k in range(0, len(a), 64)]
     x, y = (np.concatenate(z) for z in zip(*out, strict=True)) if out else (np.zeros(0), np.zeros(0))
     return pa.table({"a": x, "b": y}) if len(x) else None
 
 
-def jaccard_join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row: components of documents with 100 |A and B| >= 85 |A or B|.
+def jaccard_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row: components of documents with 100 |A and B| >= percent |A or B|, over shingles of `size` words.
 
     1. Documents with equal sets are one node, named by the set's hash. Nodes that share their smallest or largest
        shingle are compared in chunks; linked ones form a group. A node alone is a group too.
@@ -306,11 +311,11 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     """
     spark, work = docs.sparkSession, Scratch(docs.sparkSession, "ngram")
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    frequent = spark.sparkContext.broadcast(_learn_frequent(docs))
-    sig = work.save(_signatures(docs, frequent), "sig")
+    frequent = spark.sparkContext.broadcast(_learn_frequent(docs, size))
+    sig = work.save(_signatures(docs, frequent, size, percent), "sig")
     live = sig.where("n > 0 and doc_id is not null")
     reps = work.save(live.groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.min("lo").alias("lo"), F.min("hi").alias("hi")), "reps")
-    first = components(work, work.save(_group(reps, docs, work), "near").distinct(), "one")
+    first = components(work, work.save(_group(reps, docs, work, size, percent), "near").distinct(), "one")
     named = work.save(reps.select("h", "doc_id").join(first.select(F.col("v").alias("h"), F.col("c").alias("g")), "h", "left").select("h", "doc_id", F.coalesce("g", "h").alias("g")), "named")
     nodes = work.save(live.join(named, ["h", "doc_id"]).dropDuplicates(["h"]).select("h", "doc_id", "g", "n", "prefix", "bits"), "nodes")
     seats = work.save(sig.select("doc_id", F.col("n").alias("n_shingles"), "h"), "seats")
@@ -326,13 +331,13 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     groups = work.save(one.drop("salt").join(many, "g", "left_anti").unionByName(merged), "groups")
     long = work.save(matrix.groupBy("token").agg(F.count("*").alias("m")).where(F.col("m") > POSTING), "long")
     rows = groups.drop("members")
-    short = matrix.join(long, "token", "left_anti").join(rows, "g").repartition("token").sortWithinPartitions("token").mapInArrow(_short_postings, "a bigint, b bigint")
+    short = matrix.join(long, "token", "left_anti").join(rows, "g").repartition("token").sortWithinPartitions("token").mapInArrow(lambda batches: _short_postings(batches, percent), "a bigint, b bigint")
     posted = matrix.join(long, "token").withColumn("nb", F.ceil(F.col("m") / POSTING))
     posted = posted.withColumn("blk", F.pmod(F.xxhash64("g"), F.col("nb"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nb") - 1)))
     posted = posted.select("token", "g", "blk", F.least("blk", "other").alias("bi"), F.greatest("blk", "other").alias("bj")).join(rows, "g")
-    pairs = work.save(short.unionByName(by_group(posted, ["token", "bi", "bj"], _long_posting, "a bigint, b bigint")).distinct(), "pairs")
+    pairs = work.save(short.unionByName(by_group(posted, ["token", "bi", "bj"], lambda t: _long_posting(t, percent), "a bigint, b bigint")).distinct(), "pairs")
     work.drop("matrix", "shared", "long")
-    second = components(work, _open(pairs, groups, nodes, docs, work), "two")
+    second = components(work, _open(pairs, groups, nodes, docs, work, size, percent), "two")
     final = named.join(second.select(F.col("v").alias("g"), F.col("c").alias("c")), "g", "left").select("h", "doc_id", F.coalesce("c", "g").alias("c"))
     final = work.save(final, "final")
     least = work.save(final.groupBy("c").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("k")).where("k > 1").drop("k"), "least")
@@ -342,7 +347,7 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
-def _open(pairs: DataFrame, groups: DataFrame, nodes: DataFrame, docs: DataFrame, work: Scratch) -> DataFrame:
+def _open(pairs: DataFrame, groups: DataFrame, nodes: DataFrame, docs: DataFrame, work: Scratch, shingle: int, percent: int) -> DataFrame:
     """Links (a, b) between the groups of the pairs, named by group."""
     size = groups.select("g", "members")
     sized = pairs.join(size.select(F.col("g").alias("a"), F.col("members").alias("ma")), "a").join(size.select(F.col("g").alias("b"), F.col("members").alias("mb")), "b")
@@ -358,12 +363,10 @@ def _open(pairs: DataFrame, groups: DataFrame, nodes: DataFrame, docs: DataFrame
     texts = mark(work, docs, "doc_id", opened, "opened-marks").where("_maybe").drop("_maybe").join(opened, "doc_id")
 
     def link(t: pa.Table):
-        global _shingles
-        _shingles = _shingles or shingler()
         query, g = t["query"].to_numpy(), t["g"].to_numpy()
         if query.all() or not query.any():
             return None
-        s = Sets(t["text"].to_pylist(), _shingles)
+        s = Sets(t["text"].to_pylist(), _shingler(shingle), percent)
         for name in np.unique(g):  # one component each from the start
             at = np.flatnonzero(g == name)
             for k in at[1:]:
