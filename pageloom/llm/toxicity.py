@@ -57,7 +57,8 @@ def featurizer(lexicon: dict[str, float]):
         if not bare.isalpha():
             bare = _EDGE.sub("", raw)
         word = bare.lower()
-        stretched, mixed = bool(_SAME.search(raw)), not bare.isalpha()
+        # by the raw word, so that a disguised first or last letter counts; "!" may be one
+        stretched, mixed = bool(_SAME.search(raw)), not raw.strip(_MARKS.replace("!", "")).isalpha()
         weight, code = lexicon.get(word), 0
         if weight is not None:
             code |= 1 | min(255, int(weight * 16)) << 8
@@ -86,7 +87,7 @@ def featurizer(lexicon: dict[str, float]):
             gap = np.minimum(np.abs(second[np.minimum(at, len(second) - 1)] - both), np.abs(second[np.maximum(at - 1, 0)] - both))
         else:
             gap = np.full(len(both), 1000)
-        distinct = len({words[i].lower() for i in hit[:200].tolist()})
+        distinct = len({words[i].lower() for i in hit.tolist()})
         share = lambda bit: float(np.count_nonzero(c & bit)) / n
         rate = lambda s: text.count(s) / chars
         out = [
