@@ -133,15 +133,37 @@ class Lattice:
             arcs.append((j, starts, scores, ids))
         return a, arcs
 
-    def _long(self, part: bytes) -> float:
-        a, n = [0.0] + [-1e30] * len(part), len(part)
+    def _long_forward(self, part: bytes):
+        """Log sums of the ways to each position of one part of any length, and for each end the starts and pieces."""
+        a, n, arcs = [0.0] + [-1e30] * len(part), len(part), []
         for j in range(1, n + 1):
             table = self.v.final if j == n else self.v.inner
-            terms = [a[i] + float(self.logp[k]) for i in range(max(0, j - self.v.longest), j) if (k := table.get(part[i:j])) is not None]
-            if terms:
-                top = max(terms)
-                a[j] = top + math.log(sum(math.exp(x - top) for x in terms))
-        return a[n]
+            found = [(i, k) for i in range(max(0, j - self.v.longest), j) if (k := table.get(part[i:j])) is not None]
+            if found:
+                a[j] = self._add([a[i] + float(self.logp[k]) for i, k in found])
+            arcs.append((j, found))
+        return a, arcs
+
+    @staticmethod
+    def _add(terms: list[float]) -> float:
+        top = max(terms)
+        return top + math.log(sum(math.exp(x - top) for x in terms))
+
+    def _long(self, part: bytes) -> float:
+        return self._long_forward(part)[0][-1]
+
+    def _long_expected(self, part: bytes, sums: np.ndarray) -> None:
+        a, arcs = self._long_forward(part)
+        if a[-1] < -1e29:  # no way through
+            return
+        back = [-1e30] * len(part) + [0.0]
+        for j, found in reversed(arcs):
+            for i, k in found:
+                x = float(self.logp[k]) + back[j]
+                back[i] = self._add([back[i], x])
+                w = math.exp(min(a[i] + x - a[-1], 0.0))
+                if w > 1e-6:
+                    sums[k] += w
 
     def _by_length(self, parts: list[bytes]):
         by: dict[int, list[int]] = {}
@@ -164,14 +186,16 @@ class Lattice:
         return np.array([sum(value[place[p]] for p in c) + glue * (len(c) - 1) for c in cut], float)
 
     def expected(self, words: list[bytes], sums: np.ndarray) -> None:
-        """Adds to sums how often each piece is expected in the words, one each. Parts over MOST bytes teach nothing."""
+        """Adds to sums how often each piece is expected in the words, one each."""
         parts = []
         for w in words:
             c = parts_of(w)
             sums[self.v.glue] += len(c) - 1
             parts += c
-        for n, _, b in self._by_length(parts):
+        for n, at, b in self._by_length(parts):
             if b is None:
+                for k in at:
+                    self._long_expected(parts[k], sums)
                 continue
             a, arcs = self.forward(b)
             back = np.full((n + 1, len(b)), -np.inf)
