@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pageloom.llm.work import Scratch, words_of
+from pageloom.llm.work import Scratch, fresh, has_words, words_of
 
 LEVELS = ["domain", "lang", "source"]
 #: Rows of a leaf that share a bucket of the order when the prefix is looked for.
@@ -79,25 +79,54 @@ def cutoffs(rows: DataFrame, budgets: DataFrame, seed: int, work: Scratch, level
     return plan.select(*levels, "epochs").join(inside, levels, "left").select(*levels, "epochs", F.coalesce("place", "passed", F.lit(-1)).alias("cut"))
 
 
+def _own(docs: DataFrame, domain: Column | None) -> dict[str, Column]:
+    """A row's place in the tree, under names that docs does not have."""
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    of = {"domain": F.coalesce(domain, F.lit("")) if domain is not None else default_domain(F.col("source")), "lang": blank("lang"), "source": blank("source")}
+    return {fresh(docs, f"_{c}"): of[c] for c in LEVELS}
+
+
+def _cut(rows: DataFrame, work: Scratch, budget_share: float, max_epochs: int, seed: int, weights) -> DataFrame:
+    """levels, epochs, cut for each leaf of the rows (doc_id, levels, tokens)."""
+    leaves = work.save(rows.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")), "leaves")
+    total = leaves.agg(F.sum("tokens")).first()[0] or 0
+    budgets = work.save(leaf_budgets(leaves, total * budget_share, max_epochs, weights or {}), "budgets")
+    return work.save(cutoffs(rows, budgets, seed, work).select(*LEVELS, "epochs", "cut"), "cut")
+
+
+def _times(seed: int, epochs: Column, cut: Column) -> Column:
+    return epochs + (order_key(F.col("doc_id"), seed, epochs) <= cut).cast("int")
+
+
+def schedule(docs: DataFrame, budget_share: float = 1.0, max_epochs: int = 2, seed: int = 11, weights: dict[str, dict[str, float]] | None = None, domain: Column | None = None) -> DataFrame:
+    """doc_id, epoch, domain, lang, source, tokens: which rows mix() takes and how often, without their texts, which are read once."""
+    work = Scratch(docs.sparkSession, "mix")
+    own = _own(docs, domain)
+    rows = docs.select("doc_id", *[v.alias(k) for k, v in zip(LEVELS, own.values(), strict=True)], F.size(words_of(F.col("text"))).cast("bigint").alias("tokens"), F.struct("lang", "source").alias("given"))
+    rows = work.save(rows.where("tokens > 0"), "rows")
+    cut = _cut(rows.drop("given"), work, budget_share, max_epochs, seed, weights)
+    taken = rows.join(cut, LEVELS).withColumn("times", _times(seed, F.col("epochs"), F.col("cut"))).where("times > 0")
+    return taken.select("doc_id", F.explode(F.sequence(F.lit(0), F.col("times") - 1)).alias("epoch"), "domain", "given.lang", "given.source", "tokens")
+
+
 def mix(docs: DataFrame, budget_share: float = 1.0, max_epochs: int = 2, seed: int = 11, weights: dict[str, dict[str, float]] | None = None, domain: Column | None = None) -> DataFrame:
     """docs with epoch, domain and tokens: each row as often as its leaf's budget takes it.
 
     The budget is budget_share of all tokens (words). A leaf of (domain, language, source) takes whole epochs, then the
     prefix of one more in that epoch's own seeded order; a document that would pass the budget ends it. NULL languages
     and sources count as the text "" (the rows keep their NULLs). Rows without words have no tokens: they are never taken. Repeated
-    rows stand together in the order and are taken together. If the tree can't hold the budget, every leaf gives
-    max_epochs. Only sums by leaf and bucket are shuffled; texts stay where they are read.
+    rows stand together in the order and are taken together, as do rows that share a doc_id; NULL ids count as the text "".
+    Where docs has a column epoch, domain or tokens, it stays as it is and the new one's name gets a mark before it. If the
+    tree can't hold the budget, every leaf gives max_epochs. Very long texts count as any. No rows give no rows. Only sums by
+    leaf and bucket are shuffled; texts stay where they are read.
     """
     work = Scratch(docs.sparkSession, "mix")
-    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    own = {"_domain": F.coalesce(domain, F.lit("")) if domain is not None else default_domain(F.col("source")), "_lang": blank("lang"), "_source": blank("source")}
-    wide = docs.withColumns(own | {"_tokens": F.size(words_of(F.col("text"))).cast("bigint")})
-    rows = work.save(wide.select("doc_id", *[F.col(f"_{c}").alias(c) for c in LEVELS], F.col("_tokens").alias("tokens")).where("tokens > 0"), "rows")
-    leaves = work.save(rows.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")), "leaves")
-    total = leaves.agg(F.sum("tokens")).first()[0] or 0
-    budgets = work.save(leaf_budgets(leaves, total * budget_share, max_epochs, weights or {}), "budgets")
-    cut = work.save(cutoffs(rows, budgets, seed, work).select(*[F.col(c).alias(f"_{c}") for c in LEVELS], F.col("epochs").alias("_epochs"), F.col("cut").alias("_cut")), "cut")
-    place = order_key(F.col("doc_id"), seed, F.col("_epochs"))
-    times = F.col("_epochs") + (place <= F.col("_cut")).cast("int")
-    taken = wide.where("_tokens > 0").join(cut, [f"_{c}" for c in LEVELS]).withColumn("_times", times).where("_times > 0")
-    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(0), F.col("_times") - 1)).alias("epoch"), F.col("_domain").alias("domain"), F.col("_tokens").alias("tokens"))
+    own = _own(docs, domain)
+    rows = docs.select("doc_id", *[v.alias(k) for k, v in zip(LEVELS, own.values(), strict=True)], F.size(words_of(F.col("text"))).cast("bigint").alias("tokens"))
+    rows = work.save(rows.where("tokens > 0"), "rows")
+    epochs, end = fresh(docs, "_epochs"), fresh(docs, "_cut")
+    cut = _cut(rows, work, budget_share, max_epochs, seed, weights).toDF(*own, epochs, end)
+    times = fresh(docs, "_times")
+    taken = docs.withColumns(own).where(has_words(F.col("text"))).join(cut, list(own)).withColumn(times, _times(seed, F.col(epochs), F.col(end))).where(F.col(times) > 0)
+    added = [F.explode(F.sequence(F.lit(0), F.col(times) - 1)).alias(fresh(docs, "epoch")), F.col(next(iter(own))).alias(fresh(docs, "domain")), F.size(words_of(F.col("text"))).cast("bigint").alias(fresh(docs, "tokens"))]
+    return taken.select(*[F.col(f"`{c}`") for c in docs.columns], *added)

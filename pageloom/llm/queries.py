@@ -93,14 +93,10 @@ mixed AS (SELECT * EXCLUDE (tokens), CAST(tk AS BIGINT) AS tokens FROM (SELECT *
 SELECT {columns} FROM mixed"""
 
 
-
-
-
 @query(mixing_sql())
 def op6_mixing(spark, sf_dir):
     """Every document as often as a mix of all tokens takes it, at most twice."""
-    out = mixing.mix(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "epoch", "domain", "lang", "source", "tokens")
+    return mixing.schedule(table(spark, sf_dir, "documents"))
 
 
 @query()

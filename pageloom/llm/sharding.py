@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.work import Scratch
+from pageloom.llm.work import Scratch, fresh
 
 #: Bits of the key's hash that the directory may use: 15 hex digits of an MD5.
 BITS = 60
@@ -63,6 +63,7 @@ def directory(shards: DataFrame) -> DataFrame:
 
 
 def write_shards(df: DataFrame, key: str, shards: DataFrame, path: str) -> None:
-    """Writes df's rows as one Parquet folder a shard. Rows are dealt by shard, so that each shard is one file."""
-    named = shards.select(F.col("key").alias(key), F.concat_ws("-", F.lpad(F.col("depth").cast("string"), 2, "0"), F.hex("prefix")).alias("shard")).distinct()
-    df.join(named, key).repartition("shard").write.partitionBy("shard").parquet(path)
+    """Writes df's rows as one Parquet folder a shard (depth-prefix), rows with a NULL key too. Rows are dealt by shard, so that each shard is one file."""
+    name, at = fresh(df, "shard"), fresh(df, "_key")
+    named = shards.select(F.col("key").alias(at), F.concat_ws("-", F.lpad(F.col("depth").cast("string"), 2, "0"), F.hex("prefix")).alias(name)).distinct()
+    df.join(named, F.col(key).eqNullSafe(F.col(at))).drop(at).repartition(name).write.partitionBy(name).parquet(path)

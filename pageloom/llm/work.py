@@ -11,6 +11,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StructField, StructType
+
+_TYPES = {
+    "double": (DoubleType(), pa.float64()), "bigint": (LongType(), pa.int64()), "array<double>": (ArrayType(DoubleType()), pa.list_(pa.float64())),
+    "array<bigint>": (ArrayType(LongType()), pa.list_(pa.int64())), "array<binary>": (ArrayType(BinaryType()), pa.list_(pa.binary())),
+}
 
 #: Java and Python forms of the word rule: runs of anything but space and \t..\r.
 SPACE = r"[\x20\x09-\x0D]"
@@ -68,6 +74,10 @@ def words_of(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE + "+"))
 
 
+def has_words(text: Column) -> Column:
+    return F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r")) != ""
+
+
 def crc_mod(doc_id: str, n: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string")) % n
 
@@ -77,6 +87,41 @@ def byte_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_LOW).split()
 
 
+#: Rows of an Arrow batch whose texts are Python objects at one time.
+SLICE = 512
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, with as many marks before it as it takes to be none of df's."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def map_texts(df: DataFrame, keep: list[str], inputs: list[str], make, added: list[tuple[str, str]]) -> DataFrame:
+    """df's columns `keep` as they are, and columns `added` (name, type) that make()(lists of the inputs) gives, a list each.
+
+    Arrow in and out: kept columns pass through unread, so ids keep all their digits beside NULLs and texts aren't copied.
+    make is called once a task; SLICE rows at a time are Python objects.
+    """
+    columns = [*keep, *[c for c in inputs if c not in keep]]
+    place = [columns.index(c) for c in inputs]
+    schema = StructType([df.schema[c] for c in keep] + [StructField(n, _TYPES[t][0]) for n, t in added])
+    names, kinds = schema.names, [_TYPES[t][1] for _, t in added]
+
+    def run(batches):
+        f = make()
+        for b in batches:
+            for lo in range(0, b.num_rows, SLICE):
+                part = b.slice(lo, SLICE)
+                got = f(*[part.column(i).to_pylist() for i in place])
+                cols = [part.column(i) for i in range(len(keep))] + [pa.array(g, k) for g, k in zip(got, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    return df.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(run, schema)
+
+
 class Memo(dict):
     """Values of a function by key; emptied when it holds too many, so that a worker's memory is bounded."""
 
@@ -140,21 +185,28 @@ def tokenizer(path: str):
     return t
 
 
-#: Positions of the bitmap that mark() sets: 2 MiB in all, whatever the number of keys.
-BITMAP = 1 << 24
+#: Bits of mark()'s bitmap: sixteen a key between these bounds, so that at most 32 MiB are broadcast.
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27
 
 
-def mark(scratch: Scratch, df: DataFrame, key: str, wanted: DataFrame, name: str) -> DataFrame:
-    """df with _maybe: False where the key is certainly not among the column `key` of wanted. Saves shuffling rows that a join would drop.
+def mark(scratch: Scratch, df: DataFrame, key: str, wanted: DataFrame, name: str, to: str = "_maybe") -> DataFrame:
+    """df with `to`: False where the key is certainly not among the column `key` of wanted, a written table.
 
-    A bitmap of fixed size, summed up on the executors in 512 parts; more keys only make it less selective.
+    Saves shuffling rows that a join would drop. A bitmap sized by wanted's rows and bounded, summed up on the executors in
+    parts of 32768 bits; with more keys than the bound is meant for it is only less selective.
     """
-    at = lambda: F.pmod(F.xxhash64(F.col(key)), F.lit(BITMAP))
-    parts = wanted.select(F.floor(at() / 32768).alias("_part"), (at() % 32768).alias("_at")).groupBy("_part").agg(F.bitmap_construct_agg(F.col("_at")).alias("_bits"))
-    parts = scratch.save(parts, name)
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(at() % 32768 / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    hit = F.col("_bits").isNotNull() & (F.call_function("getbit", byte, (at() % 8).cast("int")) == 1)
-    return df.withColumn("_part", F.floor(at() / 32768)).join(F.broadcast(parts), "_part", "left").withColumn("_maybe", F.coalesce(hit, F.lit(False))).drop("_part", "_bits")
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * wanted.count()).bit_length()))
+    at = F.xxhash64(F.col(key)).bitwiseAND(F.lit(bits - 1))
+    parts = wanted.select(F.shiftright(at, 15).alias("p"), at.bitwiseAND(F.lit(32767)).alias("b")).groupBy("p").agg(F.bitmap_construct_agg(F.col("b")).alias("bits"))
+    # as whole numbers of 32 bits, which a row finds by its place
+    words = F.transform(F.sequence(F.lit(0), F.lit(1023)), lambda i: F.conv(F.hex(F.substring(F.col("bits"), i * 4 + 1, F.lit(4))), 16, 10).cast("bigint"))
+    part, held = fresh(df, "_part"), fresh(df, "_held")
+    parts = scratch.save(parts.select(F.col("p").alias(part), words.alias(held)), name)
+    byte = F.shiftright(at, 3).bitwiseAND(F.lit(3))
+    shift = ((F.lit(3) - byte) * 8 + at.bitwiseAND(F.lit(7))).cast("int")
+    word = F.get(F.col(held), F.shiftright(at, 5).bitwiseAND(F.lit(1023)).cast("int"))
+    hit = F.call_function("shiftright", word, shift).bitwiseAND(F.lit(1)) == 1
+    return df.withColumn(part, F.shiftright(at, 15)).join(F.broadcast(parts), part, "left").withColumn(to, F.coalesce(hit, F.lit(False))).drop(part, held)
 
 
 def components(scratch: Scratch, edges: DataFrame, name: str = "cc") -> DataFrame:
