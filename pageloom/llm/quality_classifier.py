@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 import zlib
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.llm.learning import MAX_ROWS, FactorisationMachine, labelled
-from pageloom.llm.work import Memo, byte_words
+from pageloom.llm.work import Memo, byte_words, map_texts
 
 WORDS = 1 << 15
 BINS = 16
@@ -23,7 +23,7 @@ def _stats(text: str, words: list[bytes], ids: np.ndarray, n_chars) -> list[floa
     lines = [x for x in text.split("\n") if x.strip()]
     distinct = len(np.unique(ids))
     runs = int((ids[1:] == ids[:-1]).sum()) if len(ids) > 1 else 0
-    upper = sum(1 for c in text if c.isupper()) if len(text) < 200 else len(text) - len(text.translate(_NO_UPPER))
+    upper = int(_capitals()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)].sum())
     given = float(n_chars) if n_chars is not None and n_chars == n_chars else -1.0
     return [
         np.log1p(len(words)), chars / n, upper / chars, text.count("!") / chars, sum(map(text.count, "#*$%&|<>")) / chars, sum(map(text.count, ".,;:")) / chars,
@@ -31,13 +31,18 @@ def _stats(text: str, words: list[bytes], ids: np.ndarray, n_chars) -> list[floa
     ]
 
 
-_NO_UPPER = dict.fromkeys(map(ord, "ABCDEFGHIJKLMNOPQRSTUVWXYZÄÖÜÉÈÊÇÑÓÍÁ"))
 _NO_DIGIT = dict.fromkeys(map(ord, "0123456789"))
 
 
+@functools.cache
+def _capitals() -> np.ndarray:
+    """For each code point whether it is a capital letter."""
+    return np.fromiter(map(str.isupper, map(chr, range(0x110000))), bool, 0x110000)
+
+
 def reader(edges: list[np.ndarray] | None):
     """(text, n_chars) -> statistics, or with bin edges the machine's indices and values, words scaled to length 1 in all."""
-    memo = Memo(lambda w: zlib.crc32(w) & (WORDS - 1))
+    memo = Memo(lambda w: zlib.crc32(w) & (WORDS - 1), 150_000)
 
     def read(text: str | None, n_chars):
         text = text or ""
@@ -59,13 +64,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple
     sample = labelled(docs, labels, "quality", max_rows)
     sample = sample.select("text", "y", F.col("n_chars").cast("double") if "n_chars" in docs.columns else F.lit(None).cast("double").alias("n_chars"))
 
-    def run(frames):
+    def learn():
         read = reader(None)
-        for f in frames:
-            got = [read(t, c) for t, c in zip(f.text, f.n_chars, strict=True)]
-            yield pd.DataFrame({"s": [g[0] for g in got], "u": [g[1].astype("int32") for g in got], "k": [g[2].astype("int32") for g in got], "y": f.y})
+        return lambda texts, n_chars: tuple(zip(*[read(t, c) for t, c in zip(texts, n_chars, strict=True)], strict=True)) or ((), (), ())
 
-    got = sample.mapInPandas(run, "s array<double>, u array<int>, k array<int>, y double").toPandas()
+    # at most max_rows rows, each of at most WORDS numbers however long its text
+    got = map_texts(sample, ["y"], ["text", "n_chars"], learn, [("s", "array<double>"), ("u", "array<bigint>"), ("k", "array<bigint>")]).toPandas()
     s = np.array(got.s.tolist(), float).reshape(len(got), STATS)
     edges = [np.unique(np.quantile(s[:, j], np.linspace(0, 1, BINS + 1)[1:-1]))[: BINS - 1] if len(s) else np.zeros(0) for j in range(STATS)]
     rows = []
@@ -82,23 +86,17 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Data
 
     Learns from labelled rows outside the held-out fifth, at most MAX_ROWS of them. Inputs are the words (hashed), twelve
     statistics of structure in bins, one of them n_chars as given (missing counts as 0). NULL and empty texts have no words
-    and are scored by their statistics. Without labels every score is that of an even chance. Repeated rows each get their row.
+    and are scored by their statistics; very long ones are read whole. Other columns are not read. Without labels every score is that of an even chance. Repeated rows each get their row.
     """
     edges, machine = train(docs, labels)
     shared = docs.sparkSession.sparkContext.broadcast((edges, machine))
 
-    def run(frames):
+    def rate():
         e, m = shared.value
         read = reader(e)
-        for f in frames:
-            out = []
-            for lo in range(0, len(f), 256):
-                part = f.iloc[lo : lo + 256]
-                out.append(m.raw([read(t, c) for t, c in zip(part.text, part.n_chars, strict=True)]))
-            raw = np.concatenate(out) if out else np.zeros(0)
-            yield pd.DataFrame({"doc_id": f.doc_id, "score": 1 / (1 + np.exp(-np.clip(raw.astype(float), -30, 30)))})
+        return lambda texts, n_chars: (1 / (1 + np.exp(-np.clip(np.asarray(m.raw([read(t, c) for t, c in zip(texts, n_chars, strict=True)]), float), -30, 30))),)
 
     cols = docs.select(F.col("doc_id").cast("bigint"), "text", F.col("n_chars").cast("double") if "n_chars" in docs.columns else F.lit(None).cast("double").alias("n_chars"))
-    out = cols.mapInPandas(run, "doc_id bigint, score double")
+    out = map_texts(cols, ["doc_id"], ["text", "n_chars"], rate, [("score", "double")])
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

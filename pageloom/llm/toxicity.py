@@ -6,12 +6,12 @@ import re
 import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.llm.learning import MAX_ROWS, Isotonic, Trees, labelled
-from pageloom.llm.work import Memo
+from pageloom.llm.work import SLICE, Memo, map_texts
 
 #: Pronouns of the second person in the languages of the corpus.
 SECOND = frozenset("you your yours yourself ya u du dich dir dein deine deinen deiner ihr euch sie tu te toi ton ta tes vous votre vos tú ti tuyo usted ustedes os vosotros su".split())
@@ -23,6 +23,8 @@ _SAME = re.compile(r"(.)\1{2,}")
 LEXICON = 2000
 NEAR = 4
 FEATURES = 22
+#: Parts of the sample, by checksums of texts: each is scored by trees that have not seen it.
+FOLDS = 4
 
 
 def _bare(word: str) -> str:
@@ -37,12 +39,15 @@ def _plain(word: str) -> str:
 def learn_lexicon(sample: DataFrame, n_rows: int, n_toxic: int) -> dict[str, float]:
     """At most LEXICON words with the largest log odds of standing in a toxic document, by counts over the sample."""
 
-    def run(frames):
-        for f in frames:
-            out = [(w, y) for t, y in zip(f.text, f.y, strict=True) for w in {_bare(x) for x in (t or "").split()} if w]
-            yield pd.DataFrame(out, columns=["word", "y"])
+    def run(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, SLICE):
+                part = b.slice(lo, SLICE)
+                out = [(w, y) for t, y in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) for w in {_bare(x) for x in (t or "").split()} if w]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in out], pa.string()), pa.array([y for _, y in out], pa.float64())], names=["word", "y"])
 
-    counts = sample.select("text", "y").mapInPandas(run, "word string, y double").groupBy("word").agg(F.count("*").alias("n"), F.sum("y").alias("t"))
+    counts = sample.select("text", "y").mapInArrow(run, "word string, y double").groupBy("word").agg(F.count("*").alias("n"), F.sum("y").alias("t"))
     least = max(3, n_toxic // 500)
     odds = F.log((F.col("t") + 0.5) / (n_toxic + 1)) - F.log((F.col("n") - F.col("t") + 0.5) / (n_rows - n_toxic + 1))
     rows = counts.where(F.col("t") >= least).withColumn("odds", odds).where("odds > 1.5").orderBy(F.desc("odds"), "word").limit(LEXICON).collect()
@@ -64,14 +69,14 @@ def featurizer(lexicon: dict[str, float]):
             code |= 1 | min(255, int(weight * 16)) << 8
         elif (stretched or mixed) and len(p := _plain(raw)) > 3 and (w := lexicon.get(p)) is not None:
             code |= 2 | min(255, int(w * 16)) << 8
-        elif len(word) > 6 and strong is not None and strong.search(word):
+        elif len(word) > 6 and any(word[i : i + n] in strong for n in lengths for i in range(len(word) - n + 1)):
             code |= 128
         code |= 4 * (word in SECOND) | 8 * (len(bare) > 1 and raw.isupper()) | 16 * bool(mixed and _INNER.search(word) and any(c.isalpha() for c in word))
         return code | 32 * stretched | 64 * raw[:1].isupper()
 
-    words = [re.escape(k) for k, v in lexicon.items() if v > 3 and len(k) > 4][:200]
-    strong = re.compile("|".join(words)) if words else None
-    memo = Memo(flags, 400_000)
+    strong = frozenset(k for k, v in lexicon.items() if v > 3 and len(k) > 4)
+    lengths = sorted({len(k) for k in strong})
+    memo = Memo(flags, 150_000)
 
     def features(text: str | None) -> np.ndarray:
         text = text or ""
@@ -106,40 +111,33 @@ class Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
-    """The lexicon is learned from all of the sample; trees from three quarters of it, calibration from the rest."""
+    """The lexicon and the trees are learned from all of the sample, calibration from scores of each fold by trees of the other folds."""
     sample = labelled(docs, labels, "toxic", max_rows).select("text", "y")
     n = sample.agg(F.count("*"), F.sum("y")).first()
     lexicon = learn_lexicon(sample, int(n[0] or 0), int(n[1] or 0))
 
-    def run(frames):
+    def read():
         features = featurizer(lexicon)
-        for f in frames:
-            part = [zlib.crc32((t or "").encode()) % 4 for t in f.text]
-            yield pd.DataFrame({"x": [features(t).tolist() for t in f.text], "y": f.y, "part": part})
+        return lambda texts: ([zlib.crc32((t or "").encode("utf-8", "replace")) % FOLDS for t in texts], [features(t) for t in texts])
 
-    got = sample.mapInPandas(run, "x array<double>, y double, part bigint").toPandas()
-    x, y = np.array(got.x.tolist(), float).reshape(len(got), FEATURES), got.y.to_numpy(float)
-    fit = (got.part != 0).to_numpy()
-    trees = Trees().fit(x[fit], y[fit])
-    rest = ~fit if (~fit).sum() >= 50 else np.ones(len(y), bool)
-    return Model(lexicon, trees, Isotonic().fit(trees.raw(x[rest]) if len(y) else np.zeros(0), y[rest]))
+    got = map_texts(sample, ["y"], ["text"], read, [("fold", "bigint"), ("x", "array<double>")]).toPandas()  # at most max_rows rows of FEATURES numbers
+    x, y, fold = np.array(got.x.tolist(), float).reshape(len(got), FEATURES), got.y.to_numpy(float), got.fold.to_numpy()
+    out = np.zeros(len(y))
+    for k in range(FOLDS if len(y) else 0):
+        out[fold == k] = Trees().fit(x[fold != k], y[fold != k]).raw(x[fold == k])
+    return Model(lexicon, Trees().fit(x, y), Isotonic().fit(out, y))
 
 
-def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """keep and toxicity (0 to 1) for every row; the model, bounded by its lexicon and trees, goes to the executors."""
+def score(docs: DataFrame, model: Model, keep: list[str], to: str = "toxicity") -> DataFrame:
+    """keep and `to` (0 to 1) for every row; the model, bounded by its lexicon and trees, goes to the executors."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep) + ", toxicity double"
-    extra = "text" not in keep
 
-    def run(frames):
+    def rate():
         m = shared.value
         features = featurizer(m.lexicon)
-        for f in frames:
-            x = np.array([features(t) for t in f.text]).reshape(len(f), FEATURES)
-            f = f.assign(toxicity=m.scale(m.trees.raw(x)) if len(f) else np.zeros(0))
-            yield f.drop(columns="text") if extra else f
+        return lambda texts: (m.scale(m.trees.raw(np.array([features(t) for t in texts]).reshape(len(texts), FEATURES))),)
 
-    return docs.select(*keep, *["text"] * extra).mapInPandas(run, schema)
+    return map_texts(docs, keep, ["text"], rate, [(to, "double")])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -147,7 +145,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Learns from labelled rows outside the held-out fifth, at most MAX_ROWS of them. Features: densities of learned
     words, plain and disguised, their nearness to the second person, capitals, punctuation, stretched and mixed words.
-    NULL and empty texts get the score of a text without words. Without labels every score is the same. Repeated rows each
+    Very long texts are read whole. NULL and empty texts get the score of a text without words. Without labels every score is the same. Repeated rows each
     get their row; no other column is read.
     """
     out = score(docs.select("doc_id", "text"), train(docs, labels), ["doc_id"])
