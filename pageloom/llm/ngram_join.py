@@ -101,8 +101,7 @@ def _signatures(docs: DataFrame, frequent, size: int, percent: int) -> DataFrame
                 hot = often[(s >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
                 p = prefix_length(n, percent)
                 first = np.concatenate([s[~hot][:p], s[hot][:p]])[:p] if hot.any() else s[:p]
-                h = xxhash.xxh3_64_intdigest(s.tobytes())
-                out.append((doc_id, n, int(np.uint64(h).view(np.int64)), int(s[:1].view(np.int64)[0]), int(s[-1:].view(np.int64)[0]), first.view(np.int64), np.packbits(matrix_row(s, width(n)), bitorder="little").tobytes()))
+                out.append((doc_id, n, set_hash(s), int(s[:1].view(np.int64)[0]), int(s[-1:].view(np.int64)[0]), first.view(np.int64), np.packbits(matrix_row(s, width(n)), bitorder="little").tobytes()))
             a = list(zip(*out, strict=True)) or [[]] * 7
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a[0], pa.int64()), pa.array(a[1], pa.int64()), pa.array(a[2], pa.int64()), pa.array(a[3], pa.int64()), pa.array(a[4], pa.int64()), pa.array(a[5], pa.list_(pa.int64())), pa.array(a[6], pa.binary())],
@@ -126,11 +125,10 @@ class _Rows:
 class Sets:
     """Documents whose links are looked for in one task: bounds first, by the matrix, then exact intersections, none within a component."""
 
-    def __init__(self, texts: list[str], shingles, percent: int = PERCENT):
-        self.percent = percent
-        self.s = [shingles(t) for t in texts]
+    def __init__(self, sets: list[np.ndarray], percent: int = PERCENT):
+        self.percent, self.s = percent, sets
         self.n = np.array([len(x) for x in self.s], np.int64)
-        self.up = list(range(len(texts)))
+        self.up = list(range(len(sets)))
 
     def root(self, i: int) -> int:
         while self.up[i] != i:
@@ -160,6 +158,25 @@ class Sets:
         return out
 
 
+def set_hash(s: np.ndarray) -> int:
+    """The name of a set, as a signed number."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).view(np.int64))
+
+
+def _sets(t: pa.Table, shingles, *keys: str) -> tuple[list[int], list[np.ndarray]]:
+    """Rows whose text is that of their node, one for each node (and value of keys), and their sets.
+
+    A text is found by its doc_id; other texts that share the id have another hash.
+    """
+    at, sets, seen = [], [], set()
+    for i, (h, text, *key) in enumerate(zip(t["h"].to_pylist(), t["text"].to_pylist(), *[t[k].to_pylist() for k in keys], strict=True)):
+        if (h, *key) not in seen and set_hash(s := shingles(text)) == h:
+            seen.add((h, *key))
+            at.append(i)
+            sets.append(s)
+    return at, sets
+
+
 def _group(reps: DataFrame, docs: DataFrame, work: Scratch, size: int, percent: int) -> DataFrame:
     """Links among documents that share an extreme shingle, in chunks of about CHUNK that the salt deals out anew for either end."""
     keys = reps.select("h", "doc_id", F.explode(F.array(F.struct(F.lit(0).alias("end"), F.col("lo").alias("key")), F.struct(F.lit(1).alias("end"), F.col("hi").alias("key")))).alias("k")).select("h", "doc_id", "k.*")
@@ -169,10 +186,10 @@ def _group(reps: DataFrame, docs: DataFrame, work: Scratch, size: int, percent:
     texts = mark(work, docs, "doc_id", dealt, "dealt-marks").where("_maybe").drop("_maybe").join(dealt, "doc_id").drop("doc_id")
 
     def link(t: pa.Table):
-        h, first = np.unique(t["h"].to_numpy(), return_index=True)
-        if len(h) < 2:
+        if t.num_rows < 2:
             return None
-        s = Sets([t["text"][int(i)].as_py() for i in first], _shingler(size), percent)
+        first, sets = _sets(t, _shingler(size))
+        h, s = t["h"].to_numpy()[first], Sets(sets, percent)
         at = np.argsort(s.n, kind="stable")
         found = s.links(at, at)
         return pa.table({"a": h[[i for i, _ in found]], "b": h[[j for _, j in found]]}) if found else None
@@ -307,7 +324,8 @@ def jaccard_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -
     4. Components of all links. No link between two components is missed; links within one aren't needed.
 
     NULL texts and texts without words have no shingles and stand alone. A NULL doc_id gets a NULL component_id and links nothing.
-    Rows that share a doc_id are one node each by their text; repeated rows appear as often as they occur. No other column is read.
+    Rows that share a doc_id are one node each by their text; repeated rows appear as often as they occur. Very long texts
+    are read whole. No other column is read. No rows give no rows.
     """
     spark, work = docs.sparkSession, Scratch(docs.sparkSession, "ngram")
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
@@ -357,8 +375,8 @@ def _open(pairs: DataFrame, groups: DataFrame, nodes: DataFrame, docs: DataFrame
     asks = work.save(sized.join(size.withColumnRenamed("g", "small"), "small").groupBy("big").agg(F.ceil(F.sum("members") / 256).alias("turns")), "asks")
     sized = sized.join(asks, "big")
     who = nodes.select("g", "h", "doc_id")
-    members = sized.select("big", "blocks", "turns").distinct().join(who, F.col("big") == F.col("g")).select("big", F.pmod(F.xxhash64("h"), F.col("blocks")).alias("blk"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("turns") - 1)).alias("turn"), "g", "doc_id", F.lit(False).alias("query"))
-    asking = sized.join(who, F.col("small") == F.col("g")).select("big", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("blk"), F.pmod(F.xxhash64("h"), F.col("turns")).alias("turn"), "g", "doc_id", F.lit(True).alias("query"))
+    members = sized.select("big", "blocks", "turns").distinct().join(who, F.col("big") == F.col("g")).select("big", F.pmod(F.xxhash64("h"), F.col("blocks")).alias("blk"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("turns") - 1)).alias("turn"), "g", "h", "doc_id", F.lit(False).alias("query"))
+    asking = sized.join(who, F.col("small") == F.col("g")).select("big", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("blk"), F.pmod(F.xxhash64("h"), F.col("turns")).alias("turn"), "g", "h", "doc_id", F.lit(True).alias("query"))
     opened = work.save(members.unionByName(asking), "opened")
     texts = mark(work, docs, "doc_id", opened, "opened-marks").where("_maybe").drop("_maybe").join(opened, "doc_id")
 
@@ -366,7 +384,8 @@ def _open(pairs: DataFrame, groups: DataFrame, nodes: DataFrame, docs: DataFrame
         query, g = t["query"].to_numpy(), t["g"].to_numpy()
         if query.all() or not query.any():
             return None
-        s = Sets(t["text"].to_pylist(), _shingler(shingle), percent)
+        at, sets = _sets(t, _shingler(shingle), "query")
+        query, g, s = query[at], g[at], Sets(sets, percent)
         for name in np.unique(g):  # one component each from the start
             at = np.flatnonzero(g == name)
             for k in at[1:]:
