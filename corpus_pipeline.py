@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.llm import line_dedup, mixing, ngram_join, packing, toxicity
-from pageloom.llm.work import Scratch
+from pageloom.llm.work import Scratch, fresh
 
 #: Documents that the classifier takes for toxic with this probability go.
 TOXIC = 0.5
@@ -20,7 +20,8 @@ COPY_SHINGLE, COPY_PERCENT = 5, 80
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents under the threshold; the model learns from the labels outside their held-out fifth."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity.score(docs, toxicity.train(docs, labels), docs.columns).where(F.col("toxicity") < TOXIC).select(*docs.columns)
+    to = fresh(docs, "toxicity")
+    return toxicity.score(docs, toxicity.train(docs, labels), docs.columns, to).where(F.col(to) < TOXIC).drop(to)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +56,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of sf_dir."""
+    """All stages over the documents of sf_dir: the pieces that packing() gives of what the others keep.
+
+    NULL texts are kept by the first three stages and never taken by mixing, as are texts without words. Rows with a NULL
+    doc_id keep their lines and stand alone in the join. Rows that repeat a doc_id stay or go together there; equal ones keep
+    the lines of both. Columns beyond doc_id, text, lang, source and n_chars pass through up to packing, whatever their names.
+    An empty table gives an empty table.
+    """
     work = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
