@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageloom.functions.text import collapse, comparison_key, covered, parse_reference, plain_words
+from pageloom.operators.nesting import nested
 
 #: Types of pages that belong to the text block, and leaves that contradict them.
 BLOCK_TYPES = ["titlePage", "tableOfContents", "preface", "introduction", "normalPage", "impressum", "colophon", "imprimatur", "dedication", "errata", "appendix", "bibliography", "afterword", "conclusion", "index", "listOfIllustrations", "listOfMaps", "listOfTables"]
@@ -185,12 +186,8 @@ def resolve_references(chapters: DataFrame, page_index: DataFrame) -> DataFrame:
 
 
 def chapter_parents(nodes: DataFrame) -> DataFrame:
-    """nodes (book_id, pos, id, level) with parent_id: the nearest chapter before of an outer level.
-
-    An as-of join on order and level: the chapters before, as an array of the book, searched from the end.
-    """
-    before = F.collect_list(F.struct("level", "id")).over(_by("book_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
-    return nodes.withColumn("parent_id", F.element_at(F.concat(F.array(F.lit(None).cast("string")), F.transform(F.filter(before, lambda x: x["level"] < F.col("level")), lambda x: x["id"])), -1))
+    """nodes (book_id, pos, id, level) with parent_id: the nearest chapter before of an outer level."""
+    return nested(nodes, "book_id", ["pos"], "level").select("me.*", F.col("parent.id").alias("parent_id"))
 
 
 def chapter_bounds(nodes: DataFrame) -> DataFrame:
@@ -200,14 +197,13 @@ def chapter_bounds(nodes: DataFrame) -> DataFrame:
     tells for the node's own start) or its own start; unknown if that start is unknown or earlier.
     """
     by = _by("book_id").orderBy("pos")
-    behind = F.collect_list(F.struct("level", "start_index", "start_spread")).over(by.rowsBetween(1, Window.unboundedFollowing))
-    nxt = F.get(F.filter(behind, lambda x: x["level"] <= F.col("level")), F.lit(0))
-    end, start = nxt["start_index"], F.col("start_index")
-    bound = F.when(start.isNotNull() & end.isNotNull() & (end >= start), F.when((end > start) & ~F.coalesce(nxt["start_spread"], F.lit(False)), end - 1).otherwise(end))
+    d = nested(nodes, "book_id", ["pos"], "level").select("me.*", F.col("closer.start_index").alias("_end"), F.col("closer.start_spread").alias("_spread"))
+    end, start = F.col("_end"), F.col("start_index")
+    bound = F.when(start.isNotNull() & end.isNotNull() & (end >= start), F.when((end > start) & ~F.coalesce("_spread", F.lit(False)), end - 1).otherwise(end))
     started = start.isNotNull()
     twin = F.lag("id").over(_by("book_id", "key", "start_index").orderBy("pos"))
     last = F.last(F.when(started, start), ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, -1))
-    return nodes.withColumns({"end_index": bound, "duplicate_of": F.when(started, twin), "out_of_order": started & F.coalesce(start < last, F.lit(False))})
+    return d.withColumns({"end_index": bound, "duplicate_of": F.when(started, twin), "out_of_order": started & F.coalesce(start < last, F.lit(False))}).drop("_end", "_spread")
 
 
 def competing_observed(observed: DataFrame, fold: bool = True) -> DataFrame:

@@ -177,7 +177,20 @@ def test_retries():
     assert [c["status"] for c in r.calls] == ["http_error", "invalid_response", "ok"]
 
 
-def test_context_fits():
-    assert context._fit(["s" * 50], ["b1", "b2"], ["r1", "r2"], 10_000).endswith("Previous scans:\nr1\nr2")
-    cut = context._fit(["one", "two " * 20], ["head", "x" * 100], ["r"], 30)
-    assert len(cut) <= 30 and cut.startswith("one")
+def test_context_fits(spark):
+    from pyspark.sql import functions as F
+
+    cases = [(["s" * 50], ["b1", "b2"], ["r1", "r2"])]
+    d = spark.createDataFrame(cases, "s array<string>, b array<string>, r array<string>")
+
+    def fit(most):
+        return d.select(context.fitted(F.col("s"), F.col("b"), F.col("r"), most).alias("t")).first().t
+
+    head = "s" * 50
+    assert fit(10_000) == f"{head}\nb1\nb2\nPrevious scans:\nr1\nr2"
+    whole = len(fit(10_000))
+    assert fit(whole) == fit(10_000)
+    assert fit(whole - 1) == f"{head}\nb1\nb2\nPrevious scans:\nr2"
+    assert fit(whole - 4) == f"{head}\nb1\nb2"
+    assert fit(55) == head  # the note on left-out fields does not fit either; the text ends with a line
+    assert fit(20) == "s" * 20
