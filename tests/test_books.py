@@ -194,3 +194,18 @@ def test_context_fits(spark):
     assert fit(whole - 4) == f"{head}\nb1\nb2"
     assert fit(55) == head  # the note on left-out fields does not fit either; the text ends with a line
     assert fit(20) == "s" * 20
+
+
+def test_context_fits(spark):
+    from pyspark.sql import functions as F
+
+    head = "s" * 50
+    d = spark.createDataFrame([([head], ["b1", "b2"], ["r1", "r2"])], "s array<string>, b array<string>, r array<string>")
+    want = {
+        10_000: f"{head}\nb1\nb2\nPrevious scans:\nr1\nr2", 78: f"{head}\nb1\nb2\nPrevious scans:\nr1\nr2",
+        77: f"{head}\nb1\nb2\nPrevious scans:\nr2", 74: f"{head}\nb1\nb2",
+        55: head,  # the note on left-out fields does not fit either; the text ends with a line
+        20: "s" * 20,
+    }
+    got = d.select(*[context.fitted(F.col("s"), F.col("b"), F.col("r"), most).alias(str(most)) for most in want]).first()
+    assert {most: got[str(most)] for most in want} == want
