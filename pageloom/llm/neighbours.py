@@ -8,12 +8,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pageloom.llm.work import Scratch, by_group
+from pageloom.llm.work import Scratch, by_group, mark
 
-#: Bound on the vectors that partition and classifier are fitted on; every vector is indexed.
+#: Bound on the vectors that a partition and its classifier are fitted on; every vector is indexed.
 SAMPLE = 8192
+#: Rows that a part is meant to hold, parts of a level, parts that a query searches, rows of a block.
 ROWS = 1000
 MOST_PARTS = 256
+PROBES = 12
 BLOCK = 1024
 
 
@@ -97,16 +99,46 @@ class Router:
         return z / z.sum(1, keepdims=True)
 
 
-def _exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Inner products summed from the first component to the last, so that equal vectors get equal scores everywhere."""
-    s = np.zeros(len(x))
-    for j in range(x.shape[1]):
-        s += q[j] * x[:, j]
-    return s
+class Index:
+    """Routers of one level, or of two: the parts of the first are parted again, each by a router of its own."""
+
+    def __init__(self, first: Router | None, second: dict[int, Router]):
+        self.first, self.second = first, second
+        self.width = max([1, *(r.w[3].size for r in second.values())])
+
+    def likeliest(self, x: np.ndarray, probes: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each row the numbers of its likeliest leaves, best first, and their probabilities; -1 where there are fewer."""
+        if self.first is None:
+            return np.zeros((len(x), 1), np.int64), np.ones((len(x), 1))
+        p = self.first(x)
+        tops = min(p.shape[1], probes)
+        top = np.argsort(-p, 1, kind="stable")[:, :tops]
+        if not self.second:
+            return top, np.take_along_axis(p, top, 1)
+        leaf = np.full((len(x), tops * self.width), -1, np.int64)
+        share = np.zeros(leaf.shape)
+        for c in np.unique(top):
+            row, nth = np.nonzero(top == c)
+            q = self.second[c](x[row]) if c in self.second else np.ones((len(row), 1))
+            for j in range(q.shape[1]):
+                leaf[row, nth * self.width + j] = c * self.width + j
+                share[row, nth * self.width + j] = p[row, c] * q[:, j]
+        best = np.argsort(-share, 1, kind="stable")[:, :probes]
+        return np.take_along_axis(leaf, best, 1), np.take_along_axis(share, best, 1)
+
+
+def fit_router(x: np.ndarray, parts: int) -> Router:
+    """A balanced partition of the rows' neighbour graph, learnt: a row's target is its part and the parts of its neighbours, half and half."""
+    graph = neighbour_graph(x)
+    part = balanced_partition(graph, parts)
+    target = np.zeros((len(x), parts))
+    np.add.at(target, (np.repeat(np.arange(len(x)), graph.shape[1]), part[graph].ravel()), 0.5 / graph.shape[1])
+    target[np.arange(len(x)), part] += 0.5
+    return Router().fit(x, target)
 
 
 def _nearest(table: pa.Table, k: int) -> pa.Table:
-    """The k nearest of each query of one block, by exact scores."""
+    """The k nearest of each query of one block, by exact scores. A query's number is the hash of its vector."""
     role = table["query"].to_numpy()
     ids = table["vec_id"].to_numpy()
     flat = table["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -117,94 +149,145 @@ def _nearest(table: pa.Table, k: int) -> pa.Table:
         return None
     order = np.argsort(xi, kind="stable")
     x, xi = np.ascontiguousarray(x[order]), xi[order]
-    # of equal vectors only the k + 1 smallest ids can be among the nearest
-    _, same = np.unique(x.view(f"V{8 * x.shape[1]}").ravel(), return_inverse=True)
-    o = np.argsort(same, kind="stable")
-    first = np.r_[True, same[o][1:] != same[o][:-1]]
-    nth = np.arange(len(o)) - np.maximum.accumulate(np.where(first, np.arange(len(o)), 0))
-    few = np.sort(o[nth <= k])
-    x, xi = x[few], xi[few]
-    out = []
+    out, n = [], min(k, len(x))
     for lo in range(0, len(q), 256):
         s = q[lo : lo + 256] @ x.T
-        s[qi[lo : lo + 256, None] == xi[None, :]] = -np.inf
-        for i in range(len(s)):
-            row = s[i]
-            n = min(k, int(np.isfinite(row).sum()))
-            if n:
-                least = np.partition(row, len(row) - n)[len(row) - n]
-                c = np.flatnonzero(row >= least - 1e-9 * max(1.0, abs(least)))
-                e = _exact(q[lo + i], x[c])
-                best = np.lexsort((xi[c], -e))[:n]
-                out.append((np.full(n, qi[lo + i]), xi[c][best], e[best]))
-    if not out:
-        return None
+        least = np.partition(s, len(x) - n, axis=1)[:, len(x) - n]
+        row, c = np.nonzero(s >= (least - 1e-9 * np.maximum(1.0, np.abs(least)))[:, None])
+        e = np.zeros(len(row))
+        for j in range(x.shape[1]):  # from the first component to the last, so that equal vectors get equal scores everywhere
+            e += q[lo + row, j] * x[c, j]
+        best = np.lexsort((xi[c], -e, row))
+        row, c, e = row[best], c[best], e[best]
+        nth = np.arange(len(row)) - np.searchsorted(row, row, "left")
+        few = nth < n
+        out.append((qi[lo + row[few]], xi[c[few]], e[few]))
     a, b, c = (np.concatenate(z) for z in zip(*out, strict=True))
-    return pa.table({"query_id": a, "vec_id": b, "score": c})
+    return pa.table({"same": a, "vec_id": b, "score": c})
+
+
+def _vectors(df: DataFrame) -> DataFrame:
+    """df's rows that take part, with `same`, a hash that stands for the vector."""
+    bad = F.exists("v", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
+    rows = df.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).where((F.size("v") > 0) & ~F.coalesce(bad, F.lit(True))).where(F.exists("v", lambda c: c != 0))
+    return rows.withColumn("same", F.xxhash64("v"))
+
+
+def _sample(rows: DataFrame) -> DataFrame:
+    return rows.orderBy(F.xxhash64(F.col("vec_id"), F.lit(5)), "vec_id").limit(SAMPLE)
 
 
-def nearest(vectors: DataFrame, is_query, k: int = 20, share: float = 0.995, least_parts: int = 4) -> DataFrame:
+def _second_level(rows: DataFrame, first: Router, parts: int, n: int, work: Scratch) -> dict[int, Router]:
+    """A router for each part of the first level, each fitted in a task of its own on at most SAMPLE of the part's rows."""
+    spark, inner = rows.sparkSession, int(min(MOST_PARTS, -(-n // (parts * ROWS))))
+    shared = spark.sparkContext.broadcast(first)
+
+    def coarse(frames):
+        for f in frames:
+            yield f.assign(part=shared.value(np.stack(f.v.to_numpy())).argmax(1).astype("int64") if len(f) else np.zeros(0, "int64"))
+
+    picked = rows.where(F.pmod(F.xxhash64("vec_id", F.lit(9)), F.lit(max(1, 4 * n // (parts * SAMPLE)))) == 0).select("v").mapInPandas(coarse, "v array<double>, part bigint")
+
+    def fit(t: pa.Table) -> pa.Table | None:
+        x = np.stack([np.asarray(v, float) for v in t["v"].to_pylist()[:SAMPLE]])
+        if len(x) < 32:
+            return None
+        r = fit_router(x, int(max(2, min(inner, len(x) // 16))))
+        flat = [np.float64(r.scale), *r.w]
+        return pa.table({"part": t["part"][:1], "w": pa.array([np.concatenate([np.ravel(a) for a in flat]).tolist()], pa.list_(pa.float64()))})
+
+    out, d = {}, first.w[0].shape[0]
+    for row in work.save(by_group(picked, ["part"], fit, "part bigint, w array<double>"), "routers").collect():  # MOST_PARTS rows of a fixed size at most
+        w, r = np.array(row["w"]), Router()
+        h = first.w[0].shape[1]
+        p = (len(w) - 1 - d * h - h) // (h + 1)
+        cuts = np.cumsum([1, d * h, h, h * p])
+        r.scale, r.w = float(w[0]), [a.reshape(s) for a, s in zip(np.split(w, cuts)[1:], [(d, h), (h,), (h, p), (p,)], strict=True)]
+        out[int(row["part"])] = r
+    return out
+
+
+def nearest(vectors: DataFrame, is_query, k: int = 20, probes: int = PROBES) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for each query row, by inner product, ties to the smaller vec_id.
 
-    Columns vec_id and embedding; NULL ids, and vectors that are NULL, empty, zero, of another length than the shortest
-    sampled, or hold a NULL or non-finite component take no part. Every other vector lies in the part that the router
-    finds likeliest. A query searches the likeliest parts, at least `least_parts`, until they hold `share` of its probability
-    and more than 2 k rows. A part is searched in blocks of about BLOCK rows and as many queries, so equal vectors that fill
-    a third of the table are dealt to many tasks. Up to ROWS vectors there is one part and the search is exact. Repeated
-    ids are candidates as often as they occur, but never of themselves.
+    Columns vec_id and embedding; NULL ids, and vectors that are NULL, empty, zero, of another length than most, or hold a
+    NULL or non-finite component take no part. The rows are parted into parts of about ROWS rows, in two levels above
+    MOST_PARTS of them. Each row lies in the part that the router finds likeliest; a query searches the `probes` likeliest parts,
+    at every size of the table, and more only until they hold k + 1 rows. Parts are searched in blocks of about BLOCK rows.
+    Equal vectors are searched for once and found by their k + 1 smallest ids, which changes no result, so a
+    vector that fills a third of the table is as cheap as any. Repeated ids are candidates as often as they occur, but never of
+    themselves; a query id that is there with several vectors gets the nearest to any of them. No rows give no rows. Other
+    columns are not read.
     """
     spark, work = vectors.sparkSession, Scratch(vectors.sparkSession, "ann")
-    bad = F.exists("v", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
-    rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
-    rows = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).where((F.size("v") > 0) & ~F.coalesce(bad, F.lit(True))).where(F.exists("v", lambda c: c != 0))
-    sample = rows.orderBy(F.xxhash64(F.col("vec_id"), F.lit(5)), "vec_id").limit(SAMPLE).toPandas()
-    dim = min(map(len, sample.v), default=1)
+    rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("query"))
+    rows = _vectors(rows)
+    size = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
+    dim, n = (int(size["d"]), int(size["n"])) if size else (1, 0)
     rows = rows.where(F.size("v") == dim)
-    x = np.array([v for v in sample.v if len(v) == dim], float).reshape(-1, dim)
-    n = rows.count()
-    parts = int(max(1, min(MOST_PARTS, n // ROWS, len(x) // 16)))
-    router = None
+    parts = int(max(1, min(MOST_PARTS, n // ROWS, SAMPLE // 16)))
+    first, second = None, {}
     if parts > 1:
-        graph = neighbour_graph(x)
-        part = balanced_partition(graph, parts)
-        target = np.zeros((len(x), parts))
-        np.add.at(target, (np.repeat(np.arange(len(x)), graph.shape[1]), part[graph].ravel()), 1.0 / graph.shape[1])
-        target = 0.5 * target
-        target[np.arange(len(x)), part] += 0.5
-        router = Router().fit(x, target)
-    shared = spark.sparkContext.broadcast(router)
+        x = np.array(_sample(rows.select("vec_id", "v")).toPandas().v.tolist(), float).reshape(-1, dim)
+        first = fit_router(x, int(min(parts, max(2, len(x) // 16))))
+        if n > 2 * MOST_PARTS * ROWS:
+            second = _second_level(rows.select("vec_id", "v"), first, parts, n, work)
+    shared = spark.sparkContext.broadcast(Index(first, second))
 
     def index(frames):
-        r = shared.value
         for f in frames:
-            p = r(np.stack(f.v.to_numpy())).argmax(1) if r is not None and len(f) else np.zeros(len(f), np.int64)
-            yield f.assign(part=p.astype("int64"))
+            yield f.assign(part=shared.value.likeliest(np.stack(f.v.to_numpy()), 1)[0][:, 0] if len(f) else np.zeros(0, "int64"))
 
-    indexed = work.save(rows.withColumn("query", F.coalesce(is_query, F.lit(False))).mapInPandas(index, "vec_id bigint, v array<double>, query boolean, part bigint"), "indexed")
-    sizes = {int(r["part"]): int(r["n"]) for r in indexed.groupBy("part").agg(F.count("*").alias("n")).collect()}  # at most MOST_PARTS rows
-    held = np.array([sizes.get(p, 0) for p in range(parts)])
+    # of equal vectors the k + 1 smallest ids are candidates
+    often = work.save(rows.groupBy("same").agg(F.count("*").alias("n")).where(F.col("n") > k + 1).select("same"), "often")
+    flagged = mark(work, rows.select("vec_id", "v", "same"), "same", often, "often-marks")
+    few = flagged.where("_maybe").withColumn("nth", F.row_number().over(Window.partitionBy("same", "vec_id").orderBy("vec_id"))).where(F.col("nth") <= k)
+    few = few.withColumn("nth", F.dense_rank().over(Window.partitionBy("same").orderBy("vec_id"))).where(F.col("nth") <= k + 1)
+    kept = flagged.where("not _maybe").select("vec_id", "v").unionByName(few.select("vec_id", "v"))
+    indexed = work.save(kept.mapInPandas(index, "vec_id bigint, v array<double>, part bigint"), "indexed")
+    sizes = indexed.groupBy("part").agg(F.count("*").alias("n")).collect()  # at most MOST_PARTS * MOST_PARTS rows
+    held = np.zeros(parts * shared.value.width, np.int64)
+    for r in sizes:
+        held[r["part"]] = r["n"]
+    held_shared = spark.sparkContext.broadcast(held)
 
     def route(frames):
-        r = shared.value
+        held = held_shared.value
         for f in frames:
             if not len(f):
                 continue
-            p = r(np.stack(f.v.to_numpy())) if r is not None else np.ones((len(f), 1))
-            order = np.argsort(-p, 1, kind="stable")
-            sums, rows_in = np.take_along_axis(p, order, 1).cumsum(1), held[order].cumsum(1)
-            need = np.maximum(np.maximum((sums < share).sum(1) + 1, (rows_in <= 2 * k).sum(1) + 1), least_parts).clip(max=parts)
-            at = np.repeat(np.arange(len(f)), need)
-            nth = np.arange(len(at)) - np.repeat(np.cumsum(need) - need, need)
-            yield pd.DataFrame({"vec_id": f.vec_id.to_numpy()[at], "v": f.v.to_numpy()[at], "part": order[at, nth]})
-
-    routed = work.save(indexed.where("query").select("vec_id", "v").mapInPandas(route, "vec_id bigint, v array<double>, part bigint"), "routed")
-    asked = {int(r["part"]): int(r["n"]) for r in routed.groupBy("part").agg(F.count("*").alias("n")).collect()}
-    grid = spark.createDataFrame([(p, max(1, -(-sizes.get(p, 0) // BLOCK)), max(1, -(-asked.get(p, 0) // BLOCK))) for p in range(parts)], "part bigint, nd bigint, nq bigint")
+            ix = shared.value
+            x, at, to = np.stack(f.v.to_numpy()), [], []
+            most = probes
+            open_ = np.arange(len(f))
+            while len(open_):
+                leaf = ix.likeliest(x[open_], most)[0]
+                enough = np.where(leaf >= 0, held[leaf], 0).sum(1) > k
+                done = np.ones(len(open_), bool) if leaf.shape[1] < most or most >= len(held) else enough
+                for i, ls in zip(open_[done], leaf[done], strict=True):
+                    ls = ls[ls >= 0]
+                    at.append(np.full(len(ls), i))
+                    to.append(ls)
+                open_, most = open_[~done], 4 * most
+            at, to = np.concatenate(at), np.concatenate(to)
+            live = held[to] > 0
+            yield pd.DataFrame({"vec_id": f.vec_id.to_numpy()[at[live]], "v": f.v.to_numpy()[at[live]], "part": to[live]})
+
+    # one query for all that ask with an equal vector
+    asked = rows.where("query").select(F.col("vec_id").alias("query_id"), "same").distinct()
+    one = rows.where("query").select(F.col("same").alias("vec_id"), "v").dropDuplicates(["vec_id"])
+    routed = work.save(one.mapInPandas(route, "vec_id bigint, v array<double>, part bigint"), "routed")
+    asks = routed.groupBy("part").agg(F.count("*").alias("nq"))
+    grid = indexed.groupBy("part").agg(F.count("*").alias("nd")).join(asks, "part").select("part", *[F.ceil(F.col(c) / BLOCK).cast("int").alias(c) for c in ("nd", "nq")])
+    grid = work.save(grid, "grid")  # a row a part: at most MOST_PARTS * MOST_PARTS
     deal = lambda df, own, other: (  # noqa: E731  each row lies in one block of its own kind and meets all blocks of the other
         df.join(F.broadcast(grid), "part").withColumn(own, F.pmod(F.xxhash64("vec_id"), F.col("nd" if own == "db" else "nq"))).withColumn(other, F.explode(F.sequence(F.lit(0), F.col("nq" if own == "db" else "nd") - 1)))
     )
     cols = ["part", "db", "qb", "vec_id", "v"]
-    both = deal(indexed.drop("query"), "db", "qb").select(*cols, F.lit(False).alias("query")).unionByName(deal(routed, "qb", "db").select(*cols, F.lit(True).alias("query")))
-    found = by_group(both, ["part", "db", "qb"], lambda t: _nearest(t, k), "query_id bigint, vec_id bigint, score double")
+    both = deal(indexed, "db", "qb").select(*cols, F.lit(False).alias("query")).unionByName(deal(routed, "qb", "db").select(*cols, F.lit(True).alias("query")))
+    # one more than k distinct ids, since a query may find itself; ids may repeat, so k more
+    found = by_group(both, ["part", "db", "qb"], lambda t: _nearest(t, 2 * k), "same bigint, vec_id bigint, score double")
+    top = found.withColumn("nth", F.row_number().over(Window.partitionBy("same").orderBy(F.desc("score"), "vec_id"))).where(F.col("nth") <= 2 * k)
+    pairs = asked.join(top, "same").where("query_id != vec_id")
     best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", best).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return pairs.withColumn("rank", best).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
