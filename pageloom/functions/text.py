@@ -19,7 +19,8 @@ NUMBER_MARKS = r"\[\]()\-–—.,· "
 #: Outer marks that a text comparison ignores.
 TEXT_MARKS = " .,:;/-–—"
 WORD_LETTERS = "abcdefghijklmnopqrstuvwxyz"
-MARK = "\n[... {omitted} characters omitted ...]\n"
+#: Fixed value: what stands for the left-out middle of an OCR text.
+MARK = "\n[... {omitted} characters of OCR text omitted ...]\n"
 
 
 def _digits(names: list[str], value: Column) -> Column:
@@ -115,10 +116,16 @@ def data_url(mime: Column, data: Column) -> Column:
     return F.concat(F.lit("data:"), mime, F.lit(";base64,"), F.regexp_replace(F.base64(data), "[\r\n]", ""))
 
 
-def safe_text(text: Column, most: int = 500) -> Column:
-    """Without inline data and keys, and no longer than `most` characters: for logs."""
-    t = F.regexp_replace(text, r"data:[\w/+.-]+;base64,[A-Za-z0-9+/=]+", "data:...")
-    return F.left(F.regexp_replace(t, r"sk-[A-Za-z0-9_-]{8,}", "sk-..."), F.lit(most))
+#: How inline data and keys look, and what stands for them in logs.
+DATA_URL, KEY_LIKE = r"data:[\w/+.-]+;base64,[A-Za-z0-9+/=]+", r"\bsk-[A-Za-z0-9_-]{8,}"
+NO_DATA, NO_KEY = "data:<redacted>", "<redacted-key>"
+
+
+def safe_text(text: Column, most: int = 500, secret: Column | None = None) -> Column:
+    """Without inline data, keys and the secret, and cut to `most` characters with dots behind: for logs."""
+    t = text if secret is None else F.when(F.coalesce(secret, F.lit("")) != "", F.replace(text, secret, F.lit(NO_KEY))).otherwise(text)
+    t = F.regexp_replace(F.regexp_replace(t, DATA_URL, NO_DATA), KEY_LIKE, NO_KEY)
+    return F.when(F.length(t) <= most, t).otherwise(F.concat(F.left(t, F.lit(most)), F.lit("...")))
 
 
 def version(number: int, text: Column) -> Column:

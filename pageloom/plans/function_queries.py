@@ -61,11 +61,11 @@ def q_ocr_normalize_hash(spark, sf_dir):
 
 
 _BOUND = r"""
-WITH t AS (SELECT doc_id, text, length(text) AS n, 600 - (31 + length(CAST(length(text) AS VARCHAR))) AS b FROM documents),
+WITH t AS (SELECT doc_id, text, length(text) AS n, 600 - (43 + length(CAST(length(text) AS VARCHAR))) AS b FROM documents),
 p AS (SELECT *, substr(text, 1, CAST(b * 2 // 3 AS INTEGER)) AS h0, right(text, CAST(b // 3 AS INTEGER)) AS t0 FROM t),
 c AS (SELECT *, CASE WHEN contains(h0, chr(10)) THEN regexp_replace(h0, '\n[^\n]*$', '') ELSE h0 END AS h,
              CASE WHEN contains(t0, chr(10)) THEN substr(t0, strpos(t0, chr(10)) + 1) ELSE t0 END AS e FROM p)
-SELECT doc_id, sha256(CASE WHEN n <= 600 THEN text ELSE h || chr(10) || '[... ' || (n - length(h) - length(e)) || ' characters omitted ...]' || chr(10) || e END) AS sha FROM c"""
+SELECT doc_id, sha256(CASE WHEN n <= 600 THEN text ELSE h || chr(10) || '[... ' || (n - length(h) - length(e)) || ' characters of OCR text omitted ...]' || chr(10) || e END) AS sha FROM c"""
 
 
 @query(_BOUND)
@@ -83,8 +83,10 @@ def q_prompt_version(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.version(3, F.col("text")).alias("version"))
 
 
-@query("SELECT doc_id, 'key sk-... image data:... tail ' || doc_id AS safe FROM documents")
+@query("""SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'key <redacted-key> task-management image data:<redacted> tail ' || doc_id || ' <redacted-key>' ELSE repeat('long ', 40) || '...' END AS safe FROM documents""")
 def q_safe_text(spark, sf_dir):
     i = F.col("doc_id").cast("string")
-    raw = F.concat(F.lit("key sk-abcdefgh"), i, F.lit(" image data:image/png;base64,"), F.base64(F.encode(i, "UTF-8")), F.lit(" tail "), i)
-    return table(spark, sf_dir, "documents").select("doc_id", T.safe_text(raw).alias("safe"))
+    secret = F.concat(F.lit("s3cret"), i)
+    raw = F.concat(F.lit("key sk-abcdefgh"), i, F.lit(" task-management image data:image/png;base64,"), F.base64(F.encode(i, "UTF-8")), F.lit(" tail "), i, F.lit(" "), secret)
+    text = F.when(F.col("doc_id") % 2 == 0, raw).otherwise(F.repeat(F.lit("long "), 50))
+    return table(spark, sf_dir, "documents").select("doc_id", T.safe_text(text, 200, secret).alias("safe"))

@@ -216,7 +216,7 @@ def q_ocr_summary(spark, sf_dir):
     return inventory.ocr_summary(ocr(spark, sf_dir), "book_id")
 
 
-@query(f"SELECT 'd' || doc_id AS scan_id, 'OCR of scan d' || doc_id || ' (d' || doc_id || '.txt) not used: bad bytes' AS problem FROM ({_OCR}) o WHERE status = 'error' AND doc_id % 5 <> 0")
+@query(f"SELECT 'd' || doc_id AS scan_id, 'OCR of scan d' || doc_id || ' (d' || doc_id || '.txt) not used, image only: bad bytes' AS problem FROM ({_OCR}) o WHERE status = 'error' AND doc_id % 5 <> 0")
 def q_ocr_problems(spark, sf_dir):
     return inventory.ocr_problems(ocr(spark, sf_dir)).where("problem is not null")
 

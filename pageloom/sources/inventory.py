@@ -172,7 +172,7 @@ def ocr_summary(scans: DataFrame, *keys: str) -> DataFrame:
 
 def ocr_problems(scans: DataFrame) -> DataFrame:
     file = F.when(F.col("ocr.filename").isNotNull(), F.concat(F.lit(" ("), F.col("ocr.filename"), F.lit(")"))).otherwise("")
-    return scans.where("ocr.status = 'error'").select("scan_id", F.concat(F.lit("OCR of scan "), "scan_id", file, F.lit(" not used: "), F.col("ocr.error")).alias("problem"))
+    return scans.where("ocr.status = 'error'").select("scan_id", F.concat(F.lit("OCR of scan "), "scan_id", file, F.lit(" not used, image only: "), F.col("ocr.error")).alias("problem"))
 
 
 def worklist(scans: DataFrame, done: DataFrame) -> DataFrame:
