@@ -2,33 +2,27 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import math
 import re
 from collections import Counter
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.packing import tokenizer_path
-from pageloom.llm.work import Scratch, byte_words, crc_mod
+from pageloom.llm.packing import byte_letters, tokenizer_path
+from pageloom.llm.work import SLICE, Scratch, byte_words, crc_mod, map_texts
 
-#: Bound on the words whose values go to all executors; all other words are joined by shuffle.
-FREQUENT = 1 << 17
+#: Bounds on the words whose values go to all executors, in number and in bytes each; all other words are joined by shuffle.
+FREQUENT, SHORT = 1 << 17, 64
 #: Letters, single digits and runs of other marks: the parts of a word that pieces do not reach across.
 PART = re.compile(r"[^\W\d_]+|\d|[\W_]+")
 END = "</w>"
 
 
-def byte_letters() -> list[str]:
-    """The printable letter that stands for each byte in a byte-level vocabulary: itself where printable, else from 256 on."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = iter(range(256, 512))
-    return [chr(b if b in shown else next(rest)) for b in range(256)]
-
-
 class Vocabulary:
     """Pieces of the tokenizer's file as bytes, each for the inside or for the end of a part of a word.
 
@@ -152,7 +146,7 @@ class Lattice:
     def _long(self, part: bytes) -> float:
         return self._long_forward(part)[0][-1]
 
-    def _long_expected(self, part: bytes, sums: np.ndarray) -> None:
+    def _long_expected(self, part: bytes, times: float, sums: np.ndarray) -> None:
         a, arcs = self._long_forward(part)
         if a[-1] < -1e29:  # no way through
             return
@@ -161,9 +155,7 @@ class Lattice:
             for i, k in found:
                 x = float(self.logp[k]) + back[j]
                 back[i] = self._add([back[i], x])
-                w = math.exp(min(a[i] + x - a[-1], 0.0))
-                if w > 1e-6:
-                    sums[k] += w
+                sums[k] += times * math.exp(min(a[i] + x - a[-1], 0.0))
 
     def _by_length(self, parts: list[bytes]):
         by: dict[int, list[int]] = {}
@@ -185,82 +177,95 @@ class Lattice:
         glue = float(self.logp[self.v.glue])
         return np.array([sum(value[place[p]] for p in c) + glue * (len(c) - 1) for c in cut], float)
 
-    def expected(self, words: list[bytes], sums: np.ndarray) -> None:
-        """Adds to sums how often each piece is expected in the words, one each."""
-        parts = []
-        for w in words:
+    def expected(self, words: list[bytes], sums: np.ndarray, times: list[int] | None = None) -> None:
+        """Adds to sums how often each piece is expected in the words, each there so many times (once, if none are given)."""
+        parts: Counter = Counter()
+        for w, k in zip(words, times or [1] * len(words), strict=True):
             c = parts_of(w)
-            sums[self.v.glue] += len(c) - 1
-            parts += c
-        for n, at, b in self._by_length(parts):
+            sums[self.v.glue] += k * (len(c) - 1)
+            for x in c:
+                parts[x] += k
+        held, weight = list(parts), np.array(list(parts.values()), float)
+        for n, at, b in self._by_length(held):
             if b is None:
                 for k in at:
-                    self._long_expected(parts[k], sums)
+                    self._long_expected(held[k], weight[k], sums)
                 continue
             a, arcs = self.forward(b)
             back = np.full((n + 1, len(b)), -np.inf)
             back[n] = 0
             for j, starts, scores, ids in reversed(arcs):
                 for i, s, k in zip(starts, scores, ids, strict=True):
-                    x = s + back[j]
-                    np.copyto(back[i], np.logaddexp(back[i], x))
-                    w = np.exp(np.minimum(a[i] + x - a[n], 0.0))
-                    hit = (k >= 0) & (w > 1e-6)
-                    sums += np.bincount(k[hit], w[hit], len(sums)) if hit.any() else 0
+                    hit = np.flatnonzero(k >= 0)
+                    if not len(hit):
+                        continue
+                    x = s[hit] + back[j, hit]
+                    back[i, hit] = np.logaddexp(back[i, hit], x)
+                    sums += np.bincount(k[hit], weight[at][hit] * np.exp(np.minimum(a[i, hit] + x - a[n, hit], 0.0)), len(sums))
 
 
 def _count(docs: DataFrame) -> DataFrame:
     """word, c: occurrences in training texts, 0 for words of held-out texts alone. Counts are summed per task before the shuffle."""
 
-    def run(frames):
+    def run(batches):
         held: Counter = Counter()
-        for f in frames:
-            for text, out in zip(f.text, f.held_out, strict=True):
-                words = byte_words(text)
-                if out:
-                    for w in words:
-                        held[w] += 0
-                else:
-                    held.update(words)
-            if len(held) > 200_000:
-                yield pd.DataFrame({"word": list(held), "c": list(held.values())})
-                held.clear()
-        yield pd.DataFrame({"word": list(held), "c": np.array(list(held.values()), "int64")})
-
-    return docs.select("text", "held_out").mapInPandas(run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
+        out = lambda: pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "c"])
+        for b in batches:
+            for lo in range(0, b.num_rows, SLICE):
+                part = b.slice(lo, SLICE)
+                for text, known in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    words = byte_words(text)
+                    if known:
+                        for w in words:
+                            held[w] += 0
+                    else:
+                        held.update(words)
+                if len(held) > 100_000:
+                    yield out()
+                    held.clear()
+        yield out()
+
+    return docs.select("text", "held_out").mapInArrow(run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def _maximise(counts: DataFrame, path: str, logp: np.ndarray) -> np.ndarray:
-    """One round of expectation maximisation over all distinct training words; what returns is bounded by the vocabulary."""
+    """One round of expectation maximisation over all training words by their counts; what returns is bounded by the vocabulary."""
     shared = counts.sparkSession.sparkContext.broadcast(logp)
 
-    def expect(frames):
-        vocab = Vocabulary(path)
-        lattice, sums = Lattice(vocab, shared.value), np.zeros(vocab.size)
-        for f in frames:
-            lattice.expected([bytes(w) for w in f.word], sums)
+    def expect(batches):
+        lattice, sums = Lattice(vocabulary(path), shared.value), np.zeros(len(shared.value))
+        for b in batches:
+            lattice.expected(b.column(0).to_pylist(), sums, b.column(1).to_pylist())
         at = np.flatnonzero(sums)
-        yield pd.DataFrame({"piece": at, "n": sums[at]})
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], names=["piece", "n"])
 
-    found = counts.where("c > 0").select("word").mapInPandas(expect, "piece bigint, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
+    found = counts.where("c > 0").select("word", "c").mapInArrow(expect, "piece bigint, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
     sums = np.full(len(logp), 0.01)
     for r in found:
         sums[r["piece"]] += r["n"]
     return np.log(sums / sums.sum())
 
 
+@functools.cache
+def vocabulary(path: str) -> Vocabulary:
+    """One a worker."""
+    return Vocabulary(path)
+
+
 def score_texts(docs: DataFrame, held_out, path: str | None = None, rounds: int = 2) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row.
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, word_score for every row.
 
     Words have A-Z in lower case; each text ends with one end token. base_score: add-one word unigrams. score: log10 of the
-    text's probability summed over all segmentations of its words into pieces of an existing vocabulary. The
-    vocabulary's own order gives the pieces' first scores; rounds of expectation maximisation over all distinct training
-    words fit them to the corpus. A word that training texts hold has one more way through its lattice, the word as a
-    whole; the share of training tokens seen once (Good-Turing) goes to the pieces, the rest to whole words. NULL and
-    empty texts hold the end token alone; a NULL doc_id counts as training text. Repeated rows each get their row.
-
-    Each distinct word is scored once. The FREQUENT most frequent words (a fixed bound) go to the executors and are
-    looked up in place; rarer words are shuffled, one row a document and word, so no key is hot.
+    text's marginal probability: the sum over all segmentations of its words into pieces of an existing vocabulary, each
+    token being a word or, by its share of training tokens, the end. The vocabulary's own order gives the pieces' first
+    scores; rounds of expectation maximisation over all training words by their counts fit them to the corpus. word_score
+    gives a word of the training texts one more way, the word as a whole: the share of training tokens seen once
+    (Good-Turing) goes to the pieces, the rest to whole words.
+
+    NULL and empty texts hold the end token alone; a NULL doc_id counts as training text; very long texts and words are
+    scored whole. Repeated rows each get their row. Other columns are not read. No rows give no rows. Each distinct word is
+    scored once. The FREQUENT most frequent words of SHORT bytes at most (a fixed bound) go to the executors and are looked
+    up in place; the others are shuffled, one row a document and word, so no key is hot.
     """
     path = path or tokenizer_path()
     spark, work = docs.sparkSession, Scratch(docs.sparkSession, "lm")
@@ -273,45 +278,54 @@ def score_texts(docs: DataFrame, held_out, path: str | None = None, rounds: int
     logp = Vocabulary(path).start()
     for _ in range(rounds if distinct else 0):
         logp = _maximise(counts, path, logp)
-    end = math.log10((texts + 1) / (total + distinct + 1)), math.log10(((1 - novel) * texts + novel) / (total + 1)), bool(texts)
+    p_end = (texts + 1) / (total + 2)
+    end = math.log10((texts + 1) / (total + distinct + 1)), math.log10(p_end), math.log10(((1 - novel) * texts + novel) / (total + 1)), int(bool(texts))
     shared = spark.sparkContext.broadcast(logp)
 
-    def rate(frames):
-        lattice = Lattice(Vocabulary(path), shared.value)
-        for f in frames:
-            whole = (1 - novel) * f.c / max(1, total)
-            s = np.log10(whole + novel * np.exp(np.maximum(ways := lattice.score([bytes(w) for w in f.word]), -600)))
+    def rate(batches):
+        lattice = Lattice(vocabulary(path), shared.value)
+        for b in batches:
+            c = b.column(1).to_numpy()
+            ways = lattice.score(b.column(0).to_pylist())
+            s = math.log10(1 - p_end) + ways / math.log(10)
+            whole = (1 - novel) * c / max(1, total)
+            m = np.log10(np.maximum(whole + novel * np.exp(np.maximum(ways, -600)), 1e-300))
             # far below what a double holds, the logarithm of the lattice alone is left
-            s = np.where((f.c == 0) & (ways < -600), math.log10(novel) + ways / math.log(10), s)
-            yield f.assign(b=np.log10((f.c + 1) / (total + distinct + 1)), s=s)
+            m = np.where((c == 0) & (ways < -600), math.log10(novel) + ways / math.log(10), m)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.log10((c + 1) / (total + distinct + 1))), pa.array(s), pa.array(m)], names=["word", "c", "b", "s", "m"])
 
-    rated = work.save(counts.mapInPandas(rate, "word binary, c bigint, b double, s double"), "rated")
+    rated = work.save(counts.select("word", "c").mapInArrow(rate, "word binary, c bigint, b double, s double, m double"), "rated")
     work.drop("counts")
-    top = rated.orderBy(F.desc("c"), "word").limit(FREQUENT).toPandas()
-    frequent = spark.sparkContext.broadcast((dict(zip(map(bytes, top.word), range(len(top)), strict=True)), (top.c > 0).to_numpy(), top.b.to_numpy(), top.s.to_numpy()))
+    top = rated.where(F.octet_length("word") <= SHORT).orderBy(F.desc("c"), "word").limit(FREQUENT).toPandas()
+    frequent = spark.sparkContext.broadcast((dict(zip(map(bytes, top.word), range(len(top)), strict=True)), (top.c > 0).to_numpy(), top[["b", "s", "m"]].to_numpy(float)))
 
-    def texts_of(frames):
-        place, known, b, s = frequent.value
+    def texts_of():
+        place, known, values = frequent.value
         get = place.get
-        for f in frames:
-            out = []
-            for doc_id, text, held in zip(f.doc_id, f.text, f.held_out, strict=True):
+
+        def read(texts):
+            n, k, sums, rest = [], [], [], []
+            for text in texts:
                 words = byte_words(text)
                 ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
                 hit = ids[ids >= 0]
-                rest = Counter(words[i] for i in np.flatnonzero(ids < 0).tolist())
-                doc_id = None if pd.isna(doc_id) else int(doc_id)
-                out.append((doc_id, held, len(words) + 1, int(known[hit].sum()) + end[2], float(b[hit].sum()) + end[0], float(s[hit].sum()) + end[1], list(rest), list(rest.values())))
-            names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "words", "times"]
-            yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
-
-    schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, words array<binary>, times array<bigint>"
-    parts = work.save(docs.mapInPandas(texts_of, schema).withColumn("row", F.monotonically_increasing_id()), "parts")
+                n.append(len(words) + 1)
+                k.append(int(known[hit].sum()) + end[3])
+                sums.append(values[hit].sum(0) + end[:3])
+                rest.append(Counter(words[i] for i in np.flatnonzero(ids < 0).tolist()))
+            sums = np.array(sums, float).reshape(-1, 3)
+            return n, k, sums[:, 0], sums[:, 1], sums[:, 2], [list(r) for r in rest], [list(r.values()) for r in rest]
+
+        return read
+
+    added = [("n_tokens", "bigint"), ("n_known", "bigint"), ("base_score", "double"), ("score", "double"), ("word_score", "double"), ("words", "array<binary>"), ("times", "array<bigint>")]
+    parts = work.save(map_texts(docs, ["doc_id", "held_out"], ["text"], texts_of, added).withColumn("row", F.monotonically_increasing_id()), "parts")
     rare = parts.select("row", F.explode(F.arrays_zip("words", "times")).alias("x")).select("row", F.col("x.words").alias("word"), F.col("x.times").alias("k"))
-    more = rare.join(rated, "word").groupBy("row").agg(F.sum(F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("k"), F.sum(F.col("k") * F.col("b")).alias("b"), F.sum(F.col("k") * F.col("s")).alias("s"))
+    times = lambda c: F.sum(F.col("k") * F.col(c)).alias(c)
+    more = rare.join(rated, "word").groupBy("row").agg(F.sum(F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("k"), times("b"), times("s"), times("m"))
     out = parts.drop("words", "times").join(more, "row", "left")
     plus = lambda c, d: (F.col(c) + F.coalesce(F.col(d), F.lit(0))).alias(c)
-    return out.select("doc_id", "held_out", "n_tokens", plus("n_known", "k"), F.lit(total).cast("bigint").alias("train_tokens"), plus("base_score", "b"), plus("score", "s"))
+    return out.select("doc_id", "held_out", "n_tokens", plus("n_known", "k"), F.lit(total).cast("bigint").alias("train_tokens"), plus("base_score", "b"), plus("score", "s"), plus("word_score", "m"))
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:
