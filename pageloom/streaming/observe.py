@@ -14,7 +14,9 @@ from dataclasses import dataclass, field
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from pageloom.sources.inventory import worklist
 
@@ -55,20 +57,22 @@ def wait(attempt: int, retry_after: float | None = None, rng: Callable[[], float
     return min(LONGEST_WAIT, FIRST_WAIT * 2 ** (attempt - 1)) * (0.5 + 0.5 * rng())
 
 
+#: What makes the first choice of a reply unusable, by name; the first that applies is reported.
+FAULTS: list[tuple[str, Callable[[dict], bool]]] = [
+    ("refused", lambda c: bool(c.get("refusal"))),
+    ("cut off by the output limit", lambda c: c.get("finish_reason") == "length"),
+    ("empty", lambda c: not c.get("content")),
+]
+
+
 def parse_reply(raw: dict, check: Callable[[Any], Any]) -> Any:
     """The checked value of a reply, or InvalidReply."""
-    choices = raw.get("choices") or []
-    if not choices:
-        raise InvalidReply("no choices")
-    c = choices[0]
-    if c.get("refusal"):
-        raise InvalidReply("refused")
-    if c.get("finish_reason") == "length":
-        raise InvalidReply("cut off by the output limit")
-    if not c.get("content"):
-        raise InvalidReply("empty")
+    first = next(iter(raw.get("choices") or []), None)
+    fault = "no choices" if first is None else next((name for name, has in FAULTS if has(first)), None)
+    if fault:
+        raise InvalidReply(fault)
     try:
-        return check(json.loads(c["content"]))
+        return check(json.loads(first["content"]))
     except (ValueError, KeyError, TypeError) as exc:
         raise InvalidReply(f"not of its schema: {exc}") from None
 
@@ -131,35 +135,79 @@ class FixtureClient:
         return self.answer(payload)
 
 
-def observe_books(scans: DataFrame, client: Callable[[], Any], payload: Callable[[dict, list[dict]], dict], check: Callable[[Any], Any] = lambda x: x, max_retries: int = 3) -> DataFrame:
+def observe_books(scans: DataFrame, client: Callable[[], Any], payload: Callable[[dict, list[dict]], dict], check: Callable[[Any], Any] = lambda x: x, max_retries: int = 3, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
     """One row a scan: OBSERVATIONS and its calls as JSON. A scan whose request fails has no observation, and the book goes on.
 
     payload(scan, earlier) builds the request from the scan's row and the earlier observations of its book. The fold needs a
-    book's scans together; a book is the unit that a task holds.
+    book's scans together; a book is the unit that a task holds. Between attempts a task waits as wait() says. Rows with
+    `asked` False are history: they are passed to later scans but neither requested nor returned.
     """
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
-        requests, earlier, out = Requests(client(), max_retries, sleep=lambda s: None), [], []
+        requests, earlier, out = Requests(client(), max_retries, sleep=sleep), [], []
         for row in f.sort_values("scan_index").to_dict("records"):
             done, calls = row.get("observation"), []
-            call = row.get("call_id")
-            if done is None:
+            call, asked = row.get("call_id"), bool(row.pop("asked", True))
+            if done is None and asked:
                 try:
                     reply = requests.send(payload(row, earlier), check, f"{row['book_id']}/{row['scan_id']}", "observe")
                     done, calls, call = json.dumps(reply.value, ensure_ascii=False), reply.calls, reply.calls[-1]["call_id"]
                 except RequestFailed as exc:
                     calls, call = exc.calls, None
             earlier.append({"scan_index": row["scan_index"], "observation": json.loads(done) if done else None})
-            out.append((row["book_id"], row["scan_id"], row["scan_index"], done, call, json.dumps(calls)))
+            if asked:
+                out.append((row["book_id"], row["scan_id"], row["scan_index"], done, call, json.dumps(calls)))
         return pd.DataFrame(out, columns=["book_id", "scan_id", "scan_index", "observation", "call_id", "calls"])
 
     return scans.groupBy("book_id").applyInPandas(run, OBSERVATIONS + ", calls string")
 
 
+def observe_in_rounds(scans: DataFrame, store: str, client: Callable[[], Any], payload: Callable[[dict, list[dict]], dict], check: Callable[[Any], Any] = lambda x: x, max_retries: int = 3, per_round: int = 1, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """Observes all books, storing results after each round in the folder `store`, and returns the latest row of each scan.
+
+    A round requests the next per_round scans of every book side by side and appends their rows; what a lost executor repeats
+    is one round's requests of its books at most. A later run over the same store requests only scans that have no
+    observation yet, those that failed before included. Rounds end when each open scan has been asked once.
+    """
+    spark = scans.sparkSession
+    fields = OBSERVATIONS + ", calls string"
+
+    def stored() -> DataFrame:
+        try:
+            d = spark.read.schema(fields + ", round int").parquet(store)
+            d.isEmpty()
+            return d
+        except AnalysisException:
+            return spark.createDataFrame([], fields + ", round int")
+
+    first = (stored().agg(F.max("round")).first()[0] or 0) + 1
+    k = first
+    while True:
+        d = stored()
+        seen = latest(d).where("observation is not null").select("book_id", "scan_id", "observation", "call_id")
+        tried = d.where(F.col("round") >= first).select("book_id", "scan_id").distinct().withColumn("tried", F.lit(True))
+        rows = scans.join(seen, ["book_id", "scan_id"], "left").join(tried, ["book_id", "scan_id"], "left")
+        rows = rows.withColumn("open", F.col("observation").isNull() & F.col("tried").isNull())
+        nth = F.sum(F.col("open").cast("int")).over(Window.partitionBy("book_id").orderBy("scan_index").rowsBetween(Window.unboundedPreceding, 0))
+        rows = rows.withColumn("nth", nth).withColumn("asked", F.col("open") & (F.col("nth") <= per_round))
+        books = rows.where("asked").select("book_id").distinct()
+        if books.isEmpty():
+            return latest(d)
+        # history up to the last scan that is asked for; books without open scans are not read again
+        rows = rows.where("asked or not open").join(books, "book_id", "left_semi").drop("tried", "open", "nth")
+        out = observe_books(rows, client, payload, check, max_retries, sleep)
+        out.withColumn("round", F.lit(k)).write.mode("append").parquet(store)
+        k += 1
+
+
+def latest(stored: DataFrame) -> DataFrame:
+    """The last row of each scan, one with an observation before one without."""
+    best = Window.partitionBy("book_id", "scan_id").orderBy(F.col("observation").isNull(), F.desc("round"))
+    return stored.withColumn("_n", F.row_number().over(best)).where("_n = 1").drop("_n")
+
+
 def call_table(observed: DataFrame) -> DataFrame:
     """The calls as a table, for the usage operators."""
-    from pyspark.sql import functions as F
-
     one = "struct<call_id:string,stage:string,attempt:int,status:string,prompt_tokens:bigint,completion_tokens:bigint,cost_usd:double,latency_s:double,served_model:string,error:string>"
     d = observed.select("book_id", "scan_id", F.explode(F.from_json("calls", f"array<{one}>")).alias("c"))
     return d.select("book_id", "scan_id", "c.*")

@@ -148,7 +148,7 @@ def test_observation_is_a_fold_that_goes_on_after_failures_and_resumes(spark):
             return {"model": "m", "choices": [{"content": json.dumps({"seen": p["seen"]}), "finish_reason": "stop"}], "usage": {"prompt_tokens": 5, "completion_tokens": 1}}
 
     scans = spark.createDataFrame([("b", f"s{i}", i) for i in range(4)], "book_id string, scan_id string, scan_index int")
-    done = observe.observe_books(scans, Client, payload).cache()
+    done = observe.observe_books(scans, Client, payload, sleep=lambda s: None).cache()
     got = {r.scan_id: r.observation and json.loads(r.observation)["seen"] for r in done.collect()}
     assert got == {"s0": [], "s1": None, "s2": [0], "s3": [0, 2]}
     totals = usage.usage_totals(observe.call_table(done), "book_id").first()
@@ -158,7 +158,7 @@ def test_observation_is_a_fold_that_goes_on_after_failures_and_resumes(spark):
         def complete(self, p):
             return super().complete(p | {"scan": "other"})
 
-    again = observe.observe_books(observe.resume(scans, done), Better, payload)
+    again = observe.observe_books(observe.resume(scans, done), Better, payload, sleep=lambda s: None)
     assert {r.scan_id: json.loads(r.observation)["seen"] for r in again.collect()} == {"s0": [], "s1": [0], "s2": [0], "s3": [0, 2]}
     assert observe.wait(3, rng=lambda: 1.0) == 8.0 and observe.wait(9, rng=lambda: 1.0) == 60.0
 
@@ -209,3 +209,25 @@ def test_context_fits(spark):
     }
     got = d.select(*[context.fitted(F.col("s"), F.col("b"), F.col("r"), most).alias(str(most)) for most in want]).first()
     assert {most: got[str(most)] for most in want} == want
+
+
+def test_rounds_store_each_scan(spark, tmp_path):
+    class Client:
+        def complete(self, body):
+            n = int(body["messages"][1]["content"][0]["text"])
+            if n == 2 and not (tmp_path / "mended").exists():
+                raise observe.HttpFailure(400)
+            return {"model": "m", "choices": [{"content": f'{{"n": {n}}}', "finish_reason": "stop"}], "usage": {}}
+
+    def payload(scan, earlier):
+        return observe.build_payload("m", "s", str(sum(e["observation"] is not None for e in earlier)))
+
+    scans = spark.createDataFrame([(b, f"{b}{i}", i) for b in "xy" for i in range(4)], "book_id string, scan_id string, scan_index int")
+    store = f"{tmp_path}/store"
+    run = lambda: {r.scan_id: r.observation for r in observe.observe_in_rounds(scans, store, Client, payload, per_round=2, sleep=lambda s: None).collect()}
+    # the third scan fails, and the fourth after it has seen as many before it
+    assert run() == {f"{b}{i}": f'{{"n": {i}}}' if i < 2 else None for b in "xy" for i in range(4)}
+    assert spark.read.parquet(store).groupBy("round").count().count() == 2
+    (tmp_path / "mended").touch()
+    assert run() == {f"{b}{i}": f'{{"n": {i}}}' for b in "xy" for i in range(4)}
+    assert spark.read.parquet(store).count() == 12
