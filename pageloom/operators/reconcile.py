@@ -90,19 +90,27 @@ def settle_leaves(scans: DataFrame) -> tuple[DataFrame, DataFrame]:
     return clean, conflicts
 
 
+def _beginning(word: Column) -> Column:
+    return F.left(word, F.lit(1))
+
+
 def ground_values(observed: DataFrame, proposed: DataFrame) -> DataFrame:
     """Each proposed bibliographic value with the scans that show it, how (exact, similar, covered), and its fate.
 
     observed: book_id, scan_index, ord, scan_id, field, value. proposed: book_id, pos, field, value, notes. Exact: the same
     text in the same field. Similar: the same comparison form in any field. Covered: all its words, up to initials and
-    endings, in one candidate of the field. All three are equi-joins; the last is filtered by words.
+    endings, in one candidate of the field. All three are equi-joins; the last, by the first letter of a word, is filtered by words.
     """
     o = observed.withColumns({"o_text": collapse(F.col("value")), "o_key": comparison_key(F.col("value")), "o_words": plain_words(F.col("value"))}).withColumnRenamed("field", "o_field").drop("value")
     p = proposed.withColumns({"text": collapse(F.col("value")), "key": comparison_key(F.col("value")), "words": plain_words(F.col("value"))})
     cols = ["book_id", "pos", "way", "scan_index", "ord", "scan_id"]
     exact = p.join(o, (p["book_id"] == o["book_id"]) & (p["field"] == o["o_field"]) & (p["text"] == o["o_text"])).select(p["book_id"], "pos", F.lit(1).alias("way"), "scan_index", "ord", "scan_id")
     similar = p.join(o, (p["book_id"] == o["book_id"]) & (p["key"] == o["o_key"])).select(p["book_id"], "pos", F.lit(2).alias("way"), "scan_index", "ord", "scan_id")
-    near = p.join(o, (p["book_id"] == o["book_id"]) & (p["field"] == o["o_field"])).where(covered(F.col("words"), F.col("o_words"))).select(p["book_id"], "pos", F.lit(3).alias("way"), "scan_index", "ord", "scan_id")
+    # words match only if they begin alike: candidates are met by the first letter of the proposal's longest word
+    longest = F.element_at(F.array_sort(F.col("words"), lambda x, y: F.length(x) - F.length(y)), -1)
+    met = o.select("book_id", "o_field", "o_words", "scan_index", "ord", "scan_id", F.explode(F.array_distinct(F.transform("o_words", _beginning))).alias("o_begin"))
+    long = p.where(F.size("words") > 0).withColumn("begin", _beginning(longest))
+    near = long.join(met, (long["book_id"] == met["book_id"]) & (long["field"] == met["o_field"]) & (long["begin"] == met["o_begin"])).where(covered(F.col("words"), F.col("o_words"))).select(long["book_id"], "pos", F.lit(3).alias("way"), "scan_index", "ord", "scan_id")
     hits = exact.unionByName(similar).unionByName(near).select(*cols)
     sources = hits.groupBy("book_id", "pos").agg(F.array_distinct(F.transform(F.sort_array(F.collect_list(F.struct("way", "scan_index", "ord", "scan_id"))), lambda x: x["scan_id"])).alias("sources"), F.min("way").alias("way"))
     d = p.join(sources, ["book_id", "pos"], "left")

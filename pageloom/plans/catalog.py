@@ -22,4 +22,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from pageloom.plans import book_queries, function_queries, page_queries, rule_queries, scoring_queries, usage_queries  # noqa: E402,F401
+from pageloom.plans import book_queries, function_queries, page_queries, rule_queries, scoring_queries, source_queries, usage_queries  # noqa: E402,F401
