@@ -25,11 +25,9 @@ class Union:
         self.up[max(a, b)] = min(a, b)
 
 
-def line_shingles(x):
-    x = x.lower()
-    w = WORD.findall(x)
-    t = " ".join(w)
-    return {" ".join(w[i : i + 3])[:20] for i in range(len(w))} if len(x) <= 24 * len(w) else {t[i : i + 8] for i in range(max(1, len(t) - 7))}
+def line_shingles(x, size: int = 5):
+    t = " ".join(WORD.findall(x.lower()))
+    return {t[i : i + size] for i in range(max(1, len(t) - size + 1))}
 
 
 def dedup_lines(texts: dict) -> dict:
@@ -51,28 +49,28 @@ def dedup_lines(texts: dict) -> dict:
     return out
 
 
-def first_of_components(texts: dict) -> set:
+def first_of_components(texts: dict, size: int, percent: int) -> set:
     ids = sorted(texts)
     sets = []
     for d in ids:
         w = WORD.findall((texts[d] or "").translate(LOW))
-        sets.append({tuple(w[i : i + 4]) for i in range(len(w) - 3)} or ({tuple(w)} if w else set()))
+        sets.append({tuple(w[i : i + size]) for i in range(len(w) - size + 1)} or ({tuple(w)} if w else set()))
     u = Union(len(ids))
     for i, a in enumerate(sets):
         for j in range(i):
-            if a and sets[j] and 100 * len(a & sets[j]) >= 85 * len(a | sets[j]):
+            if a and sets[j] and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
                 u.join(i, j)
     return {ids[i] for i in range(len(ids)) if u.root(i) == i}
 
 
 def mix(rows: list, most: int = 2, seed: int = 11) -> Counter:
-    """Times each doc_id is taken. rows: doc_id, text, lang, source."""
+    """Times each doc_id is taken, over all its rows. rows: doc_id, text, lang, source; ids may be NULL and repeat."""
     leaf = lambda r: (f"domain{zlib.crc32((r[3] or '').encode()) % 4}", r[2] or "", r[3] or "")
-    size = {r[0]: len(WORD.findall(r[1] or "")) for r in rows}
+    size = lambda r: len(WORD.findall(r[1] or ""))
     tokens = Counter()
     for r in rows:
-        if size[r[0]]:
-            tokens[leaf(r)] += size[r[0]]
+        if size(r):
+            tokens[leaf(r)] += size(r)
 
     def fill(budget, at, depth):
         if depth == 3:
@@ -100,10 +98,14 @@ def mix(rows: list, most: int = 2, seed: int = 11) -> Counter:
     for k, b in fill(sum(tokens.values()), (), 0).items():
         whole = math.floor(b / tokens[k] + 1e-9)
         rest = b - whole * tokens[k]
-        place = lambda d: int(hashlib.md5(f"{d}/{seed}/{whole}".encode()).hexdigest()[:15], 16)  # noqa: E731, B023
-        mine = sorted((place(r[0]), r[0]) for r in rows if size[r[0]] and leaf(r) == k)
+        place = lambda d: int(hashlib.md5(f"{'' if d is None else d}/{seed}/{whole}".encode()).hexdigest()[:15], 16)  # noqa: E731, B023
+        mine = defaultdict(list)  # rows that share a place are taken together
+        for r in rows:
+            if size(r) and leaf(r) == k:
+                mine[place(r[0])].append(r)
         total = 0
-        for _, d in mine:
-            total += size[d]
-            times[d] += whole + (total <= rest)
+        for at in sorted(mine):
+            total += sum(map(size, mine[at]))
+            for r in mine[at]:
+                times[r[0]] += whole + (total <= rest)
     return times

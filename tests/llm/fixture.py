@@ -7,7 +7,10 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 SCHEMA = StructType([
     StructField("doc_id", LongType()), StructField("text", StringType()), StructField("lang", StringType()), StructField("source", StringType()), StructField("n_chars", LongType()),
     StructField("length", StringType()), StructField("rank", IntegerType()), StructField("score", DoubleType()), StructField("bucket", StringType()), StructField("c", StringType()), StructField("h", StringType()), StructField("g", StringType()),
+    *[StructField(c, StringType()) for c in ("tokens", "domain", "epoch", "toxicity", "_part", "_maybe", "_of", "_removed", "_domain", "key", "fold", "word")],
 ])
+#: Beyond what a double holds; beside a NULL id it must stay as it is.
+LARGE = (1 << 53) + 1
 
 
 def rows(n: int = 60, seed: int = 1):
@@ -32,7 +35,8 @@ def rows(n: int = 60, seed: int = 1):
         out.append([i, t, rng.choice(["en", "de", None]), rng.choice(["s1", "s1", "s2", None]), len(t)])
     out += [[n, None, None, None, None], [n + 1, "", "en", "s1", 0], [n + 2, " \t\n ", "en", "s1", 4], [n + 3, " ".join(word() for _ in range(6000)), "en", "s1", None]]
     out += [[None, text(), "en", "s2", 5], [None, None, None, None, None], list(out[0]), list(out[0]), [n + 4, "Äé 𝔘 ' ż x", "de", "s2", 9]]
-    return [tuple(r) + ("x", 1, 0.5, "y", "z", "q", "w") for r in out]
+    out.append([LARGE, text(), "en", "s1", 7])
+    return [tuple(r) + ("x", 1, 0.5, "y", "z", "q", "w", *"abcdefghijkl") for r in out]
 
 
 def corpus(spark, n: int = 60):

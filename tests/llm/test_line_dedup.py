@@ -60,3 +60,31 @@ def test_one_letter_in_a_short_line(spark):
 def test_the_end_of_a_long_word_counts(spark):
     lines = [f"source: https://example.org/articles/{k}" for k in ("1234567890", "abcdefghij")] + ["Ab", "AB", "𝔘𝔘 x", "你好", "你们"]
     assert run(spark, lines) == kept(lines) == {0, 1, 2, 4, 5, 6}
+
+
+def test_families_of_near_copies(spark):
+    """Of families of 3, 10 and 100 lines with some words changed, nearly all that plain comparison joins are joined, and no other."""
+    rng, lines = random.Random(9), []
+    for size, families in ((3, 60), (10, 15), (100, 4)):
+        for _ in range(families):
+            base = words(rng, 40)
+            for _ in range(size):
+                w = list(base)
+                for k in rng.sample(range(40), rng.randint(1, 3)):
+                    w[k] = words(rng, 1)[0]
+                lines.append(" ".join(w))
+    want, got = kept(lines), run(spark, lines)
+    removed = len(lines) - len(want)
+    assert removed > 400 and want <= got
+    assert (len(lines) - len(got)) / removed >= 0.9
+
+
+def test_shingles_are_plain_ones():
+    rng = random.Random(2)
+    lines = [" ".join(words(rng, rng.randint(1, 30))) for _ in range(200)] + ["a", "abcd", "abcde", "ä𝔘ö", "日本語"]
+    data = [x.encode() for x in lines]
+    sets = line_dedup._sets(data)
+    assert [len(s) for s in sets] == [len(plain(x)) for x in lines]
+    others = [x[:7] + "#" + x[8:] if i % 2 else lines[i - 1] for i, x in enumerate(lines)]
+    want = [100 * len(plain(a) & plain(b)) >= 80 * len(plain(a) | plain(b)) for a, b in zip(lines, others, strict=True)]
+    assert line_dedup.alike(data, [x.encode() for x in others]).tolist() == want

@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from pageloom.llm import line_dedup, lm_scoring, mixing, neighbours, ngram_join, packing, quality_classifier, quality_rules, sharding, toxicity
-from tests.llm.fixture import corpus, empty, labels, rows
+from tests.llm.brute import line_shingles
+from tests.llm.fixture import LARGE, corpus, empty, labels, rows
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -99,11 +100,38 @@ def test_neighbours(spark):
         assert len(found) == 20 and q not in {v for v, _ in found}
         assert all(abs(score - x[v] @ x[q]) < 1e-9 for v, score in found)
     assert hits / (20 * len(got)) >= 0.9
+    # one vector of another length goes alone
+    odd = neighbours.nearest(df.where("vec_id < 200").unionByName(spark.createDataFrame([(6000, [1.0], "x")], df.schema)), F.col("vec_id") % 20 == 0)
+    assert odd.select("query_id").distinct().count() == 10
     few = neighbours.nearest(df.where("vec_id < 5 or vec_id > 5000"), F.col("vec_id") % 20 == 0).collect()
     assert len(few) == 4
     assert neighbours.nearest(df.where("false"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_recall_of_learned_partitions(spark, monkeypatch):
+    """Sixty parts and more in two levels, of which a query searches twelve."""
+    monkeypatch.setattr(neighbours, "ROWS", 60)
+    monkeypatch.setattr(neighbours, "MOST_PARTS", 12)
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(80, 16))
+    x = centres[rng.integers(0, 80, 6000)] + 0.35 * rng.normal(size=(6000, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    searched = []
+    monkeypatch.setattr(neighbours.Scratch, "save", lambda self, d, name, save=neighbours.Scratch.save: searched.append((name, out := save(self, d, name))) or out)
+    got = defaultdict(set)
+    for r in neighbours.nearest(df, F.col("vec_id") % 20 == 0).collect():
+        got[r.query_id].add(r.vec_id)
+    tables = dict(searched)
+    parts = tables["indexed"].select("part").distinct().count()
+    assert parts >= 50 and tables["routed"].count() <= 12 * 300
+    hits = 0
+    for q in range(0, 6000, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(got[q] & set(np.argsort(-s)[:20].tolist()))
+    assert hits / 6000 >= 0.9
+
+
 def test_sharding(spark, docs):
     got = sharding.extendible_shards(docs, "doc_id", F.octet_length("text"), 3000).collect()
     assert len(got) == len(rows())
@@ -131,7 +159,8 @@ def test_lm_scoring(spark, docs):
             x, w = got[r[0]], low(r[1])
             assert (x.n_tokens, x.n_known, x.train_tokens) == (len(w), sum(counts[t] > 0 for t in w), total)
             assert math.isclose(x.base_score, sum(math.log10((counts[t] + 1) / (total + len(counts) + 1)) for t in w), rel_tol=1e-9)
-            assert -1e6 < x.score < 0
+            assert -1e6 < x.score < 0 and x.word_score > -1e6
+    assert LARGE in got
     assert lm_scoring.lm_scores(empty(spark)).count() == 0
 
 
@@ -164,14 +193,16 @@ def test_lattice_against_enumeration():
 
 def test_mixing(spark, docs):
     out = mixing.mix(docs)
-    assert out.columns[: len(docs.columns)] == docs.columns
-    got = out.groupBy("domain", F.coalesce("lang", F.lit("")).alias("l"), F.coalesce("source", F.lit("")).alias("s")).agg(F.sum("tokens").alias("t")).collect()
+    assert out.columns == [*docs.columns, "_epoch", "__domain", "_tokens"]  # docs has columns epoch, domain, _domain and tokens
+    got = out.groupBy("__domain", F.coalesce("lang", F.lit("")).alias("l"), F.coalesce("source", F.lit("")).alias("s")).agg(F.sum("_tokens").alias("t")).collect()
     have = Counter()
     for r in rows():
         have[(r[2] or "", r[3] or "")] += len(WORD.findall(r[1] or ""))
     for r in got:
         assert 0 < r.t <= 2 * have[(r.l, r.s)]
-    assert out.where("epoch > 1").count() == 0
+    assert out.where("_epoch > 1").count() == 0
+    plan = Counter((r.doc_id, r.epoch) for r in mixing.schedule(docs).collect())
+    assert plan == Counter((r.doc_id, r._epoch) for r in out.select("doc_id", "_epoch").collect())
     assert mixing.mix(empty(spark)).count() == 0
 
 
@@ -189,13 +220,8 @@ def test_line_dedup(spark, docs):
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect() if r.doc_id is not None}
     data = {r[0]: r[1] for r in rows() if r[0] is not None}
 
-    def shingles(x):
-        w = WORD.findall(x.lower())
-        t = " ".join(w)
-        return {" ".join(w[i : i + 3])[:20] for i in range(len(w))} if len(x) <= 24 * len(w) else {t[i : i + 8] for i in range(max(1, len(t) - 7))}
-
     lines = [(d, n, x) for d in sorted(data) for n, x in enumerate((data[d] or "").split("\n")) if WORD.search(x)]
-    sets = [shingles(x) for _, _, x in lines]
+    sets = [line_shingles(x) for _, _, x in lines]
     up = list(range(len(lines)))
 
     def root(i):
@@ -229,6 +255,7 @@ def test_classifiers(spark, docs, run):
     got = run(docs, labels(spark)).collect()
     assert len(got) == len(rows())
     assert all(0 <= r.score <= 1 and r.predicted in (0, 1) for r in got)
+    assert LARGE in {r.doc_id for r in got}
     assert {r.doc_id for r in got if r.held_out} == {r[0] for r in rows() if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0}
     assert run(empty(spark), labels(spark)).count() == 0
     assert run(docs, labels(spark).where("false")).count() == len(got)
@@ -254,6 +281,55 @@ def test_trees_isotonic_and_machine_learn():
     assert math.isclose(float(raw[7]), slow, rel_tol=1e-4)
 
 
+def test_scores_of_texts_are_those_of_the_lattice(spark, monkeypatch):
+    """Without rounds of fitting, against sums over all ways through each word by a plain recursion."""
+    data = [(1, "An anthill, an ant."), (2, "the Xylophone"), (3, None), (4, "an an an")]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    got = {r.doc_id: r.score for r in lm_scoring.score_texts(docs, F.col("doc_id") == 2, rounds=0).collect()}
+    v = lm_scoring.Vocabulary(packing.tokenizer_path())
+    p = np.exp(v.start())
+
+    def ways(part):
+        a = [1.0] + [0.0] * len(part)
+        for j in range(1, len(part) + 1):
+            table = v.final if j == len(part) else v.inner
+            a[j] = sum(a[i] * p[table[part[i:j]]] for i in range(j) if part[i:j] in table)
+        return a[-1]
+
+    words = [WORD.findall((t or "").translate(LOW)) for _, t in data]
+    total = sum(len(w) + 1 for (d, _), w in zip(data, words, strict=True) if d != 2)
+    p_end = 4 / (total + 2)
+    for (d, _), ws in zip(data, words, strict=True):
+        want = math.log10(p_end)
+        for w in ws:
+            parts = lm_scoring.parts_of(w.encode())
+            want += math.log10((1 - p_end) * p[v.glue] ** (len(parts) - 1) * math.prod(map(ways, parts)))
+        assert math.isclose(got[d], want, rel_tol=1e-9), d
+
+
+def test_shards_are_written_whole(spark, tmp_path):
+    rows_ = [(i % 40 if i % 9 else None, f"text {i}", "s") for i in range(300)]
+    df = spark.createDataFrame(rows_, "doc_id bigint, text string, shard string")
+    shards = sharding.extendible_shards(df, "doc_id", F.octet_length("text"), 400)
+    sharding.write_shards(df, "doc_id", shards, f"{tmp_path}/out")
+    back = spark.read.parquet(f"{tmp_path}/out")
+    assert Counter((r.doc_id, r.text) for r in back.collect()) == Counter((a, b) for a, b, _ in rows_)
+    sizes = {f"{r.depth:02}-{r.prefix:X}": (r.shard_bytes, r.n_rows) for r in sharding.directory(shards).collect()}
+    got = {r._shard: (r.b, r.n) for r in back.groupBy("_shard").agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).collect()}
+    assert got == sizes and len(got) > 3
+
+
+def test_merges_are_those_of_the_tokenizer():
+    tok = packing.tokenizer(packing.tokenizer_path())
+    rng = np.random.default_rng(3)
+    letters = list("abcdefghijklmnopqrstuvwxyzäöüßéèñçÀÉ") + ["th", "er", "in", "tion"]
+    texts = ["".join(rng.choice(letters, rng.integers(1, 14))) + str(rng.choice(["", ".", ",", "!!", "***", "'s", "'", "&&&", "…"])) for _ in range(4000)]
+    texts += ["", "it's DON'T", "x" * 200, "ﬁne İstanbul ΑΣ", "a.b.c", "<|endoftext|>", "日本語 text", "1a2b"]
+    got = list(packing.Encoder(packing.tokenizer_path())(texts))
+    for t, g in zip(texts, got, strict=True):
+        assert np.frombuffer(g, "<u4").tolist() == [*tok.encode(t, add_special_tokens=False).ids, 1], t
+
+
 def test_packing(spark, docs):
     from tokenizers import Tokenizer
 

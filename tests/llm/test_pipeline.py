@@ -4,31 +4,34 @@ from collections import Counter
 
 from pageloom.llm import packing, toxicity
 from tests.llm import brute
-from tests.llm.fixture import corpus, labels
+from tests.llm.fixture import LARGE, corpus, empty, labels
 
 import corpus_pipeline
 
 
 def test_pipeline(spark, tmp_path):
+    """With NULL ids and texts, repeated rows, an id beyond doubles and columns that share names with inner ones."""
     from tokenizers import Tokenizer
 
-    docs = corpus(spark).where("doc_id is not null").dropDuplicates(["doc_id"]).select("doc_id", "text", "lang", "source", "n_chars")
-    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    corpus(spark).write.parquet(f"{tmp_path}/documents.parquet")
     labels(spark).write.parquet(f"{tmp_path}/labels.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
 
-    clean = toxicity.score(docs, toxicity.train(docs, spark.read.parquet(f"{tmp_path}/labels.parquet")), docs.columns).where("toxicity < 0.5").collect()
-    texts = brute.dedup_lines({r.doc_id: r.text for r in clean})
-    kept = brute.first_of_components(texts)
-    times = brute.mix([(r.doc_id, texts[r.doc_id], r.lang, r.source) for r in clean if r.doc_id in kept])
+    scored = toxicity.score(docs, toxicity.train(docs, spark.read.parquet(f"{tmp_path}/labels.parquet")), docs.columns, "tox")
+    clean = scored.where(f"tox < {corpus_pipeline.TOXIC}").collect()
+    texts = brute.dedup_lines({r.doc_id: r.text for r in clean if r.doc_id is not None})
+    first = brute.first_of_components(texts, corpus_pipeline.COPY_SHINGLE, corpus_pipeline.COPY_PERCENT)
+    kept = [(r.doc_id, r.text if r.doc_id is None else texts[r.doc_id], r.lang, r.source) for r in clean if r.doc_id is None or r.doc_id in first]
+    times = brute.mix(kept)
     tok = Tokenizer.from_file(packing.tokenizer_path())
     tok.encode_special_tokens = True
-    want = Counter({d: n * (len(tok.encode(texts[d] or "", add_special_tokens=False).ids) + 1) for d, n in times.items() if n})
+    size = {d: len(tok.encode(t or "", add_special_tokens=False).ids) + 1 for d, t, _, _ in kept if brute.WORD.search(t or "")}
+    want = Counter({d: n * size[d] for d, n in times.items() if n})
     have = Counter()
     for r in got:
         have[r.doc_id] += r.length
-    assert have == want
+    assert have == want and LARGE in have and None in have
     sizes = Counter()
     for r in got:
         sizes[r.sequence_id] += r.length
@@ -36,5 +39,12 @@ def test_pipeline(spark, tmp_path):
     assert len({(r.sequence_id, r.offset) for r in got}) == len(got)
 
 
-def test_stages_keep_the_columns(spark, tmp_path):
+def test_stages_on_an_empty_table(spark, tmp_path):
+    empty(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    labels(spark).write.parquet(f"{tmp_path}/labels.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "ngram_join", "mixing", "packing"]
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and out.isEmpty()
+    assert corpus_pipeline.run(spark, str(tmp_path)).isEmpty()
