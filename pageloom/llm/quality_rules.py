@@ -109,17 +109,39 @@ def _factor(params: DataFrame, xs: list[str]) -> DataFrame:
     return params
 
 
-def robust_outliers(stats: DataFrame, groups: list[str], floors: dict[str, float], work: Scratch, h: float = 0.75, steps: int = 3, least_rows: int = 150, level: float = 1 - 1e-6) -> DataFrame:
+def _estimate(near: DataFrame, keys: list[str], xs: list[str], floors: dict[str, float], scale: float) -> DataFrame:
+    """keys, centre m_i, factor l_i_j and the logarithm of the determinant, from the rows given."""
+    d = len(xs)
+    sums = near.groupBy(*keys).agg(*[F.avg(x).alias(f"m_{i}") for i, x in enumerate(xs)], *[F.avg(F.col(xs[i]) * F.col(xs[j])).alias(f"q_{i}_{j}") for i in range(d) for j in range(i + 1)])
+    cov = {f"s_{i}_{j}": (F.col(f"q_{i}_{j}") - F.col(f"m_{i}") * F.col(f"m_{j}")) * scale + F.lit(floors[xs[i]] ** 2 if i == j else 0.0) for i in range(d) for j in range(i + 1)}
+    out = _factor(sums.withColumns(cov), xs)
+    det = sum((F.log(f"l_{i}_{i}") for i in range(d)), F.lit(0.0)) * 2
+    return out.select(*keys, *[f"m_{i}" for i in range(d)], *[f"l_{i}_{j}" for i in range(d) for j in range(i + 1)], det.alias("log_det"))
+
+
+def _concentrated(rows: DataFrame, params: DataFrame, keys: list[str], xs: list[str], floors: dict[str, float], scale: float, h: float, work: Scratch, name: str) -> DataFrame:
+    """One concentration step: the estimate from the share h of rows nearest to the one before."""
+    far = work.save(_with_distance(rows.join(params.drop("log_det"), keys), xs).select(*keys, *xs, "d2"), f"far-{name}")
+    cut = work.save(far.groupBy(*keys).agg(F.percentile_approx("d2", h, 1000).alias("cut")), f"cut-{name}")
+    out = work.save(_estimate(far.join(cut, keys).where("d2 <= cut"), keys, xs, floors, scale), f"params-{name}")
+    work.drop(f"far-{name}")
+    return out
+
+
+def robust_outliers(stats: DataFrame, groups: list[str], floors: dict[str, float], work: Scratch, h: float = 0.75, starts: int = 3, most_steps: int = 12, least_rows: int | None = None, level: float = 1 - 1e-6) -> DataFrame:
     """stats with d2 (squared robust Mahalanobis distance), cutoff and outlier.
 
-    Minimum covariance determinant by concentration steps: from the medians and absolute deviations of a cell, keep
-    the share `h` of rows that lie nearest, take their mean and covariance, measure all rows anew, repeat. The
-    covariance is scaled for the share kept, and the squared floors are added to its diagonal, so that a statistic
-    that is constant within a cell (its determinant would be 0) still gives finite distances. A cell is the row's
-    `groups`; cells under `least_rows` share the cell of the first group, and if that is small too, one for all.
-    Rows whose group is NULL form a cell of their own. Only sums and quantile sketches by cell leave the executors.
+    Minimum covariance determinant by concentration steps: keep the share `h` of a cell's rows that lie nearest, take
+    their mean and covariance, measure all rows anew. Several starts (medians and absolute deviations, then disjoint
+    random parts of the cell) take two steps each; the one of least determinant goes on until no determinant falls any more,
+    most_steps at most. The covariance is scaled for the share kept, and the squared floors are added to its diagonal, so
+    that a statistic that is constant within a cell (its determinant would be 0) still gives finite distances. A cell is the
+    row's `groups`; one under least_rows (five for each statistic, if not given), too few for an estimate, shares the cell of
+    the first group, and if that is small too, one for all. Rows whose group is NULL form a cell of their own. Only sums and
+    quantile sketches by cell leave the executors.
     """
     xs, d = list(floors), len(floors)
+    least_rows = 5 * d if least_rows is None else least_rows
     first = groups[:1]
     null_safe = lambda gs: F.concat_ws("\x1f", *[F.coalesce(F.col(g).cast("string"), F.lit("\x00")) for g in gs])
     keyed = stats.withColumns({"_all": null_safe(groups), "_one": null_safe(first)})
@@ -127,22 +149,30 @@ def robust_outliers(stats: DataFrame, groups: list[str], floors: dict[str, float
     ones = sizes.groupBy("_one").agg(F.sum("n").alias("n1"))
     cells = sizes.join(ones, "_one").select("_all", F.when(F.col("n") >= least_rows, F.concat(F.lit("2\x1f"), "_all")).when(F.col("n1") >= least_rows, F.concat(F.lit("1\x1f"), "_one")).otherwise("0").alias("cell"))
     rows = work.save(keyed.join(work.save(cells, "cells"), "_all").drop("_all", "_one"), "rows")
+    only = rows.select("cell", *xs)
+    scale = h / _gamma_p((d + 2) / 2, chi2_quantile(h, d) / 2)
     middle = lambda c: F.percentile_approx(c, 0.5, 1000)
-    centre = work.save(rows.groupBy("cell").agg(*[middle(x).alias(f"m_{i}") for i, x in enumerate(xs)]), "centre")
-    spread = rows.join(centre, "cell").groupBy("cell").agg(*[F.first(f"m_{i}").alias(f"m_{i}") for i in range(d)], *[middle(F.abs(F.col(x) - F.col(f"m_{i}"))).alias(f"a_{i}") for i, x in enumerate(xs)])
+    centre = work.save(only.groupBy("cell").agg(*[middle(x).alias(f"m_{i}") for i, x in enumerate(xs)]), "centre")
+    spread = only.join(centre, "cell").groupBy("cell").agg(*[F.first(f"m_{i}").alias(f"m_{i}") for i in range(d)], *[middle(F.abs(F.col(x) - F.col(f"m_{i}"))).alias(f"a_{i}") for i, x in enumerate(xs)])
     cov = {f"s_{i}_{j}": (F.pow(1.4826 * F.col(f"a_{i}"), 2) + F.lit(floors[xs[i]] ** 2)) if i == j else F.lit(0.0) for i in range(d) for j in range(i + 1)}
-    params = work.save(_factor(spread.withColumns(cov), xs), "params0")
-    scale = h / _gamma_p((d + 2) / 2, chi2_quantile(h, d) / 2)
     factor = ["cell", *[f"m_{i}" for i in range(d)], *[f"l_{i}_{j}" for i in range(d) for j in range(i + 1)]]
-    for k in range(1, steps + 1):
-        far = work.save(_with_distance(rows.join(params.select(*factor), "cell"), xs).select("cell", *xs, "d2"), f"far{k}")
-        cut = work.save(far.groupBy("cell").agg(F.percentile_approx("d2", h, 1000).alias("cut")), f"cut{k}")
-        near = far.join(cut, "cell").where("d2 <= cut")
-        sums = near.groupBy("cell").agg(*[F.avg(x).alias(f"m_{i}") for i, x in enumerate(xs)], *[F.avg(F.col(xs[i]) * F.col(xs[j])).alias(f"q_{i}_{j}") for i in range(d) for j in range(i + 1)])
-        cov = {f"s_{i}_{j}": (F.col(f"q_{i}_{j}") - F.col(f"m_{i}") * F.col(f"m_{j}")) * scale + F.lit(floors[xs[i]] ** 2 if i == j else 0.0) for i in range(d) for j in range(i + 1)}
-        params = work.save(_factor(sums.withColumns(cov), xs), f"params{k}")
-        work.drop(f"far{k}")
-    out = _with_distance(rows.join(params.select(*factor), "cell"), xs).drop(*factor[1:], *[f"y_{i}" for i in range(d)])
+    begun = _factor(spread.withColumns(cov), xs).select(*factor).withColumn("start", F.lit(0))
+    part = F.pmod(F.xxhash64(*xs), F.lit(max(1, starts - 1))).cast("int") + 1
+    if starts > 1:
+        begun = begun.unionByName(_estimate(only.withColumn("start", part), ["cell", "start"], xs, floors, 1.0).drop("log_det"))
+    params = work.save(begun, "begun")
+    many = only.withColumn("start", F.explode(F.sequence(F.lit(0), F.lit(max(0, starts - 1)))))
+    for k in range(2):
+        params = _concentrated(many, params, ["cell", "start"], xs, floors, scale, h, work, f"start{k}")
+    best = params.groupBy("cell").agg(F.min_by("start", "log_det").alias("start"))
+    params = work.save(params.join(best, ["cell", "start"]).drop("start"), "best")
+    for k in range(most_steps):
+        nxt = _concentrated(only, params, ["cell"], xs, floors, scale, h, work, f"step{k}")
+        fell = nxt.join(params.select("cell", F.col("log_det").alias("_was")), "cell").agg(F.max(F.col("_was") - F.col("log_det"))).first()[0]
+        params = nxt
+        if fell is None or fell < 1e-3:
+            break
+    out = _with_distance(rows.join(params.drop("log_det"), "cell"), xs).drop(*factor[1:], *[f"y_{i}" for i in range(d)])
     return out.withColumn("cutoff", F.lit(chi2_quantile(level, d))).withColumn("outlier", F.col("d2") > F.col("cutoff"))
 
 
@@ -152,7 +182,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     base_failed: under 20 words, or more than 30 % of the words in windows of 8 that repeat. Other documents are kept
     unless their statistics are robust outliers of their language and source; the estimates come from the documents that
     the base passes. NULL and empty texts have no words and fail the base; so does nothing else about NULLs: a NULL
-    language or source is a group of its own. Repeated rows each get their row. No rows give no rows.
+    language or source is a group of its own. Very long texts are counted whole. Repeated rows each get their row. Other columns are
+    not read. No rows give no rows.
     """
     work = Scratch(docs.sparkSession, "quality")
     stats = work.save(statistics(docs, ["doc_id", "lang", "source"]), "stats")
