@@ -12,11 +12,13 @@ from pageloom.llm.work import Scratch, by_group, mark
 
 #: Bound on the vectors that a partition and its classifier are fitted on; every vector is indexed.
 SAMPLE = 8192
-#: Rows that a part is meant to hold, parts of a level, parts that a query searches, rows of a block.
+#: Rows that a part is meant to hold, parts of a level, rows of a block.
 ROWS = 1000
 MOST_PARTS = 256
-PROBES = 12
 BLOCK = 1024
+#: Share of the neighbours of held-out vectors that must lie in the parts searched, by which the number of parts is chosen; how many
+#: vectors are held out; parts that give the first bound on a query's scores.
+TARGET, HELD_OUT, FIRST = 0.95, 1024, 4
 
 
 def neighbour_graph(x: np.ndarray, k: int = 10) -> np.ndarray:
@@ -106,6 +108,10 @@ class Index:
         self.first, self.second = first, second
         self.width = max([1, *(r.w[3].size for r in second.values())])
 
+    def __len__(self) -> int:
+        """Leaves, or rather their numbers."""
+        return self.width * (1 if self.first is None else self.first.w[3].size)
+
     def likeliest(self, x: np.ndarray, probes: int) -> tuple[np.ndarray, np.ndarray]:
         """For each row the numbers of its likeliest leaves, best first, and their probabilities; -1 where there are fewer."""
         if self.first is None:
@@ -137,13 +143,31 @@ def fit_router(x: np.ndarray, parts: int) -> Router:
     return Router().fit(x, target)
 
 
+def parts_to_search(index: Index, held_out: np.ndarray, x: np.ndarray, k: int = 20) -> int:
+    """The fewest likeliest parts of a held-out vector that together hold TARGET of its k nearest among x; all that index ranks if they don't.
+
+    Nearest vectors of a sample are farther away than those of the whole table, so the share is rather too low than too high.
+    """
+    leaf = index.likeliest(x, 1)[0][:, 0]
+    most, hits, k = min(MOST_PARTS, len(index)), np.zeros(MOST_PARTS, np.int64), min(k, len(x))
+    for lo in range(0, len(held_out), 64):
+        q = held_out[lo : lo + 64]
+        ranked = index.likeliest(q, most)[0]
+        near = leaf[np.argpartition(-(q @ x.T), k - 1, 1)[:, :k]]
+        same = near[:, :, None] == ranked[:, None, :]
+        found = same.any(2)
+        hits += np.bincount(same.argmax(2)[found], minlength=MOST_PARTS)[:MOST_PARTS]
+    share = np.cumsum(hits) / max(1, len(held_out) * k)
+    return int(np.argmax(share >= TARGET)) + 1 if (share >= TARGET).any() else most
+
+
 def _nearest(table: pa.Table, k: int) -> pa.Table:
-    """The k nearest of each query of one block, by exact scores. A query's number is the hash of its vector."""
+    """The k nearest of each query of one block, by exact scores, that reach the query's bound. A query's number is the hash of its vector."""
     role = table["query"].to_numpy()
-    ids = table["vec_id"].to_numpy()
+    ids, bound = table["vec_id"].to_numpy(), table["least"].to_numpy()
     flat = table["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     x = flat.reshape(len(ids), -1)
-    q, qi = x[role], ids[role]
+    q, qi, bound = x[role], ids[role], bound[role]
     x, xi = x[~role], ids[~role]
     if not len(q) or not len(x):
         return None
@@ -160,7 +184,7 @@ def _nearest(table: pa.Table, k: int) -> pa.Table:
         best = np.lexsort((xi[c], -e, row))
         row, c, e = row[best], c[best], e[best]
         nth = np.arange(len(row)) - np.searchsorted(row, row, "left")
-        few = nth < n
+        few = (nth < n) & (e >= bound[lo + row])
         out.append((qi[lo + row[few]], xi[c[few]], e[few]))
     a, b, c = (np.concatenate(z) for z in zip(*out, strict=True))
     return pa.table({"same": a, "vec_id": b, "score": c})
@@ -207,17 +231,18 @@ def _second_level(rows: DataFrame, first: Router, parts: int, n: int, work: Scra
     return out
 
 
-def nearest(vectors: DataFrame, is_query, k: int = 20, probes: int = PROBES) -> DataFrame:
+def nearest(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for each query row, by inner product, ties to the smaller vec_id.
 
     Columns vec_id and embedding; NULL ids, and vectors that are NULL, empty, zero, of another length than most, or hold a
     NULL or non-finite component take no part. The rows are parted into parts of about ROWS rows, in two levels above
-    MOST_PARTS of them. Each row lies in the part that the router finds likeliest; a query searches the `probes` likeliest parts,
-    at every size of the table, and more only until they hold k + 1 rows. Parts are searched in blocks of about BLOCK rows.
-    Equal vectors are searched for once and found by their k + 1 smallest ids, which changes no result, so a
-    vector that fills a third of the table is as cheap as any. Repeated ids are candidates as often as they occur, but never of
-    themselves; a query id that is there with several vectors gets the nearest to any of them. No rows give no rows. Other
-    columns are not read.
+    MOST_PARTS of them. Each row lies in the part that the router finds likeliest. A query searches its likeliest parts, as many
+    as hold TARGET of the neighbours of held-out vectors (few where vectors form clusters, most where they don't), and more
+    until they hold k + 1 rows. The FIRST of them give a bound; of the others only what reaches it leaves its task. Parts are
+    searched in blocks of about BLOCK rows. Equal vectors are searched for once and found by their k + 1 smallest ids, which
+    changes no result, so a vector that fills a third of the table is as cheap as any. Repeated ids are candidates as often as
+    they occur, but never of themselves; a query id that is there with several vectors gets the nearest to any of them. No
+    rows give no rows. Other columns are not read.
     """
     spark, work = vectors.sparkSession, Scratch(vectors.sparkSession, "ann")
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("query"))
@@ -226,12 +251,14 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, probes: int = PROBES) ->
     dim, n = (int(size["d"]), int(size["n"])) if size else (1, 0)
     rows = rows.where(F.size("v") == dim)
     parts = int(max(1, min(MOST_PARTS, n // ROWS, SAMPLE // 16)))
-    first, second = None, {}
+    first, second, probes = None, {}, 1
     if parts > 1:
         x = np.array(_sample(rows.select("vec_id", "v")).toPandas().v.tolist(), float).reshape(-1, dim)
+        held_out, x = x[-min(HELD_OUT, len(x) // 5) :], x[: -min(HELD_OUT, len(x) // 5)]
         first = fit_router(x, int(min(parts, max(2, len(x) // 16))))
         if n > 2 * MOST_PARTS * ROWS:
             second = _second_level(rows.select("vec_id", "v"), first, parts, n, work)
+        probes = parts_to_search(Index(first, second), held_out, x, k)
     shared = spark.sparkContext.broadcast(Index(first, second))
 
     def index(frames):
@@ -269,14 +296,15 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, probes: int = PROBES) ->
                     at.append(np.full(len(ls), i))
                     to.append(ls)
                 open_, most = open_[~done], 4 * most
+            nth = np.concatenate([np.arange(len(x)) for x in at])
             at, to = np.concatenate(at), np.concatenate(to)
             live = held[to] > 0
-            yield pd.DataFrame({"vec_id": f.vec_id.to_numpy()[at[live]], "v": f.v.to_numpy()[at[live]], "part": to[live]})
+            yield pd.DataFrame({"vec_id": f.vec_id.to_numpy()[at[live]], "v": f.v.to_numpy()[at[live]], "part": to[live], "nth": nth[live]})
 
     # one query for all that ask with an equal vector
     asked = rows.where("query").select(F.col("vec_id").alias("query_id"), "same").distinct()
     one = rows.where("query").select(F.col("same").alias("vec_id"), "v").dropDuplicates(["vec_id"])
-    routed = work.save(one.mapInPandas(route, "vec_id bigint, v array<double>, part bigint"), "routed")
+    routed = work.save(one.mapInPandas(route, "vec_id bigint, v array<double>, part bigint, nth bigint"), "routed")
     asks = routed.groupBy("part").agg(F.count("*").alias("nq"))
     grid = indexed.groupBy("part").agg(F.count("*").alias("nd")).join(asks, "part").select("part", *[F.ceil(F.col(c) / BLOCK).cast("int").alias(c) for c in ("nd", "nq")])
     grid = work.save(grid, "grid")  # a row a part: at most MOST_PARTS * MOST_PARTS
@@ -284,10 +312,24 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, probes: int = PROBES) ->
         df.join(F.broadcast(grid), "part").withColumn(own, F.pmod(F.xxhash64("vec_id"), F.col("nd" if own == "db" else "nq"))).withColumn(other, F.explode(F.sequence(F.lit(0), F.col("nq" if own == "db" else "nd") - 1)))
     )
     cols = ["part", "db", "qb", "vec_id", "v"]
-    both = deal(indexed, "db", "qb").select(*cols, F.lit(False).alias("query")).unionByName(deal(routed, "qb", "db").select(*cols, F.lit(True).alias("query")))
-    # one more than k distinct ids, since a query may find itself; ids may repeat, so k more
-    found = by_group(both, ["part", "db", "qb"], lambda t: _nearest(t, 2 * k), "same bigint, vec_id bigint, score double")
-    top = found.withColumn("nth", F.row_number().over(Window.partitionBy("same").orderBy(F.desc("score"), "vec_id"))).where(F.col("nth") <= 2 * k)
-    pairs = asked.join(top, "same").where("query_id != vec_id")
-    best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return pairs.withColumn("rank", best).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    data = deal(indexed, "db", "qb").select(*cols, F.lit(False).alias("query"), F.lit(0.0).alias("least"))
+    # a query may find itself, as often as its id is repeated
+    times = rows.groupBy("vec_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
+    top = k + min(k, int(times))
+
+    def search(asks: DataFrame) -> DataFrame:
+        """same, vec_id, score: the best of each query over the parts that it asks for."""
+        wanted = asks.select("part").distinct()
+        both = data.join(F.broadcast(wanted), "part", "left_semi").unionByName(deal(asks, "qb", "db").select(*cols, F.lit(True).alias("query"), "least"))
+        return best(by_group(both, ["part", "db", "qb"], lambda t: _nearest(t, top), "same bigint, vec_id bigint, score double"))
+
+    def best(found: DataFrame) -> DataFrame:
+        return found.withColumn("nth", F.row_number().over(Window.partitionBy("same").orderBy(F.desc("score"), "vec_id"))).where(F.col("nth") <= top).drop("nth")
+
+    early = work.save(search(routed.where(F.col("nth") < FIRST).withColumn("least", F.lit(float("-inf")))), "early")
+    bound = early.groupBy(F.col("same").alias("vec_id")).agg(F.when(F.count("*") == top, F.min("score")).alias("least"))
+    rest = routed.where(F.col("nth") >= FIRST).join(bound, "vec_id", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
+    found = best(early.unionByName(search(rest)))
+    pairs = asked.join(found, "same").where("query_id != vec_id")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return pairs.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
