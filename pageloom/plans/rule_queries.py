@@ -8,7 +8,9 @@ from pageloom.plans.book_queries import _EVAL, evaluation, turns
 from pageloom.plans.catalog import query, table
 from pageloom.sources import documents, inventory
 
-_ID = F.col("doc_id").cast("string")
+
+def _id():
+    return F.col("doc_id").cast("string")
 
 
 def docs(spark, sf_dir):
@@ -30,7 +32,7 @@ def q_format_number(spark, sf_dir):
 
 @query("SELECT doc_id, '[' || doc_id || '],' || (doc_id + 1) AS label FROM documents")
 def q_normalize_label(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", T.normalize_label(F.concat(F.lit(" ["), _ID, F.lit("],\t "), (F.col("doc_id") + 1).cast("string"), F.lit("\n"))).alias("label"))
+    return docs(spark, sf_dir).select("doc_id", T.normalize_label(F.concat(F.lit(" ["), _id(), F.lit("],\t "), (F.col("doc_id") + 1).cast("string"), F.lit("\n"))).alias("label"))
 
 
 @query(f"SELECT doc_id, md5(trim({_SPACES.format(_FOLD.format('text'))}, ' .,:;/-–—')) AS form FROM documents")
@@ -58,7 +60,7 @@ _WORDS = "SELECT doc_id, left(md5(CAST(doc_id AS VARCHAR)), CAST(1 + doc_id % 9
 
 
 def _words(spark, sf_dir):
-    m, i = F.md5(_ID), F.col("doc_id")
+    m, i = F.md5(_id()), F.col("doc_id")
     return docs(spark, sf_dir).select("doc_id", F.left(m, (1 + i % 9).cast("int")).alias("a"), F.concat(F.left(m, (1 + i % 7).cast("int")), F.repeat(F.lit("x"), (i % 4).cast("int"))).alias("b"))
 
 
@@ -111,13 +113,13 @@ def q_incomparable_values(spark, sf_dir):
  WHEN doc_id % 4 = 0 THEN 'missing_value' WHEN doc_id % 2 = 0 THEN 'wrong_value' ELSE 'correct' END AS outcome FROM documents""")
 def q_score_bibliography(spark, sf_dir):
     i = F.col("doc_id")
-    d = docs(spark, sf_dir).select("doc_id", F.concat(F.lit("d"), _ID).alias("book_id"))
-    title = F.array(F.concat(F.lit("Große Reise "), _ID, F.lit(".")), F.lit("Band 2"))
+    d = docs(spark, sf_dir).select("doc_id", F.concat(F.lit("d"), _id()).alias("book_id"))
+    title = F.array(F.concat(F.lit("Große Reise "), _id(), F.lit(".")), F.lit("Band 2"))
     none = F.array(F.lit(None).cast("array<string>"))
     gold = d.select("book_id", F.lit("title").alias("field"), F.when(i % 11 == 0, "not_reviewed").when(i % 13 == 0, "ambiguous").when(i % 3 == 0, "absent").otherwise("verified").alias("status"),
                     F.when((i % 11 != 0) & (i % 13 != 0), F.when(i % 3 == 0, none).otherwise(F.array(title))).alias("accept"))
     books = d.where("doc_id % 7 != 0").select(F.lit("catalogue").alias("system"), "book_id", "doc_id")
-    value = F.when(i % 4 == 0, F.array().cast("array<string>")).when(i % 2 == 0, F.array(F.lit("Another title"))).otherwise(F.array(F.lit("BAND 2"), F.concat(F.lit("  GROSSE  reise "), _ID)))
+    value = F.when(i % 4 == 0, F.array().cast("array<string>")).when(i % 2 == 0, F.array(F.lit("Another title"))).otherwise(F.array(F.lit("BAND 2"), F.concat(F.lit("  GROSSE  reise "), _id())))
     pred = books.where("doc_id % 5 != 0").select("system", "book_id", F.lit("title").alias("field"), value.alias("value"))
     checks = books.select("system", "book_id", (i % 17 != 0).alias("compatible"))
     return bibliography.score_bibliography(gold, pred, books.drop("doc_id"), checks).select("system", "book_id", "field", "outcome")
@@ -125,7 +127,7 @@ def q_score_bibliography(spark, sf_dir):
 
 @query("SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE 'VII,' || doc_id END AS form, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE '0' || doc_id || ',vii' END AS exact FROM documents")
 def q_canonical_numbers(spark, sf_dir):
-    values = F.when(F.col("doc_id") % 4 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("vii"), F.concat(F.lit("0"), _ID)))
+    values = F.when(F.col("doc_id") % 4 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("vii"), F.concat(F.lit("0"), _id())))
     joined = lambda f: F.array_join(F.reverse(bibliography.canonical(f, values)) if f.endswith("normalized") else bibliography.canonical(f, values), ",")
     return docs(spark, sf_dir).select("doc_id", joined("printed_numbers_normalized").alias("form"), joined("printed_numbers_exact").alias("exact"))
 
@@ -179,7 +181,7 @@ def q_reference_positions(spark, sf_dir):
     from pyspark.sql import Window
 
     d = docs(spark, sf_dir)
-    scans = d.select(F.col("source").alias("book_id"), (F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1).cast("bigint").alias("scan_index"), F.concat(F.lit("d"), _ID).alias("scan_id"))
+    scans = d.select(F.col("source").alias("book_id"), (F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1).cast("bigint").alias("scan_index"), F.concat(F.lit("d"), _id()).alias("scan_id"))
     refs = d.select(F.col("source").alias("book_id"), F.col("doc_id").alias("pos"), F.array(F.col("n_chars") % 60, F.col("doc_id") % 7, F.col("n_chars") % 60).alias("positions"))
     out = reconcile.reference_positions(refs, scans, d.groupBy(F.col("source").alias("book_id")).agg(F.count("*").alias("n")))
     return out.select("pos", F.array_join(F.array_sort("scan_ids"), ",").alias("scan_ids"), F.size("outside").cast("bigint").alias("n_outside"))
@@ -200,7 +202,7 @@ _OCR = "SELECT *, CASE WHEN n_chars % 7 = 0 THEN 'missing' WHEN n_chars % 7 = 1
 def ocr(spark, sf_dir):
     n, i = F.col("n_chars"), F.col("doc_id")
     status = F.when(n % 7 == 0, "missing").when(n % 7 == 1, "error").otherwise("ok")
-    d = docs(spark, sf_dir).select(F.col("source").alias("book_id"), "doc_id", F.concat(F.lit("d"), _ID).alias("scan_id"), "n_chars", status.alias("status"))
+    d = docs(spark, sf_dir).select(F.col("source").alias("book_id"), "doc_id", F.concat(F.lit("d"), _id()).alias("scan_id"), "n_chars", status.alias("status"))
     here, ok = F.col("status") != "missing", F.col("status") == "ok"
     file = F.when(here | (i % 11 == 0), F.concat("scan_id", F.lit(".txt")))
     o = F.struct(
@@ -248,7 +250,7 @@ def q_page_type_vocabulary(spark, sf_dir):
 @query("SELECT 'scan_ref' AS rule, source AS book_id, 'd' || (doc_id + 1) AS detail FROM documents d WHERE NOT EXISTS (SELECT 1 FROM documents e WHERE e.source = d.source AND e.doc_id = d.doc_id + 1)")
 def q_known_references(spark, sf_dir):
     d = docs(spark, sf_dir)
-    ids = d.select(F.col("source").alias("book_id"), F.concat(F.lit("d"), _ID).alias("id"))
+    ids = d.select(F.col("source").alias("book_id"), F.concat(F.lit("d"), _id()).alias("id"))
     return validate.known(d.select(F.col("source").alias("book_id"), F.concat(F.lit("d"), (F.col("doc_id") + 1).cast("string")).alias("id")), ids, "scan_ref")
 
 
@@ -256,7 +258,7 @@ def q_known_references(spark, sf_dir):
  OR (doc_id % 5 = 0 AND doc_id % 7 <> 0)""")
 def q_observation_calls(spark, sf_dir):
     d, i, n = docs(spark, sf_dir), F.col("doc_id"), F.col("n_chars")
-    scan, call = F.concat(F.lit("d"), _ID), F.concat(F.lit("c"), _ID)
+    scan, call = F.concat(F.lit("d"), _id()), F.concat(F.lit("c"), _id())
     scans = d.select(F.col("source").alias("book_id"), scan.alias("scan_id"), F.when(i % 5 != 0, "seen").alias("observation"), F.when(i % 7 != 0, call).alias("observation_call_id"))
     calls = d.where("n_chars % 10 != 3").select(F.col("source").alias("book_id"), call.alias("call_id"), F.when(n % 4 == 0, "reconcile").otherwise("observe").alias("stage"), F.when(n % 9 == 0, "timeout").otherwise("ok").alias("status"), scan.alias("scan_id"))
     return validate.observation_calls(scans, calls)
@@ -265,7 +267,7 @@ def q_observation_calls(spark, sf_dir):
 @query("SELECT 'resolved_scans' AS rule, source AS book_id, CAST(doc_id AS VARCHAR) AS detail FROM documents WHERE doc_id % 9 = 0 OR doc_id % 8 = 0")
 def q_same_scans(spark, sf_dir):
     d, i = docs(spark, sf_dir), F.col("doc_id")
-    scans = d.select(F.col("source").alias("book_id"), i.alias("scan_index"), F.concat(F.lit("d"), _ID).alias("scan_id"))
+    scans = d.select(F.col("source").alias("book_id"), i.alias("scan_index"), F.concat(F.lit("d"), _id()).alias("scan_id"))
     return validate.same_scans(scans, scans.where("scan_index % 9 != 0").withColumn("scan_id", F.when(F.col("scan_index") % 8 == 0, "other").otherwise(F.col("scan_id"))))
 
 
@@ -294,7 +296,7 @@ def q_subpage_rules(spark, sf_dir):
 @query("SELECT 'page_number' AS rule, source AS book_id, CAST(doc_id AS VARCHAR) AS detail FROM documents WHERE doc_id % 5 <> 0 AND (doc_id % 6 = 0 OR doc_id % 7 = 0)")
 def q_page_number_rules(spark, sf_dir):
     i = F.col("doc_id")
-    d = docs(spark, sf_dir).select(F.col("source").alias("book_id"), i.alias("scan_index"), _ID.alias("n"))
+    d = docs(spark, sf_dir).select(F.col("source").alias("book_id"), i.alias("scan_index"), _id().alias("n"))
     stored = d.select("book_id", "scan_index", F.when(F.col("scan_index") % 5 != 0, F.when(F.col("scan_index") % 6 == 0, "x").otherwise(F.col("n"))).alias("page_number"))
     return validate.page_number_rules(stored, d.select("book_id", "scan_index", F.when(F.col("scan_index") % 7 != 0, F.col("n")).alias("page_number")))
 
@@ -302,7 +304,7 @@ def q_page_number_rules(spark, sf_dir):
 @query("SELECT 'totals' AS rule, 'b' || doc_id AS book_id, '3' AS detail FROM documents WHERE doc_id % 5 = 0 OR doc_id % 6 = 0 OR doc_id % 7 = 0")
 def q_totals_rules(spark, sf_dir):
     i = F.col("doc_id")
-    base = lambda calls, cost, complete: docs(spark, sf_dir).select(F.concat(F.lit("b"), _ID).alias("book_id"), calls.cast("bigint").alias("calls"), F.lit(1).cast("bigint").alias("failed_calls"), i.alias("prompt_tokens"), i.alias("completion_tokens"), cost.alias("cost_usd"), complete.alias("cost_complete"))
+    base = lambda calls, cost, complete: docs(spark, sf_dir).select(F.concat(F.lit("b"), _id()).alias("book_id"), calls.cast("bigint").alias("calls"), F.lit(1).cast("bigint").alias("failed_calls"), i.alias("prompt_tokens"), i.alias("completion_tokens"), cost.alias("cost_usd"), complete.alias("cost_complete"))
     stored = base(F.lit(3), F.when(i % 4 != 0, 0.1 + 0.2 * F.lit(1.0)), F.lit(True))
     computed = base(F.when(i % 5 == 0, 4).otherwise(3), F.when((i % 4 != 0) & (i % 6 != 0), F.lit(0.3)).when((i % 4 == 0) & (i % 6 == 0), F.lit(0.5)).when(i % 6 == 0, F.lit(0.4)), i % 7 != 0)
     return validate.totals_rules(stored, computed)
@@ -317,9 +319,9 @@ UNION ALL SELECT 'gold_start', book_id, 'd' || doc_id FROM s WHERE doc_id % 3 =
 def q_gold_manifest(spark, sf_dir):
     from pyspark.sql import Window
 
-    d = docs(spark, sf_dir).select(F.col("source").alias("book_id"), "doc_id", (F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1).alias("scan_index"), F.when(F.col("n_chars") % 10 == 0, "dup").otherwise(F.concat(F.lit("d"), _ID)).alias("scan_id"))
+    d = docs(spark, sf_dir).select(F.col("source").alias("book_id"), "doc_id", (F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1).alias("scan_index"), F.when(F.col("n_chars") % 10 == 0, "dup").otherwise(F.concat(F.lit("d"), _id())).alias("scan_id"))
     books = d.select("book_id").distinct().withColumns({"scan_count": F.lit(40), "has_structure": F.lit(True)})
-    starts = d.select("book_id", F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("d"), _ID)).alias("start_scan_id"))
+    starts = d.select("book_id", F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("d"), _id())).alias("start_scan_id"))
     return validate.gold_manifest(d.drop("doc_id"), books, starts)
 
 
