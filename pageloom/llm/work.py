@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import atexit
 import functools
+import re
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -18,6 +20,8 @@ _TYPES = {
     "array<bigint>": (ArrayType(LongType()), pa.list_(pa.int64())), "array<binary>": (ArrayType(BinaryType()), pa.list_(pa.binary())),
 }
 
+#: Seconds between two calls of the driver's garbage collection, on which Spark's cleaner waits.
+CLEAN_S = 5.0
 #: Java and Python forms of the word rule: runs of anything but space and \t..\r.
 SPACE = r"[\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -25,8 +29,10 @@ _LOW = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
 @functools.cache
-def _own_folder() -> str:
-    """For sessions without a shared folder, as in tests on one machine."""
+def _own_folder(master: str) -> str:
+    """For sessions without a shared folder, as in tests: on one machine only."""
+    if not re.match(r"local(\[|$)", master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     return "file://" + tempfile.mkdtemp(prefix="pageloom-")
 
 
@@ -38,9 +44,11 @@ class Scratch:
     What is left goes when the driver ends, since a returned DataFrame may still read it.
     """
 
+    _cleaned = 0.0
+
     def __init__(self, spark: SparkSession, name: str):
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        root = root or _own_folder()
+        root = root or _own_folder(spark.sparkContext.master)
         self.spark, self.root = spark, f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
         atexit.register(self._remove, self.root)
 
@@ -55,9 +63,15 @@ class Scratch:
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)
-        self.spark.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop the shuffle files of what is now written
+        self._clean()
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _clean(self) -> None:
+        """Lets Spark's cleaner drop the shuffle files of what is now written, at most once in CLEAN_S seconds."""
+        if time.monotonic() - Scratch._cleaned >= CLEAN_S:
+            Scratch._cleaned = time.monotonic()
+            self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         for n in names:
             self._remove(f"{self.root}/{n}")
