@@ -1,88 +1,241 @@
-"""Fuzzy line deduplication: MinHash over character shingles, banding, exact Jaccard, union-find; DataFrame functions only."""
+"""Fuzzy line deduplication: MinHash over character shingles, banding, exact Jaccard, union-find.
+
+Signing and verification run on whole Arrow batches of lines; all else are DataFrame functions. Signing in DataFrame functions
+gives the same lines, but not within the limit of CPU time: the README has the figures.
+"""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.work import SPACE, Scratch, components, let, mark
+from pageloom.llm.ngram_join import Sets
+from pageloom.llm.work import SLICE, Scratch, by_group, components, fresh, has_words, let, mark
 
 #: Characters of a shingle, and the similarity at which lines are joined, in hundredths.
 LENGTH = 5
 PERCENT = 80
 #: The range of hashes is cut into BINS; the smallest and the largest ENDS hashes of a bin are a band each.
 BINS = 6
-ENDS = 5
-_CUTS = [-(1 << 63) + k * (1 << 64) // BINS for k in range(1, BINS)]
+ENDS = 6
+#: Of the 2 * BINS extreme hashes of the ranges so many must agree before two lines are read: at similarity 0.8 fewer do in 6 of 10,000 pairs.
+AGREE = 5
 #: Bands with more lines than this are compared in pairs of blocks of about this size.
-BLOCK = 1024
+BLOCK = 512
+#: Bits of a key that tell the line, and characters that are treated at one time (a longer line goes alone).
+PLACE, CHARS = 14, 1 << 20
+_FACTORS = np.random.default_rng(7).integers(1 << 62, 1 << 63, LENGTH + 1, dtype=np.uint64) | np.uint64(1)
+_HASH = np.uint64(64 - PLACE)
+LOOK = ["n", "low", "high"]
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+def shingle_keys(lines: list[bytes]) -> np.ndarray:
+    """The distinct shingles of each line as rising keys: the line's place in its first PLACE bits, the shingle's hash in the others.
+
+    A shingle is LENGTH characters, one at every position; a shorter line is one shingle. Lines have no line ends and are
+    fewer than 2 ** PLACE.
+    """
+    code = np.frombuffer(b"\n".join([*lines, b""]).decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    end = np.flatnonzero(code == 10)
+    start = np.concatenate([[0], end[:-1] + 1])
+    size = end - start
+    code = np.concatenate([code, np.zeros(LENGTH, np.uint64)])
+    h = code[: -LENGTH] * _FACTORS[0]
+    for k in range(1, LENGTH):
+        h += code[k : len(h) + k] * _FACTORS[k]
+    for i in np.flatnonzero(size < LENGTH).tolist():
+        h[start[i]] = np.append(code[start[i] : end[i]] * _FACTORS[: size[i]], _FACTORS[-1:] * np.uint64(size[i])).sum()
+    many = np.maximum(size - (LENGTH - 1), 1)
+    line = np.repeat(np.arange(len(lines)), many)
+    at = np.arange(len(line)) + np.repeat(start - (np.cumsum(many) - many), many)
+    keys = line.astype(np.uint64) << _HASH | _mixed(h[at]) >> np.uint64(PLACE)
+    keys.sort()
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
 
 
-def with_shingles(df: DataFrame, line: str, to: str) -> DataFrame:
-    """df with `to`: hashes of the shingles of `line`, one at every position, some perhaps repeated.
+def signatures(lines: list[bytes]):
+    """n (distinct shingles), bands (keys that like lines are likely to share, with a mask of those there are), low, high.
 
-    A shingle is LENGTH characters of the line in lower case with single spaces between words; a shorter line is one shingle.
+    The hashes of a line fall into BINS ranges; a range's ENDS smallest and ENDS largest are a band each, those of a smaller one
+    all together. low and high hold a byte of the smallest and of the largest hash of each range (one-permutation MinHash).
     """
-    text = F.regexp_replace(F.btrim(F.lower(line), F.lit(" \t\n\x0b\x0c\r")), SPACE + "+", " ")
-    # four bytes a character, so that a position is found without reading what is before it
-    df = df.withColumn("_code", F.encode(text, "UTF-32"))
-    at = F.sequence(F.lit(1), F.greatest(F.octet_length("_code") - (4 * LENGTH - 1), F.lit(1)), F.lit(4))
-    return df.withColumn(to, F.transform(at, lambda i: F.xxhash64(F.substring(F.col("_code"), i, F.lit(4 * LENGTH))))).drop("_code")
-
-
-def with_bands(df: DataFrame, hashes: str) -> DataFrame:
-    """df with n, the number of distinct shingles, and bands: keys that like lines are likely to share. `hashes` goes."""
-    df = df.withColumn("_s", F.sort_array(F.array_distinct(F.concat(hashes, F.array(*map(F.lit, _CUTS)))))).drop(hashes)
-    cuts = [F.array_position("_s", F.lit(c)).cast("int").alias(f"_p{k}") for k, c in enumerate(_CUTS, 1)]
-    df = df.select("*", F.lit(0).alias("_p0"), *cuts, (F.size("_s") + 1).alias(f"_p{BINS}"))
-    keys = []
+    keys, place = shingle_keys(lines), np.arange(len(lines), dtype=np.uint64) << _HASH
+    cuts = np.array([k * (1 << (64 - PLACE)) // BINS for k in range(BINS)], np.uint64)
+    bound = np.searchsorted(keys, place[:, None] + cuts[None, :])
+    bound = np.concatenate([bound, np.append(bound[1:, 0], len(keys))[:, None]], 1)
+    n = bound[:, -1] - bound[:, 0]
+    hashes = np.concatenate([keys & np.uint64((1 << (64 - PLACE)) - 1), np.zeros(ENDS, np.uint64)])
+    bands, there, low, high = [], [], np.zeros(len(lines), np.int64), np.zeros(len(lines), np.int64)
     for k in range(BINS):
-        lo, hi = F.col(f"_p{k}"), F.col(f"_p{k + 1}")
-        n = hi - lo - 1
-        keys.append(F.when(n > 0, F.xxhash64(F.lit(k), F.lit(0), F.slice("_s", lo + 1, F.least(n, F.lit(ENDS))))))
-        keys.append(F.when(n > ENDS, F.xxhash64(F.lit(k), F.lit(1), F.slice("_s", hi - ENDS, ENDS))))
-    df = df.withColumn("n", F.size("_s") - len(_CUTS)).withColumn("bands", F.array_compact(F.array(*keys)))
-    return df.drop("_s", *(f"_p{k}" for k in range(BINS + 1)))
+        lo, hi = bound[:, k], bound[:, k + 1]
+        m = hi - lo
+        for side, first in enumerate((lo, np.maximum(hi - ENDS, lo))):
+            h = np.full(len(lines), np.uint64(2 * k + side + 1))
+            for j in range(ENDS):
+                h = np.where(j < m, _mixed(h + hashes[first + j]), h)
+            bands.append(h.view(np.int64))
+            there.append(m > (ENDS if side else 0))
+        low |= np.where(m > 0, hashes[lo] & np.uint64(255), np.uint64(0)).astype(np.int64) << (8 * k)
+        high |= np.where(m > 0, hashes[hi - 1] & np.uint64(255), np.uint64(0)).astype(np.int64) << (8 * k)
+    return n, np.stack(bands, 1), np.stack(there, 1), low, high
+
+
+def line_hash(line: bytes) -> int:
+    h = xxhash.xxh3_64_intdigest(line)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def lines_of(text: str | None):
+    """(line number from 1, line, its words with single spaces) for each line that has a word, in lower case."""
+    for no, x in enumerate((text or "").lower().split("\n"), 1):
+        line = x.encode("utf-8", "surrogatepass")
+        words = line.split()
+        if words:
+            yield no, line, b" ".join(words)
+
+
+def _signed(docs: DataFrame) -> DataFrame:
+    """doc_id, line_no, h, n, low, high, bands: one row a line that has a word; h stands for the line."""
+    names = ["doc_id", "line_no", "h", *LOOK, "bands"]
+
+    def some(ids, row: list, no: list, h: list, lines: list) -> pa.RecordBatch:
+        n, bands, there, low, high = signatures(lines)
+        ends = np.concatenate([[0], np.cumsum(there.sum(1))])
+        cols = [pa.array(x, pa.int64()) for x in (no, h, n, low, high)]
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(row, pa.int64())), *cols, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bands[there]))], names=names)
 
+    def run(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, SLICE):
+                part = b.slice(lo, SLICE)
+                held, chars = ([], [], [], []), 0
+                for k, text in enumerate(part.column(1).to_pylist()):
+                    for no, line, words in lines_of(text):
+                        if held[0] and (chars + len(words) > CHARS or len(held[0]) == (1 << PLACE) - 1):
+                            yield some(part.column(0), *held)
+                            held, chars = ([], [], [], []), 0
+                        for x, v in zip(held, (k, no, line_hash(line), words), strict=True):
+                            x.append(v)
+                        chars += len(words)
+                if held[0]:
+                    yield some(part.column(0), *held)
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no (from 1), line: the lines that have a word, in lower case."""
-    rows = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line")).where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
-    return rows.select("doc_id", (F.col("at") + 1).alias("line_no"), F.lower("line").alias("line"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, line_no bigint, h bigint, n bigint, low bigint, high bigint, bands array<bigint>")
 
 
-def _like_sizes(n: str, m: str) -> Column:
-    """Whether sets of such sizes can be alike at all."""
-    return (100 * F.col(n) >= PERCENT * F.col(m)) & (100 * F.col(m) >= PERCENT * F.col(n))
+def _likely(a: str, b: str) -> Column:
+    """Whether the lines whose n, low and high end in a and b can be alike by their sizes and are by the extremes of their hashes."""
+    n, m = F.col(f"n{a}"), F.col(f"n{b}")
+    agree = F.lit(0)
+    for c in ("low", "high"):
+        x = F.col(f"{c}{a}").bitwiseXOR(F.col(f"{c}{b}"))
+        for k in range(BINS):
+            agree = agree + (F.shiftright(x, 8 * k).bitwiseAND(F.lit(255)) == 0).cast("int")
+    return (100 * n >= PERCENT * m) & (100 * m >= PERCENT * n) & (agree >= AGREE)
 
 
-def _verified(docs: DataFrame, distinct: DataFrame, pairs: DataFrame, work: Scratch, name: str) -> DataFrame:
-    """The pairs (a, na, b, nb) whose lines are alike, as (a, b), by the full sets of their shingles."""
-    wanted = work.save(pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct(), f"{name}-wanted")
-    places = work.save(distinct.join(wanted, "h").groupBy("first.doc_id").agg(F.collect_list(F.struct(F.col("first.line_no").alias("line_no"), "h")).alias("at")), f"{name}-places")
-    read = mark(work, docs.select("doc_id", "text"), "doc_id", places, f"{name}-marks").where("_maybe").join(places, "doc_id").select(F.split("text", "\n").alias("ls"), "at").select(F.explode(F.transform("at", lambda x: F.struct(x["h"].alias("h"), F.lower(F.get(F.col("ls"), x["line_no"] - 1)).alias("line")))).alias("x"))
-    texts = work.save(read.select("x.*").where(F.xxhash64("line") == F.col("h")).dropDuplicates(["h"]), f"{name}-texts")
+def alike(first: list[bytes], second: list[bytes]) -> np.ndarray:
+    """Which pairs of lines have a Jaccard similarity of PERCENT or more over all their shingles."""
+    out = np.zeros(len(first), bool)
+    lo = 0
+    while lo < len(first):
+        hi, chars = lo, 0
+        while hi < len(first) and hi - lo < (1 << PLACE) - 1 and (hi == lo or chars + len(first[hi]) + len(second[hi]) <= CHARS):
+            chars += len(first[hi]) + len(second[hi])
+            hi += 1
+        a, b = shingle_keys(first[lo:hi]), shingle_keys(second[lo:hi])
+        count = lambda keys: np.bincount((keys >> _HASH).astype(np.int64), minlength=hi - lo)  # noqa: B023, E731
+        all_ = np.concatenate([a, b])
+        all_.sort()
+        both = count(all_[1:][all_[1:] == all_[:-1]])
+        out[lo:hi] = 100 * both >= PERCENT * (count(a) + count(b) - both)
+        lo = hi
+    return out
+
+
+def _texts(docs: DataFrame, distinct: DataFrame, wanted: DataFrame, work: Scratch, name: str) -> DataFrame:
+    """h, line: the words of the wanted lines, read again in the documents where they first stand. Only wanted lines are shuffled."""
+    wanted = work.save(wanted, f"{name}-wanted")
+    firsts = work.save(distinct.join(wanted, "h").select("doc_id").distinct(), f"{name}-firsts")
+    near = mark(work, docs.select("doc_id", "text"), "doc_id", firsts, f"{name}-marks").where("_maybe").select("text")
+
+    def read(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, SLICE):
+                found = {line_hash(raw): words for text in b.column(0).slice(lo, SLICE).to_pylist() for _, raw, words in lines_of(text)}
+                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], names=["h", "line"])
+
+    lines = mark(work, near.mapInArrow(read, "h bigint, line binary"), "h", wanted, f"{name}-h-marks").where("_maybe").select("h", "line")
+    texts = work.save(lines.join(wanted, "h", "left_semi").dropDuplicates(["h"]), f"{name}-texts")
+    work.drop(f"{name}-wanted", f"{name}-firsts")
+    return texts
+
+
+def _verified(docs: DataFrame, distinct: DataFrame, pairs: DataFrame, work: Scratch) -> DataFrame:
+    """The pairs (a, b) whose lines are alike by the full sets of their shingles."""
+
+    def verify(batches):
+        for b in batches:
+            ok = pa.array(alike(b.column(2).to_pylist(), b.column(3).to_pylist()))
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(ok), b.column(1).filter(ok)], names=["a", "b"])
+
+    texts = _texts(docs, distinct, pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct(), work, "ends")
     half = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("la")), "a")
     both = half.join(texts.select(F.col("h").alias("b"), F.col("line").alias("lb")), "b")
-    both = with_shingles(with_shingles(both, "la", "sa").drop("la"), "lb", "sb").drop("lb").withColumn("both", F.size(F.array_intersect("sa", "sb")))
-    edges = work.save(both.where(100 * F.col("both") >= PERCENT * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b"), f"{name}-edges")
-    work.drop(f"{name}-wanted", f"{name}-places", f"{name}-texts")
+    edges = work.save(both.select("a", "b", "la", "lb").mapInArrow(verify, "a bigint, b bigint"), "ends-edges")
+    work.drop("ends-texts")
     return edges
 
 
-def _across(met: DataFrame, joined: DataFrame, work: Scratch) -> DataFrame:
-    """Pairs (a, na, b, nb) of lines that share a band and are not joined yet, all of them. Large bands are dealt out in pairs of blocks."""
-    at = met.join(joined.select(F.col("v").alias("h"), "c"), "h", "left").select("band", "h", "n", F.coalesce("c", "h").alias("c"))
+def _sets(lines: list[bytes]) -> list[np.ndarray]:
+    """Each line's shingles as rising hashes."""
+    out, lo = [], 0
+    while lo < len(lines):
+        hi, chars = lo + 1, len(lines[lo])
+        while hi < len(lines) and hi - lo < (1 << PLACE) - 1 and chars + len(lines[hi]) <= CHARS:
+            chars += len(lines[hi])
+            hi += 1
+        keys = shingle_keys(lines[lo:hi])
+        ends = np.searchsorted(keys, np.arange(1, hi - lo, dtype=np.uint64) << _HASH)
+        out += np.split(keys & np.uint64((1 << (64 - PLACE)) - 1), ends)
+        lo = hi
+    return out
+
+
+def _across(docs: DataFrame, distinct: DataFrame, met: DataFrame, joined: DataFrame, work: Scratch) -> DataFrame:
+    """Links (a, b) among the lines of a band that are not joined yet: all pairs are looked at, one link is given for those that it joins.
+
+    In bands of three lines or less the smallest and the largest have met all others. The rest are dealt out in pairs of blocks; in a block a bound from hashed rows of shingles decides which pairs are compared.
+    """
+    at = met.join(joined.select(F.col("v").alias("h"), "c"), "h", "left").select("band", "h", F.coalesce("c", "h").alias("c"))
     at = work.save(at, "at")
-    open_ = work.save(at.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).where("lo != hi").select("band", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb")), "open")
-    rows = at.join(open_, "band").withColumn("blk", F.pmod(F.xxhash64("h"), F.col("nb")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select("band", F.least("blk", "other").alias("bi"), F.greatest("blk", "other").alias("bj"), "blk", "h", "n", "c")
-    left = rows.where("blk = bi").select("band", "bi", "bj", F.col("h").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    right = rows.where("blk = bj").select("band", "bi", "bj", F.col("h").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    # within a block each pair is met twice, across blocks once
-    new = (F.col("ca") != F.col("cb")) & _like_sizes("na", "nb") & ((F.col("bi") != F.col("bj")) | (F.col("a") < F.col("b")))
-    pairs = left.join(right, ["band", "bi", "bj"]).where(new)
-    return pairs.select(F.least("a", "b").alias("a"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb")).distinct()
+    open_ = work.save(at.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).where("lo != hi and m > 3").select("band", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb")), "open")
+    at = work.save(at.join(open_, "band"), "open-at")
+    texts = _texts(docs, distinct, at.select("h").distinct(), work, "rest")
+    rows = at.withColumn("blk", F.pmod(F.xxhash64("h"), F.col("nb")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    rows = rows.select("band", F.least("blk", "other").alias("bi"), F.greatest("blk", "other").alias("bj"), "blk", "h", "c").join(texts, "h")
+
+    def link(t: pa.Table) -> pa.Table | None:
+        h, c, blk, i, j = t["h"].to_numpy(), t["c"].to_numpy(), t["blk"].to_numpy(), t["bi"][0].as_py(), t["bj"][0].as_py()
+        first, second = np.flatnonzero(blk == i), np.flatnonzero(blk == j)
+        if len(h) < 2 or not len(first) or not len(second) or (c == c[0]).all():
+            return None
+        s = Sets(_sets(t["line"].to_pylist()), PERCENT, room=4)
+        s.join_equal(c)
+        found = s.links(first, second)
+        return pa.table({"a": h[[x for x, _ in found]], "b": h[[y for _, y in found]]}) if found else None
+
+    return work.save(by_group(rows, ["band", "bi", "bj"], link, "a bigint, b bigint"), "rest-edges")
 
 
 def duplicate_lines(docs: DataFrame, work: Scratch) -> DataFrame:
@@ -91,28 +244,28 @@ def duplicate_lines(docs: DataFrame, work: Scratch) -> DataFrame:
     Lines are alike if a chain of lines of Jaccard similarity 0.8 or more over their shingles joins them. Equal lines are
     one line with its first place. The shingle hashes of a line fall into BINS ranges; the ENDS smallest and the ENDS largest
     of each are a band (two bottom-k MinHash sketches a range), those of a smaller bin all together. Lines that share a band
-    are set against its smallest and its largest line first; all pairs of the band that this has not joined follow. Each pair is
-    verified on the full sets.
+    are set against its smallest and its largest line first, if the extreme hashes of the ranges make that likely (see AGREE);
+    all pairs of the band that this has not joined follow. Links are verified on the full sets.
     """
-    signed = with_bands(with_shingles(_lines(docs), "line", "s").withColumn("h", F.xxhash64("line")).drop("line"), "s")
-    lines = work.save(signed, "lines")
-    distinct = work.save(lines.groupBy("h").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("times"), F.first("n").alias("n"), F.first("bands").alias("bands")), "distinct")
-    banded = distinct.select("h", "n", F.explode("bands").alias("band"))
-    ends = work.save(banded.groupBy("band").agg(F.min("h").alias("a"), F.min_by("n", "h").alias("na"), F.max("h").alias("b"), F.max_by("n", "h").alias("nb")).where("a != b"), "ends")
-    met = work.save(mark(work, banded, "band", ends, "ends-marks").where("_maybe").drop("_maybe").join(ends.select("band"), "band"), "met")
-    to = F.explode(F.array(F.struct(F.col("a").alias("h"), F.col("na").alias("n")), F.struct(F.col("b").alias("h"), F.col("nb").alias("n"))))
-    first = met.join(ends, "band").select("h", "n", to.alias("to")).select("h", "n", F.col("to.h").alias("g"), F.col("to.n").alias("m")).where((F.col("h") != F.col("g")) & _like_sizes("n", "m"))
-    small = F.col("h") < F.col("g")
-    pairs = work.save(first.select(F.least("h", "g").alias("a"), F.when(small, F.col("n")).otherwise(F.col("m")).alias("na"), F.greatest("h", "g").alias("b"), F.when(small, F.col("m")).otherwise(F.col("n")).alias("nb")).distinct(), "pairs")
-    edges = _verified(docs, distinct, pairs, work, "ends")
-    rest = work.save(_across(met, components(work, edges, "ends"), work).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "rest")
-    work.drop("met", "at", "open", "ends", "pairs")
-    joined = components(work, edges.union(_verified(docs, distinct, rest, work, "rest")), "lines")
-    named = distinct.select("h", "first", "times").join(joined.select(F.col("v").alias("h"), "c"), "h", "left").where("c is not null or times > 1").select("h", "first", F.coalesce("c", "h").alias("c"))
-    named = work.save(named, "named")
-    firsts = work.save(named.groupBy("c").agg(F.min("first").alias("keep")), "firsts")
-    keep = work.save(named.join(firsts, "c").select("h", "keep"), "keep")
-    gone = lines.select("doc_id", "line_no", "h").join(keep, "h").where(~F.struct("doc_id", "line_no").eqNullSafe(F.col("keep")))
+    lines = work.save(_signed(docs), "lines")
+    distinct = work.save(lines.groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("times")), "distinct")
+    banded = lines.select("h", *LOOK, F.explode("bands").alias("band"))
+    ends = work.save(banded.groupBy("band").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a != b"), "ends")
+    met = mark(work, banded, "band", ends, "ends-marks").where("_maybe").drop("_maybe").dropDuplicates(["band", "h"]).join(ends, "band")
+    met = work.save(met, "met")
+    looks = work.save(met.select("h", *LOOK).dropDuplicates(["h"]), "looks")
+    first = met.select("h", F.explode(F.array("a", "b")).alias("g")).where("h != g").select(F.least("h", "g").alias("a"), F.greatest("h", "g").alias("b")).distinct()
+    of = lambda end: looks.select(F.col("h").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in LOOK])
+    pairs = work.save(first.join(of("a"), "a").join(of("b"), "b").where(_likely("_a", "_b")).select("a", "b"), "pairs")
+    edges = _verified(docs, distinct, pairs, work)
+    more = _across(docs, distinct, met, components(work, edges, "ends"), work)
+    work.drop("met", "looks", "at", "open", "open-at", "ends", "pairs")
+    joined = components(work, edges.union(more), "lines")
+    named = distinct.select("h", "times").join(joined.select(F.col("v").alias("h"), "c"), "h", "left").where("c is not null or times > 1").select("h", F.coalesce("c", "h").alias("c"))
+    cand = work.save(lines.select("doc_id", "line_no", "h").join(named, "h").select("doc_id", "line_no", "c"), "candidates")
+    docs0 = work.save(cand.groupBy("c").agg(F.min("doc_id").alias("doc0")), "first-docs")
+    firsts = work.save(cand.join(docs0, "c").where("doc_id = doc0").groupBy("c", "doc0").agg(F.min("line_no").alias("line0")), "firsts")
+    gone = cand.join(firsts, "c").where("doc_id != doc0 or line_no != line0")
     return work.save(gone.groupBy("doc_id").agg(F.collect_set("line_no").alias("removed")), "removed")
 
 
@@ -124,18 +277,21 @@ def dedup_lines(docs: DataFrame, drop_emptied: bool = True) -> DataFrame:
     that share a doc_id count as one document: their lines at the same place are one. Columns beside doc_id and text stay.
     """
     work = Scratch(docs.sparkSession, "lines")
-    removed = duplicate_lines(docs.where(F.col("doc_id").isNotNull()), work)
-    marked = mark(work, docs, "doc_id", removed, "removed-marks")
-    removed = removed.select(F.col("doc_id").alias("_of"), F.col("removed").alias("_removed"))
-    rows = marked.where("_maybe").join(removed, F.col("doc_id") == F.col("_of"), "left")
+    removed = duplicate_lines(docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text"), work)
+    flag, of, gone = fresh(docs, "_maybe"), fresh(docs, "_of"), fresh(docs, "_removed")
+    marked = mark(work, docs, "doc_id", removed, "removed-marks", flag)
+    # a merge join at every size: what is removed grows with the documents
+    of_docs = removed.select(F.col("doc_id").alias(of), F.col("removed").alias(gone)).hint("merge")
+    rows = marked.where(F.col(flag)).join(of_docs, F.col("doc_id") == F.col(of), "left")
 
     def kept(ls: Column) -> Column:
-        return F.array_join(F.transform(F.array_except(F.sequence(F.lit(1), F.size(ls)), F.col("_removed")), lambda i: F.get(ls, i - 1)), "\n")
+        return F.array_join(F.transform(F.array_except(F.sequence(F.lit(1), F.size(ls)), F.col(gone)), lambda i: F.get(ls, i - 1)), "\n")
 
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(let(F.split("text", "\n"), kept))
-    out = rows.withColumn("text", text)
+    same = F.col(gone).isNull()
+    out = rows.withColumn("text", F.when(same, F.col("text")).otherwise(let(F.split("text", "\n"), kept)))
     if drop_emptied:
-        out = out.where(F.col("_removed").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+        out = out.where(same | has_words(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_removed").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns).unionByName(marked.where("not _maybe").select(*docs.columns))
+        out = out.withColumn("n_chars", F.when(same, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    mine = [F.col(f"`{c}`") for c in docs.columns]
+    return out.select(*mine).unionByName(marked.where(~F.col(flag)).select(*mine))

@@ -125,8 +125,9 @@ class _Rows:
 class Sets:
     """Documents whose links are looked for in one task: bounds first, by the matrix, then exact intersections, none within a component."""
 
-    def __init__(self, sets: list[np.ndarray], percent: int = PERCENT):
-        self.percent, self.s = percent, sets
+    def __init__(self, sets: list[np.ndarray], percent: int = PERCENT, room: int = 1):
+        """room: bits of a row for each shingle of the middling set."""
+        self.percent, self.s, self.room = percent, sets, room
         self.n = np.array([len(x) for x in self.s], np.int64)
         self.up = list(range(len(sets)))
 
@@ -135,10 +136,17 @@ class Sets:
             self.up[i] = i = self.up[self.up[i]]
         return i
 
+    def join_equal(self, name: np.ndarray) -> None:
+        """Those of one name are one component from the start."""
+        for x in np.unique(name):
+            at = np.flatnonzero(name == x)
+            for k in at[1:].tolist():
+                self.up[k] = int(at[0])
+
     def links(self, query: np.ndarray, member: np.ndarray) -> list[tuple[int, int]]:
         """A link for each pair of components that queries and members show to be joined."""
         out = []
-        bits = int(min(1 << 13, max(256, width(int(np.median(self.n)))))) if len(self.n) else 256
+        bits = int(min(1 << 13, max(256, self.room * width(int(np.median(self.n)))))) if len(self.n) else 256
         rows = np.stack([matrix_row(x, bits) for x in self.s]).astype(np.float32) if len(self.s) else np.zeros((0, bits), np.float32)
         size = rows.sum(1)
         for lo in range(0, len(query), 256):
@@ -386,10 +394,7 @@ def _open(pairs: DataFrame, groups: DataFrame, nodes: DataFrame, docs: DataFrame
             return None
         at, sets = _sets(t, _shingler(shingle), "query")
         query, g, s = query[at], g[at], Sets(sets, percent)
-        for name in np.unique(g):  # one component each from the start
-            at = np.flatnonzero(g == name)
-            for k in at[1:]:
-                s.up[k] = int(at[0])
+        s.join_equal(g)
         found = s.links(np.flatnonzero(query), np.flatnonzero(~query))
         return pa.table({"a": g[[i for i, _ in found]], "b": g[[j for _, j in found]]}) if found else None
 
