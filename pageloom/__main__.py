@@ -1,4 +1,4 @@
-"""python -m pageloom: inventory, gold-template, labels. Exit codes: 0 done, 1 failed items, 2 bad input, 130 interrupted."""
+"""python -m pageloom: inventory, gold-template, labels, evaluate. Exit codes: 0 done, 1 failed items, 2 bad input, 130 interrupted."""
 
 from __future__ import annotations
 
@@ -18,12 +18,39 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--book", required=True)
         c.add_argument("--max-pages", type=int)
         c.add_argument("--out", required=True)
+    c = sub.add_parser("evaluate", help="annotated books scored against gold manifests, as a JSON report and a Markdown one beside it")
+    c.add_argument("gold")
+    c.add_argument("predictions")
+    c.add_argument("--system", default="annotated")
+    c.add_argument("--out", required=True)
     c = sub.add_parser("labels", help="page labels of annotated books (JSON documents), as JSON lines")
     c.add_argument("books")
     c.add_argument("--out", required=True)
     return p
 
 
+def evaluate(spark, gold: str, predictions: str, system: str, out: str) -> None:
+    """Field statistics by system and layer, the first errors and label counts. Both reports are small; the driver writes them."""
+    from pyspark.sql import functions as F
+
+    from pageloom.operators import report, scoring
+    from pageloom.schemas import BOOK
+    from pageloom.sources import documents
+
+    kinds = {name: documents.read_documents(spark, path).withColumn("kind", documents.sniff(F.col("body"))) for name, path in (("gold", gold), ("annotated", predictions))}
+    for name, d in kinds.items():
+        other = d.where(f"kind is null or kind != '{name}'").select("path").limit(5).collect()
+        if other:
+            raise documents.PredictionError(f"not of kind {name}: {', '.join(r['path'] for r in other)}")
+    labels = documents.gold_labels(kinds["gold"])
+    coded = scoring.score_scans(labels, documents.from_annotated(kinds["annotated"], BOOK, system))
+    found = report.collect_report(scoring.field_stats(coded, "system", "layer", "field"), scoring.errors(coded), scoring.status_counts(labels))
+    with open(out, "w", encoding="utf-8") as f:
+        f.write(report.to_json(found))
+    with open(f"{out.removesuffix('.json')}.md", "w", encoding="utf-8") as f:
+        f.write(report.to_markdown(found))
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     from pyspark.sql import SparkSession
@@ -46,6 +73,9 @@ def main(argv: list[str] | None = None) -> int:
             scans = d.select("book_id", F.col("s.scan_index").alias("scan_index"), o["page_type"].alias("page_type"), o["side"].alias("side"), o["leaf"].alias("leaf"), F.coalesce(number, F.array().cast(f"array<{pagination.NUMBER}>")).alias("numbers"), F.coalesce(sub, F.array().cast(f"array<{pagination.SUBPAGE}>")).alias("subpages"))
             documents.write_json_lines(pagination.scan_page_numbers(pagination.page_labels(scans)), args.out)
             return 0
+        if args.command == "evaluate":
+            evaluate(spark, args.gold, args.predictions, args.system, args.out)
+            return 0
         check_paths(args.out, args.images)
         order = inventory.read_order(spark, args.order)
         if args.max_pages is not None:

@@ -65,12 +65,28 @@ class Config:
         return {n: json.dumps(getattr(self, n), sort_keys=True) for n in names}
 
 
+def read_settings(path: str) -> dict:
+    """The settings of a JSON file; ConfigError if it is missing, unreadable or no JSON object."""
+    try:
+        with open(path, encoding="utf-8") as f:
+            found = json.load(f)
+    except FileNotFoundError:
+        raise ConfigError(f"no settings at {path}") from None
+    except (OSError, ValueError) as exc:  # broken JSON and broken UTF-8 are both ValueErrors
+        raise ConfigError(f"cannot read settings from {path}: {exc}") from None
+    if not isinstance(found, dict):
+        raise ConfigError(f"{path} holds no JSON object")
+    return found
+
+
 def build_config(file: dict | None = None, flags: dict | None = None) -> Config:
     """Flags win over the file; another provider on the command line drops the file's base_url. Unknown keys are errors."""
     file, flags = dict(file or {}), {k: v for k, v in (flags or {}).items() if v is not None}
     if flags.get("provider", file.get("provider")) != file.get("provider"):
         file.pop("base_url", None)
     given = file | flags
+    if "api_key" in given:
+        raise ConfigError(f"keys belong into the environment ({', '.join(key for _, key in PROVIDERS.values())}), not into settings")
     unknown = sorted(set(given) - {f.name for f in fields(Config)})
     if unknown:
         raise ConfigError(f"unknown settings: {', '.join(unknown)}")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.functions.text import library_label, normalize_label
+from pageloom.operators.scoring import acceptable
 
 FIELDS = ["page_type", "side", "leaf", "printed_numbers", "page_number"]
 
@@ -26,6 +27,28 @@ def sniff(body: Column) -> Column:
     return F.when(has("gold_version"), "gold").when(has("schema_version") & has("scans"), "annotated").when(has("elements"), "elements").when(has("pages"), "pages")
 
 
+_LABEL = "struct<status:string,value:{0},alternatives:array<{0}>>"
+GOLD = "book_id string, scan_count int, scans array<struct<scan_id:string,scan_index:int,image_sha256:string," + ",".join(f"{f}:{_LABEL.format('array<string>' if f == 'printed_numbers' else 'string')}" for f in FIELDS) + ">>"
+
+
+def gold_labels(d: DataFrame) -> DataFrame:
+    """Labels of gold manifests in long form: book_id, scan_id, scan_index, sha, field, status, accept.
+
+    A field that a scan doesn't name is not reviewed. Lists of printed numbers are one text with commas, page numbers have no spaces.
+    accept holds the texts that count as right, with NULL for none; it is NULL where nothing can be scored.
+    """
+    s = d.select(F.from_json(F.to_json("body"), GOLD).alias("b")).select("b.book_id", F.explode("b.scans").alias("s"))
+
+    def label(f: str) -> Column:
+        form = (lambda v: F.when(F.size(v) > 0, F.array_join(v, ","))) if f == "printed_numbers" else normalize_label if f == "page_number" else (lambda v: v)
+        x = F.col(f"s.{f}")
+        status = F.coalesce(x["status"], F.lit("not_reviewed"))
+        return F.struct(F.lit(f).alias("field"), status.alias("status"), acceptable(status, form(x["value"]), F.transform(x["alternatives"], form)).alias("accept"))
+
+    long = s.select("book_id", F.col("s.scan_id").alias("scan_id"), F.col("s.scan_index").alias("scan_index"), F.col("s.image_sha256").alias("sha"), F.explode(F.array(*[label(f) for f in FIELDS])).alias("f"))
+    return long.select("book_id", "scan_id", "scan_index", "sha", "f.*")
+
+
 def from_annotated(d: DataFrame, schema: str, system: str) -> DataFrame:
     """Long predictions of the observed layer of annotated books, parsed by `schema`; printed numbers are ordered left, none, right."""
     b = d.select(F.from_json(F.to_json("body"), schema).alias("b")).select("b.book_id", F.explode("b.scans").alias("s"))

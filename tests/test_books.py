@@ -231,3 +231,44 @@ def test_rounds_store_each_scan(spark, tmp_path):
     (tmp_path / "mended").touch()
     assert run() == {f"{b}{i}": f'{{"n": {i}}}' for b in "xy" for i in range(4)}
     assert spark.read.parquet(store).count() == 12
+
+
+def test_evaluate_reads_gold_and_writes_reports(spark, tmp_path):
+    from pageloom.__main__ import evaluate
+
+    scan = lambda i, **labels: {"scan_id": f"s{i}", "scan_index": i, "image_sha256": f"{i}"} | labels
+    gold = {"gold_version": "1", "book_id": "b", "scan_count": 3, "scans": [
+        scan(0, page_type={"status": "verified", "value": "blank"}, side={"status": "not_applicable"}),
+        scan(1, page_type={"status": "ambiguous", "alternatives": ["preface", None]}, printed_numbers={"status": "verified", "value": ["4", "5"]}, page_number={"status": "verified", "value": "4, 5"}),
+        scan(2, side={"status": "verified", "value": "left"}),
+    ]}
+    number = lambda v, side: {"side": side, "raw": v, "normalized": v}
+    seen = lambda i, **o: {"scan_id": f"s{i}", "scan_index": i, "image_sha256": f"{i}", "observation": o}
+    book = {"schema_version": "2", "book_id": "b", "scans": [seen(0, page_type="blank", side="left"), seen(1, page_type=None, printed_numbers=[number("5", "right"), number("4", "left")]), seen(2, side="right")]}
+    (tmp_path / "gold.json").write_text(json.dumps(gold))
+    (tmp_path / "book.json").write_text(json.dumps(book))
+    labels = {(r.scan_id, r.field): (r.status, r.accept) for r in documents.gold_labels(documents.read_documents(spark, f"{tmp_path}/gold.json")).collect()}
+    assert len(labels) == 15 and labels["s1", "printed_numbers"] == ("verified", ["4,5"]) and labels["s1", "page_number"] == ("verified", ["4,5"])
+    assert labels["s0", "side"] == ("not_applicable", [None]) and labels["s2", "leaf"] == ("not_reviewed", None) and labels["s1", "page_type"] == ("ambiguous", ["preface", None])
+    evaluate(spark, f"{tmp_path}/gold.json", f"{tmp_path}/book.json", "mine", f"{tmp_path}/report.json")
+    found = json.loads((tmp_path / "report.json").read_text())
+    by = {r["field"]: r for r in found["accuracy"]}
+    assert (by["page_type"]["correct"], by["printed_numbers"]["correct"], by["side"]["spurious_value"], by["side"]["wrong_value"]) == (2, 1, 1, 1)
+    assert "# Evaluation" in (tmp_path / "report.md").read_text()
+    with pytest.raises(documents.PredictionError):
+        evaluate(spark, f"{tmp_path}/book.json", f"{tmp_path}/book.json", "mine", f"{tmp_path}/no.json")
+
+
+def test_settings_files(tmp_path):
+    from pageloom import config
+
+    for text in (None, "{", "[]"):
+        path = tmp_path / f"{text and ord(text[0])}.json"
+        if text:
+            path.write_text(text)
+        with pytest.raises(config.ConfigError):
+            config.read_settings(str(path))
+    (tmp_path / "good.json").write_text('{"provider": "openai", "model": "m"}')
+    assert config.build_config(config.read_settings(f"{tmp_path}/good.json")).model == "m"
+    with pytest.raises(config.ConfigError, match="environment"):
+        config.build_config({"provider": "openai", "model": "m", "api_key": "x"})
