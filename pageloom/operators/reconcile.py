@@ -229,13 +229,11 @@ def emitted(*parts: DataFrame) -> DataFrame:
 
 
 def proposal_input(header: DataFrame, lines: DataFrame, most: int = 100_000) -> DataFrame:
-    """book_id, text: the text that a model is asked about, from header lines and the lines of each scan; raises beyond `most` characters.
+    """book_id, text: the text that a model is asked about, from header lines and the lines of each scan.
 
-    Both: book_id, ord, line. Nothing is shortened.
+    Both: book_id, ord, line. Nothing is shortened: the query fails where a text is longer than `most` characters.
     """
     d = header.withColumn("part", F.lit(0)).unionByName(lines.withColumn("part", F.lit(1)))
     text = d.groupBy("book_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", "ord", "line"))), lambda x: x["line"]), "\n").alias("text"))
-    over = text.where(F.length("text") > most).select("book_id").limit(5).collect()
-    if over:
-        raise ValueError(f"input over {most} characters: {[r[0] for r in over]}")
-    return text
+    over = F.raise_error(F.concat(F.lit(f"input over {most} characters: "), F.col("book_id").cast("string")))
+    return text.withColumn("text", F.when(F.length("text") > most, over).otherwise(F.col("text")))

@@ -51,13 +51,12 @@ def status_counts(gold: DataFrame) -> DataFrame:
 
 
 def match_books(gold: DataFrame, predictions: DataFrame) -> DataFrame:
-    """book_id, predicted_book for books that share a scan id, by an equi-join; raises if a book or a prediction has several."""
+    """book_id, predicted_book for books that share a scan id, by an equi-join. The query fails where a book or a prediction has several."""
     pairs = gold.select("book_id", "scan_id").distinct().join(predictions.select(F.col("book_id").alias("predicted_book"), "scan_id").distinct(), "scan_id").select("book_id", "predicted_book").distinct()
-    for side in ("book_id", "predicted_book"):
-        many = pairs.groupBy(side).count().where("count > 1").limit(5).collect()
-        if many:
-            raise ValueError(f"several matches for {side}: {[r[0] for r in many]}")
-    return pairs
+    others = lambda side: F.count("*").over(Window.partitionBy(side)) > 1
+    pairs = pairs.withColumns({f"_{side}": others(side) for side in ("book_id", "predicted_book")})
+    wrong = F.raise_error(F.concat(F.lit("several matches of books: "), "book_id", F.lit(" and "), "predicted_book"))
+    return pairs.select("book_id", F.when(F.col("_book_id") | F.col("_predicted_book"), wrong).otherwise(F.col("predicted_book")).alias("predicted_book"))
 
 
 def score_scans(gold: DataFrame, predictions: DataFrame) -> DataFrame:
