@@ -375,3 +375,50 @@ def test_plan_fills_windows():
         assert used[k] + over.get(k, 0) == hist[k]
     assert sum(over.values()) <= 100  # 2 % of the pieces
     assert packing.best_fill({5: 1, 4: 2, 3: 3}, 10) == (10, {4: 1, 3: 2}) or packing.best_fill({5: 1, 4: 2, 3: 3}, 10)[0] == 10
+
+
+def test_distances_are_those_of_plain_concentration(spark):
+    """One start and one cell: medians and deviations, then concentration steps, by numpy."""
+    from pageloom.llm.work import Scratch
+
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(301, 3)) @ np.array([[1, 0.5, 0], [0, 1, 0.2], [0, 0, 0.7]])
+    x[:40] += [4, -5, 6]
+    floors = {"u": 0.1, "v": 0.2, "w": 0.05}
+    df = spark.createDataFrame([(i, "en", *map(float, r)) for i, r in enumerate(x)], "doc_id bigint, lang string, u double, v double, w double")
+    got = {r.doc_id: (r.d2, r.outlier) for r in quality_rules.robust_outliers(df, ["lang"], floors, Scratch(spark, "plain"), starts=1, level=0.999).collect()}
+    h, d, f2 = 0.75, 3, np.diag([v * v for v in floors.values()])
+    scale = h / quality_rules._gamma_p((d + 2) / 2, quality_rules.chi2_quantile(h, d) / 2)
+    rank = lambda a, p: np.sort(a, axis=0)[math.ceil(p * len(a)) - 1]
+    m = rank(x, 0.5)
+    cov = np.diag((1.4826 * rank(np.abs(x - m), 0.5)) ** 2) + f2
+    far = lambda: np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(cov), x - m)
+    for k in range(14):
+        d2 = far()
+        near = x[d2 <= rank(d2, h)]
+        was, m = np.linalg.slogdet(cov)[1], near.mean(0)
+        cov = ((near.T @ near) / len(near) - np.outer(m, m)) * scale + f2
+        if k > 1 and was - np.linalg.slogdet(cov)[1] < 1e-3:
+            break
+    want = far()
+    assert all(math.isclose(got[i][0], want[i], rel_tol=1e-6) for i in range(len(x)))
+    assert {i for i in got if got[i][1]} == set(np.flatnonzero(want > quality_rules.chi2_quantile(0.999, d)).tolist()) >= set(range(40))
+
+
+@pytest.mark.parametrize("long", [False, True])
+def test_classifiers_score_each_text_as_it_is(spark, docs, long):
+    """Rows of a table get the score that the model gives their text alone, whatever stands beside it and however long it is."""
+    model = toxicity.train(docs, labels(spark))
+    texts = [r[1] for r in rows()] + (["spam idiot " * 20_000] if long else [])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.tox for r in toxicity.score(df, model, ["doc_id"], "tox").collect()}
+    features = toxicity.featurizer(model.lexicon)
+    for i, t in enumerate(texts):
+        assert math.isclose(got[i], float(model.scale(model.trees.raw(features(t)[None, :]))[0]), rel_tol=1e-12)
+    edges, machine = quality_classifier.train(docs, labels(spark))
+    scores = {r.doc_id: r.score for r in quality_classifier.classify(docs, labels(spark)).collect() if r.doc_id is not None}
+    read = quality_classifier.reader(edges)
+    for r in rows():
+        if r[0] is not None:
+            z = float(machine.raw([read(r[1], None if r[4] is None else float(r[4]))])[0])
+            assert math.isclose(scores[r[0]], 1 / (1 + math.exp(-max(-30, min(30, z)))), rel_tol=1e-5)
