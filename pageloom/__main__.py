@@ -43,7 +43,8 @@ def evaluate(spark, gold: str, predictions: str, system: str, out: str) -> None:
         if other:
             raise documents.PredictionError(f"not of kind {name}: {', '.join(r['path'] for r in other)}")
     labels = documents.gold_labels(kinds["gold"])
-    coded = scoring.score_scans(labels, documents.from_annotated(kinds["annotated"], BOOK, system))
+    predicted = documents.from_annotated(kinds["annotated"], BOOK, system).unionByName(documents.from_resolved(kinds["annotated"], system)[0])
+    coded = scoring.score_scans(labels, predicted)
     found = report.collect_report(scoring.field_stats(coded, "system", "layer", "field"), scoring.errors(coded), scoring.status_counts(labels))
     with open(out, "w", encoding="utf-8") as f:
         f.write(report.to_json(found))

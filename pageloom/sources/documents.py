@@ -60,6 +60,35 @@ def from_annotated(d: DataFrame, schema: str, system: str) -> DataFrame:
     return b.select(F.lit(system).alias("system"), F.lit("observed").alias("layer"), "book_id", F.col("s.scan_id").alias("scan_id"), F.col("s.scan_index").alias("scan_index"), F.col("s.image_sha256").alias("sha"), F.explode(long).alias("x"), F.lit(False).alias("incomparable")).select("*", "x.*").drop("x")
 
 
+_CLAIM = "struct<value:string>"
+RESOLVED = (
+    "book_id string, scans array<struct<scan_id:string,scan_index:int,image_sha256:string>>, "
+    f"resolved struct<scans:array<struct<page_type:{_CLAIM},side:{_CLAIM},leaf:{_CLAIM},page_number:string>>,bibliography:map<string,string>,"
+    f"structure:array<struct<title:{_CLAIM},level:int,start_scan_id:string,printed_page_reference:string>>>"
+)
+
+
+def from_resolved(d: DataFrame, system: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The resolved layer of annotated books: long predictions, bibliography (system, book_id, field, value: a list) and chapters in order.
+
+    Resolved scans stand in the order of the book's scans. Books that are not resolved give no rows; a field of one value is a list
+    of it, or an empty list.
+    """
+    b = d.select(F.from_json(F.to_json("body"), RESOLVED).alias("b")).select("b.book_id", "b.scans", "b.resolved").where("resolved is not null")
+    pairs = b.select("book_id", F.explode(F.arrays_zip("scans", F.col("resolved.scans").alias("r"))).alias("x")).select("book_id", F.col("x.scans").alias("s"), F.col("x.r").alias("r"))
+    values = {f: F.col(f"r.{f}.value") for f in ("page_type", "side", "leaf")} | {"page_number": normalize_label(F.col("r.page_number"))}
+    long = F.array(*[F.struct(F.lit(k).alias("field"), v.alias("value")) for k, v in values.items()])
+    out = pairs.select(F.lit(system).alias("system"), F.lit("resolved").alias("layer"), "book_id", "s.scan_id", "s.scan_index", F.col("s.image_sha256").alias("sha"), F.explode(long).alias("f"))
+    out = out.select(*[c for c in out.columns if c != "f"], "f.field", "f.value", F.lit(False).alias("incomparable"))
+    fields = b.select("book_id", F.explode("resolved.bibliography").alias("field", "raw"))
+    several = F.transform(F.from_json("raw", f"array<{_CLAIM}>"), lambda x: x["value"])
+    one = F.array_compact(F.array(F.from_json("raw", _CLAIM)["value"]))
+    biblio = fields.select(F.lit(system).alias("system"), "book_id", "field", F.when(F.col("raw").startswith("["), several).otherwise(F.coalesce(one, F.array().cast("array<string>"))).alias("value"))
+    nodes = b.select("book_id", F.posexplode("resolved.structure").alias("pos", "n"))
+    chapters = nodes.select("book_id", "pos", F.col("n.title.value").alias("title"), "n.level", F.col("n.start_scan_id").alias("start"), F.col("n.printed_page_reference").alias("ref"))
+    return out, biblio, chapters
+
+
 def from_pages(d: DataFrame, system: str, page_types: list[str]) -> DataFrame:
     """Long predictions of catalogue page lists; page types outside the vocabulary are incomparable."""
     schema = "document struct<pid:string>, pages array<struct<scan_index:int,scan_id:string,page_number:string,page_type:string>>"

@@ -245,6 +245,10 @@ def test_evaluate_reads_gold_and_writes_reports(spark, tmp_path):
     number = lambda v, side: {"side": side, "raw": v, "normalized": v}
     seen = lambda i, **o: {"scan_id": f"s{i}", "scan_index": i, "image_sha256": f"{i}", "observation": o}
     book = {"schema_version": "2", "book_id": "b", "scans": [seen(0, page_type="blank", side="left"), seen(1, page_type=None, printed_numbers=[number("5", "right"), number("4", "left")]), seen(2, side="right")]}
+    claim = lambda v: v and {"value": v, "origin": "observed"}
+    flat = lambda **c: {k: claim(c.get(k)) for k in ("page_type", "side", "leaf")} | {"page_number": c.get("page_number")}
+    chapter = {"title": claim("One"), "level": 1, "start_scan_id": "s1", "printed_page_reference": "4"}
+    book["resolved"] = {"scans": [flat(page_type="blank"), flat(page_number="4,5"), flat(side="left")], "bibliography": {"title": claim("T"), "subtitle": None, "author": [claim("A"), claim("B")], "editor": []}, "structure": [chapter]}
     (tmp_path / "gold.json").write_text(json.dumps(gold))
     (tmp_path / "book.json").write_text(json.dumps(book))
     labels = {(r.scan_id, r.field): (r.status, r.accept) for r in documents.gold_labels(documents.read_documents(spark, f"{tmp_path}/gold.json")).collect()}
@@ -252,7 +256,12 @@ def test_evaluate_reads_gold_and_writes_reports(spark, tmp_path):
     assert labels["s0", "side"] == ("not_applicable", [None]) and labels["s2", "leaf"] == ("not_reviewed", None) and labels["s1", "page_type"] == ("ambiguous", ["preface", None])
     evaluate(spark, f"{tmp_path}/gold.json", f"{tmp_path}/book.json", "mine", f"{tmp_path}/report.json")
     found = json.loads((tmp_path / "report.json").read_text())
-    by = {r["field"]: r for r in found["accuracy"]}
+    by = {r["field"]: r for r in found["accuracy"] if r["layer"] == "observed"}
+    resolved = {r["field"]: r for r in found["accuracy"] if r["layer"] == "resolved"}
+    assert (resolved["page_type"]["correct"], resolved["side"]["correct"], resolved["page_number"]["correct"], resolved["printed_numbers"]["no_prediction"]) == (2, 2, 1, 1)
+    _, biblio, chapters = documents.from_resolved(documents.read_documents(spark, f"{tmp_path}/book.json"), "mine")
+    assert {r.field: r.value for r in biblio.collect()} == {"title": ["T"], "subtitle": [], "author": ["A", "B"], "editor": []}
+    assert [tuple(r) for r in chapters.collect()] == [("b", 0, "One", 1, "s1", "4")]
     assert (by["page_type"]["correct"], by["printed_numbers"]["correct"], by["side"]["spurious_value"], by["side"]["wrong_value"]) == (2, 1, 1, 1)
     assert "# Evaluation" in (tmp_path / "report.md").read_text()
     with pytest.raises(documents.PredictionError):
