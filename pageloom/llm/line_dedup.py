@@ -1,19 +1,12 @@
-"""Fuzzy line deduplication: MinHash over character shingles, banding, exact Jaccard, union-find.
-
-Signing and verification run on whole Arrow batches of lines; all else are DataFrame functions. Signing in DataFrame functions
-gives the same lines, but not within the limit of CPU time: the README has the figures.
-"""
+"""Fuzzy line deduplication: MinHash over character shingles, banding, exact Jaccard, union-find; DataFrame functions only."""
 
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.ngram_join import Sets
-from pageloom.llm.work import SLICE, Scratch, by_group, components, fresh, has_words, let, mark
+from pageloom.llm.work import SPACE, Scratch, components, fresh, has_words, let, mark
 
 #: Characters of a shingle, and the similarity at which lines are joined, in hundredths.
 LENGTH = 5
@@ -21,116 +14,59 @@ PERCENT = 80
 #: The range of hashes is cut into BINS; the smallest and the largest ENDS hashes of a bin are a band each.
 BINS = 6
 ENDS = 6
+_CUTS = [-(1 << 63) + k * (1 << 64) // BINS for k in range(1, BINS)]
 #: Of the 2 * BINS extreme hashes of the ranges so many must agree before two lines are read: at similarity 0.8 fewer do in 6 of 10,000 pairs.
 AGREE = 5
 #: Bands with more lines than this are compared in pairs of blocks of about this size.
 BLOCK = 512
-#: Bits of a key that tell the line, and characters that are treated at one time (a longer line goes alone).
-PLACE, CHARS = 14, 1 << 20
-_FACTORS = np.random.default_rng(7).integers(1 << 62, 1 << 63, LENGTH + 1, dtype=np.uint64) | np.uint64(1)
-_HASH = np.uint64(64 - PLACE)
 LOOK = ["n", "low", "high"]
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
+def lines_of(docs: DataFrame, *keep: str) -> DataFrame:
+    """keep, line_no (from 1), h (stands for the line), line: the lines that have a word, in lower case."""
+    rows = docs.select(*keep, F.posexplode(F.split(F.lower("text"), "\n")).alias("at", "line")).where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    return rows.select(*keep, (F.col("at") + 1).cast("bigint").alias("line_no"), F.xxhash64("line").alias("h"), "line")
 
 
-def shingle_keys(lines: list[bytes]) -> np.ndarray:
-    """The distinct shingles of each line as rising keys: the line's place in its first PLACE bits, the shingle's hash in the others.
-
-    A shingle is LENGTH characters, one at every position; a shorter line is one shingle. Lines have no line ends and are
-    fewer than 2 ** PLACE.
-    """
-    code = np.frombuffer(b"\n".join([*lines, b""]).decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    end = np.flatnonzero(code == 10)
-    start = np.concatenate([[0], end[:-1] + 1])
-    size = end - start
-    code = np.concatenate([code, np.zeros(LENGTH, np.uint64)])
-    h = code[: -LENGTH] * _FACTORS[0]
-    for k in range(1, LENGTH):
-        h += code[k : len(h) + k] * _FACTORS[k]
-    for i in np.flatnonzero(size < LENGTH).tolist():
-        h[start[i]] = np.append(code[start[i] : end[i]] * _FACTORS[: size[i]], _FACTORS[-1:] * np.uint64(size[i])).sum()
-    many = np.maximum(size - (LENGTH - 1), 1)
-    line = np.repeat(np.arange(len(lines)), many)
-    at = np.arange(len(line)) + np.repeat(start - (np.cumsum(many) - many), many)
-    keys = line.astype(np.uint64) << _HASH | _mixed(h[at]) >> np.uint64(PLACE)
-    keys.sort()
-    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
+def spaced(line: Column) -> Column:
+    """The words of a line with single spaces."""
+    odd = line.contains("  ") | line.startswith(" ") | line.endswith(" ") | line.rlike(r"[\x09-\x0D]")
+    return F.when(odd, F.trim(F.regexp_replace(line, SPACE + "+", " "))).otherwise(line)
 
 
-def signatures(lines: list[bytes]):
-    """n (distinct shingles), bands (keys that like lines are likely to share, with a mask of those there are), low, high.
+def shingles(line: Column) -> Column:
+    """Hashes of the shingles of a line, LENGTH characters at every position (a shorter line is one), some perhaps repeated."""
 
-    The hashes of a line fall into BINS ranges; a range's ENDS smallest and ENDS largest are a band each, those of a smaller one
-    all together. low and high hold a byte of the smallest and of the largest hash of each range (one-permutation MinHash).
-    """
-    keys, place = shingle_keys(lines), np.arange(len(lines), dtype=np.uint64) << _HASH
-    cuts = np.array([k * (1 << (64 - PLACE)) // BINS for k in range(BINS)], np.uint64)
-    bound = np.searchsorted(keys, place[:, None] + cuts[None, :])
-    bound = np.concatenate([bound, np.append(bound[1:, 0], len(keys))[:, None]], 1)
-    n = bound[:, -1] - bound[:, 0]
-    hashes = np.concatenate([keys & np.uint64((1 << (64 - PLACE)) - 1), np.zeros(ENDS, np.uint64)])
-    bands, there, low, high = [], [], np.zeros(len(lines), np.int64), np.zeros(len(lines), np.int64)
-    for k in range(BINS):
-        lo, hi = bound[:, k], bound[:, k + 1]
-        m = hi - lo
-        for side, first in enumerate((lo, np.maximum(hi - ENDS, lo))):
-            h = np.full(len(lines), np.uint64(2 * k + side + 1))
-            for j in range(ENDS):
-                h = np.where(j < m, _mixed(h + hashes[first + j]), h)
-            bands.append(h.view(np.int64))
-            there.append(m > (ENDS if side else 0))
-        low |= np.where(m > 0, hashes[lo] & np.uint64(255), np.uint64(0)).astype(np.int64) << (8 * k)
-        high |= np.where(m > 0, hashes[hi - 1] & np.uint64(255), np.uint64(0)).astype(np.int64) << (8 * k)
-    return n, np.stack(bands, 1), np.stack(there, 1), low, high
+    def hashed(code: Column) -> Column:
+        at = F.sequence(F.lit(1), F.greatest(F.octet_length(code) - (4 * LENGTH - 1), F.lit(1)), F.lit(4))
+        return F.transform(at, lambda i: F.xxhash64(F.substring(code, i, F.lit(4 * LENGTH))))
 
-
-def line_hash(line: bytes) -> int:
-    h = xxhash.xxh3_64_intdigest(line)
-    return h - (1 << 64) if h >> 63 else h
-
-
-def lines_of(text: str | None):
-    """(line number from 1, line, its words with single spaces) for each line that has a word, in lower case."""
-    for no, x in enumerate((text or "").lower().split("\n"), 1):
-        line = x.encode("utf-8", "surrogatepass")
-        words = line.split()
-        if words:
-            yield no, line, b" ".join(words)
+    # four bytes a character, so that a position is found without reading what is before it; let() keeps them from being copied for each
+    return let(F.encode(line, "UTF-32"), hashed)
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, h, n, low, high, bands: one row a line that has a word; h stands for the line."""
-    names = ["doc_id", "line_no", "h", *LOOK, "bands"]
-
-    def some(ids, row: list, no: list, h: list, lines: list) -> pa.RecordBatch:
-        n, bands, there, low, high = signatures(lines)
-        ends = np.concatenate([[0], np.cumsum(there.sum(1))])
-        cols = [pa.array(x, pa.int64()) for x in (no, h, n, low, high)]
-        return pa.RecordBatch.from_arrays([ids.take(pa.array(row, pa.int64())), *cols, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bands[there]))], names=names)
-
-    def run(batches):
-        for b in batches:
-            for lo in range(0, b.num_rows, SLICE):
-                part = b.slice(lo, SLICE)
-                held, chars = ([], [], [], []), 0
-                for k, text in enumerate(part.column(1).to_pylist()):
-                    for no, line, words in lines_of(text):
-                        if held[0] and (chars + len(words) > CHARS or len(held[0]) == (1 << PLACE) - 1):
-                            yield some(part.column(0), *held)
-                            held, chars = ([], [], [], []), 0
-                        for x, v in zip(held, (k, no, line_hash(line), words), strict=True):
-                            x.append(v)
-                        chars += len(words)
-                if held[0]:
-                    yield some(part.column(0), *held)
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, line_no bigint, h bigint, n bigint, low bigint, high bigint, bands array<bigint>")
+    """doc_id, line_no, h, n, low, high, bands: one row a line that has a word.
+
+    n is the number of distinct shingles. Their hashes fall into BINS ranges; a range's ENDS smallest and ENDS largest are a band
+    each, those of a smaller one all together; NULL where there is none. low and high hold a byte of the smallest and of the largest
+    hash of each range (one-permutation MinHash).
+    """
+    hashes = F.sort_array(F.array_distinct(F.concat(shingles(spaced(F.col("line"))), F.array(*map(F.lit, _CUTS)))))
+    rows = lines_of(docs, "doc_id").select("doc_id", "line_no", "h", hashes.alias("s"))
+    # places from 1 of the cuts; the hashes of range k lie between p{k} and p{k + 1}
+    rows = rows.select("*", F.lit(0).alias("p0"), *[F.array_position("s", F.lit(c)).cast("int").alias(f"p{k}") for k, c in enumerate(_CUTS, 1)], (F.size("s") + 1).alias(f"p{BINS}"))
+    bands, low, high = [], F.lit(0).cast("bigint"), F.lit(0).cast("bigint")
+    for k in range(BINS):
+        lo, hi = F.col(f"p{k}"), F.col(f"p{k + 1}")
+        m = hi - lo - 1
+        byte = lambda at: F.shiftleft(F.when(m > 0, F.get("s", at).bitwiseAND(F.lit(255))).otherwise(F.lit(0).cast("bigint")), 8 * k)  # noqa: B023, E731
+        bands.append(F.when(m > 0, F.xxhash64(F.lit(k), F.lit(0), F.slice("s", lo + 1, F.least(m, F.lit(ENDS))))))
+        bands.append(F.when(m > ENDS, F.xxhash64(F.lit(k), F.lit(1), F.slice("s", hi - ENDS, ENDS))))
+        low, high = low.bitwiseOR(byte(lo)), high.bitwiseOR(byte(hi - 2))
+    # let() keeps this out of whole-stage code, which would be one method too long for the compiler
+    n = let(F.size("s") - len(_CUTS), lambda x: x.cast("bigint"))
+    return rows.select("doc_id", "line_no", "h", n.alias("n"), low.alias("low"), high.alias("high"), F.array(*bands).alias("bands"))
 
 
 def _likely(a: str, b: str) -> Column:
@@ -144,98 +80,55 @@ def _likely(a: str, b: str) -> Column:
     return (100 * n >= PERCENT * m) & (100 * m >= PERCENT * n) & (agree >= AGREE)
 
 
-def alike(first: list[bytes], second: list[bytes]) -> np.ndarray:
-    """Which pairs of lines have a Jaccard similarity of PERCENT or more over all their shingles."""
-    out = np.zeros(len(first), bool)
-    lo = 0
-    while lo < len(first):
-        hi, chars = lo, 0
-        while hi < len(first) and hi - lo < (1 << PLACE) - 1 and (hi == lo or chars + len(first[hi]) + len(second[hi]) <= CHARS):
-            chars += len(first[hi]) + len(second[hi])
-            hi += 1
-        a, b = shingle_keys(first[lo:hi]), shingle_keys(second[lo:hi])
-        count = lambda keys: np.bincount((keys >> _HASH).astype(np.int64), minlength=hi - lo)  # noqa: B023, E731
-        all_ = np.concatenate([a, b])
-        all_.sort()
-        both = count(all_[1:][all_[1:] == all_[:-1]])
-        out[lo:hi] = 100 * both >= PERCENT * (count(a) + count(b) - both)
-        lo = hi
-    return out
-
-
-def _texts(docs: DataFrame, distinct: DataFrame, wanted: DataFrame, work: Scratch, name: str) -> DataFrame:
+def _texts(docs: DataFrame, wanted: DataFrame, distinct: DataFrame, work: Scratch, name: str) -> DataFrame:
     """h, line: the words of the wanted lines, read again in the documents where they first stand. Only wanted lines are shuffled."""
     wanted = work.save(wanted, f"{name}-wanted")
     firsts = work.save(distinct.join(wanted, "h").select("doc_id").distinct(), f"{name}-firsts")
     near = mark(work, docs.select("doc_id", "text"), "doc_id", firsts, f"{name}-marks").where("_maybe").select("text")
-
-    def read(batches):
-        for b in batches:
-            for lo in range(0, b.num_rows, SLICE):
-                found = {line_hash(raw): words for text in b.column(0).slice(lo, SLICE).to_pylist() for _, raw, words in lines_of(text)}
-                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], names=["h", "line"])
-
-    lines = mark(work, near.mapInArrow(read, "h bigint, line binary"), "h", wanted, f"{name}-h-marks").where("_maybe").select("h", "line")
+    lines = mark(work, lines_of(near).select("h", "line"), "h", wanted, f"{name}-h-marks").where("_maybe").select("h", spaced(F.col("line")).alias("line"))
     texts = work.save(lines.join(wanted, "h", "left_semi").dropDuplicates(["h"]), f"{name}-texts")
     work.drop(f"{name}-wanted", f"{name}-firsts")
     return texts
 
 
-def _verified(docs: DataFrame, distinct: DataFrame, pairs: DataFrame, work: Scratch) -> DataFrame:
-    """The pairs (a, b) whose lines are alike by the full sets of their shingles."""
+def similar(a: Column, b: Column, na: Column, nb: Column) -> Column:
+    """Whether lines of na and nb distinct shingles have a Jaccard similarity of PERCENT or more over all of them."""
+    return (100 + PERCENT) * F.size(F.array_intersect(shingles(a), shingles(b))) >= PERCENT * (na + nb)
 
-    def verify(batches):
-        for b in batches:
-            ok = pa.array(alike(b.column(2).to_pylist(), b.column(3).to_pylist()))
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(ok), b.column(1).filter(ok)], names=["a", "b"])
 
-    texts = _texts(docs, distinct, pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct(), work, "ends")
+def _verified(docs: DataFrame, distinct: DataFrame, pairs: DataFrame, work: Scratch, name: str) -> DataFrame:
+    """The pairs (a, b, n_a, n_b) whose lines are alike by the full sets of their shingles, as (a, b)."""
+    texts = _texts(docs, pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct(), distinct, work, name)
     half = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("la")), "a")
     both = half.join(texts.select(F.col("h").alias("b"), F.col("line").alias("lb")), "b")
-    edges = work.save(both.select("a", "b", "la", "lb").mapInArrow(verify, "a bigint, b bigint"), "ends-edges")
-    work.drop("ends-texts")
+    edges = work.save(both.where(similar(F.col("la"), F.col("lb"), F.col("n_a"), F.col("n_b"))).select("a", "b"), f"{name}-edges")
+    work.drop(f"{name}-texts")
     return edges
 
 
-def _sets(lines: list[bytes]) -> list[np.ndarray]:
-    """Each line's shingles as rising hashes."""
-    out, lo = [], 0
-    while lo < len(lines):
-        hi, chars = lo + 1, len(lines[lo])
-        while hi < len(lines) and hi - lo < (1 << PLACE) - 1 and chars + len(lines[hi]) <= CHARS:
-            chars += len(lines[hi])
-            hi += 1
-        keys = shingle_keys(lines[lo:hi])
-        ends = np.searchsorted(keys, np.arange(1, hi - lo, dtype=np.uint64) << _HASH)
-        out += np.split(keys & np.uint64((1 << (64 - PLACE)) - 1), ends)
-        lo = hi
-    return out
-
-
-def _across(docs: DataFrame, distinct: DataFrame, met: DataFrame, joined: DataFrame, work: Scratch) -> DataFrame:
-    """Links (a, b) among the lines of a band that are not joined yet: all pairs are looked at, one link is given for those that it joins.
+def _across(met: DataFrame, looks: DataFrame, joined: DataFrame, work: Scratch) -> DataFrame:
+    """Pairs (a, b, n_a, n_b) of the lines of a band that are not joined yet and likely alike, all of them.
 
-    In bands of three lines or less the smallest and the largest have met all others. The rest are dealt out in pairs of blocks; in a block a bound from hashed rows of shingles decides which pairs are compared.
+    In bands of three lines or less the smallest and the largest have met all others. In the rest, those outside the band's
+    largest component are set against all that are not of their own; large bands are dealt out in pairs of blocks.
     """
-    at = met.join(joined.select(F.col("v").alias("h"), "c"), "h", "left").select("band", "h", F.coalesce("c", "h").alias("c"))
+    at = met.select("band", "h").join(joined.select(F.col("v").alias("h"), "c"), "h", "left").select("band", "h", F.coalesce("c", "h").alias("c"))
     at = work.save(at, "at")
-    open_ = work.save(at.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).where("lo != hi and m > 3").select("band", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb")), "open")
-    at = work.save(at.join(open_, "band"), "open-at")
-    texts = _texts(docs, distinct, at.select("h").distinct(), work, "rest")
-    rows = at.withColumn("blk", F.pmod(F.xxhash64("h"), F.col("nb")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    rows = rows.select("band", F.least("blk", "other").alias("bi"), F.greatest("blk", "other").alias("bj"), "blk", "h", "c").join(texts, "h")
-
-    def link(t: pa.Table) -> pa.Table | None:
-        h, c, blk, i, j = t["h"].to_numpy(), t["c"].to_numpy(), t["blk"].to_numpy(), t["bi"][0].as_py(), t["bj"][0].as_py()
-        first, second = np.flatnonzero(blk == i), np.flatnonzero(blk == j)
-        if len(h) < 2 or not len(first) or not len(second) or (c == c[0]).all():
-            return None
-        s = Sets(_sets(t["line"].to_pylist()), PERCENT, room=4)
-        s.join_equal(c)
-        found = s.links(first, second)
-        return pa.table({"a": h[[x for x, _ in found]], "b": h[[y for _, y in found]]}) if found else None
-
-    return work.save(by_group(rows, ["band", "bi", "bj"], link, "a bigint, b bigint"), "rest-edges")
+    parts = at.groupBy("band", "c").agg(F.count("*").alias("k"))
+    open_ = parts.groupBy("band").agg(F.count("*").alias("parts"), F.sum("k").alias("m"), F.max(F.struct("k", "c")).alias("most")).where("parts > 1 and m > 3")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    open_ = work.save(open_.select("band", F.col("most.c").alias("big"), blocks(F.col("m") - F.col("most.k")).alias("rows"), blocks(F.col("m")).alias("cols")), "open")
+    at = work.save(at.join(open_, "band").join(looks, "h"), "open-at")
+    own = lambda n: F.pmod(F.xxhash64("h"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    side = lambda df, end: df.select("band", "i", "j", F.col("h").alias(end), F.col("c").alias(f"c_{end}"), *[F.col(x).alias(f"{x}_{end}") for x in LOOK])
+    rest = side(at.where("c != big").withColumn("i", own("rows")).withColumn("j", every("cols")), "a")
+    all_ = side(at.withColumn("j", own("cols")).withColumn("i", every("rows")), "b").join(open_.select("band", "big"), "band")
+    # two lines outside the largest component meet twice
+    new = (F.col("c_a") != F.col("c_b")) & ((F.col("c_b") == F.col("big")) | (F.col("a") < F.col("b"))) & _likely("_a", "_b")
+    small = F.col("a") < F.col("b")
+    pairs = rest.join(all_, ["band", "i", "j"]).where(new)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(small, F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"), F.when(small, F.col("n_b")).otherwise(F.col("n_a")).alias("n_b")).distinct()
 
 
 def duplicate_lines(docs: DataFrame, work: Scratch) -> DataFrame:
@@ -249,17 +142,18 @@ def duplicate_lines(docs: DataFrame, work: Scratch) -> DataFrame:
     """
     lines = work.save(_signed(docs), "lines")
     distinct = work.save(lines.groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("times")), "distinct")
-    banded = lines.select("h", *LOOK, F.explode("bands").alias("band"))
+    banded = lines.select("h", *LOOK, F.explode("bands").alias("band")).where("band is not null")
     ends = work.save(banded.groupBy("band").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a != b"), "ends")
     met = mark(work, banded, "band", ends, "ends-marks").where("_maybe").drop("_maybe").dropDuplicates(["band", "h"]).join(ends, "band")
     met = work.save(met, "met")
     looks = work.save(met.select("h", *LOOK).dropDuplicates(["h"]), "looks")
     first = met.select("h", F.explode(F.array("a", "b")).alias("g")).where("h != g").select(F.least("h", "g").alias("a"), F.greatest("h", "g").alias("b")).distinct()
     of = lambda end: looks.select(F.col("h").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in LOOK])
-    pairs = work.save(first.join(of("a"), "a").join(of("b"), "b").where(_likely("_a", "_b")).select("a", "b"), "pairs")
-    edges = _verified(docs, distinct, pairs, work)
-    more = _across(docs, distinct, met, components(work, edges, "ends"), work)
-    work.drop("met", "looks", "at", "open", "open-at", "ends", "pairs")
+    pairs = work.save(first.join(of("a"), "a").join(of("b"), "b").where(_likely("_a", "_b")).select("a", "b", "n_a", "n_b"), "pairs")
+    edges = _verified(docs, distinct, pairs, work, "ends")
+    rest = work.save(_across(met, looks, components(work, edges, "ends"), work).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "rest")
+    more = _verified(docs, distinct, rest, work, "rest")
+    work.drop("met", "looks", "at", "open", "open-at", "ends", "pairs", "rest")
     joined = components(work, edges.union(more), "lines")
     named = distinct.select("h", "times").join(joined.select(F.col("v").alias("h"), "c"), "h", "left").where("c is not null or times > 1").select("h", F.coalesce("c", "h").alias("c"))
     cand = work.save(lines.select("doc_id", "line_no", "h").join(named, "h").select("doc_id", "line_no", "c"), "candidates")
@@ -295,3 +189,75 @@ def dedup_lines(docs: DataFrame, drop_emptied: bool = True) -> DataFrame:
         out = out.withColumn("n_chars", F.when(same, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     mine = [F.col(f"`{c}`") for c in docs.columns]
     return out.select(*mine).unionByName(marked.where(~F.col(flag)).select(*mine))
+
+
+# The same shingles in numpy, without Spark: the tests hold the operator's columns against them.
+
+#: Bits of a key that tell the line, and characters that are treated at one time (a longer line goes alone).
+PLACE, CHARS = 14, 1 << 20
+_FACTORS = np.random.default_rng(7).integers(1 << 62, 1 << 63, LENGTH + 1, dtype=np.uint64) | np.uint64(1)
+_HASH = np.uint64(64 - PLACE)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+def shingle_keys(lines: list[bytes]) -> np.ndarray:
+    """The distinct shingles of each line as rising keys: the line's place in its first PLACE bits, the shingle's hash in the others.
+
+    A shingle is LENGTH characters, one at every position; a shorter line is one shingle. Lines have no line ends and are
+    fewer than 2 ** PLACE.
+    """
+    code = np.frombuffer(b"\n".join([*lines, b""]).decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    end = np.flatnonzero(code == 10)
+    start = np.concatenate([[0], end[:-1] + 1])
+    size = end - start
+    code = np.concatenate([code, np.zeros(LENGTH, np.uint64)])
+    h = code[: -LENGTH] * _FACTORS[0]
+    for k in range(1, LENGTH):
+        h += code[k : len(h) + k] * _FACTORS[k]
+    for i in np.flatnonzero(size < LENGTH).tolist():
+        h[start[i]] = np.append(code[start[i] : end[i]] * _FACTORS[: size[i]], _FACTORS[-1:] * np.uint64(size[i])).sum()
+    many = np.maximum(size - (LENGTH - 1), 1)
+    line = np.repeat(np.arange(len(lines)), many)
+    at = np.arange(len(line)) + np.repeat(start - (np.cumsum(many) - many), many)
+    keys = line.astype(np.uint64) << _HASH | _mixed(h[at]) >> np.uint64(PLACE)
+    keys.sort()
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
+
+
+def alike(first: list[bytes], second: list[bytes]) -> np.ndarray:
+    """Which pairs of lines have a Jaccard similarity of PERCENT or more over all their shingles."""
+    out = np.zeros(len(first), bool)
+    lo = 0
+    while lo < len(first):
+        hi, chars = lo, 0
+        while hi < len(first) and hi - lo < (1 << PLACE) - 1 and (hi == lo or chars + len(first[hi]) + len(second[hi]) <= CHARS):
+            chars += len(first[hi]) + len(second[hi])
+            hi += 1
+        a, b = shingle_keys(first[lo:hi]), shingle_keys(second[lo:hi])
+        count = lambda keys: np.bincount((keys >> _HASH).astype(np.int64), minlength=hi - lo)  # noqa: B023, E731
+        all_ = np.concatenate([a, b])
+        all_.sort()
+        both = count(all_[1:][all_[1:] == all_[:-1]])
+        out[lo:hi] = 100 * both >= PERCENT * (count(a) + count(b) - both)
+        lo = hi
+    return out
+
+
+def _sets(lines: list[bytes]) -> list[np.ndarray]:
+    """Each line's shingles as rising hashes."""
+    out, lo = [], 0
+    while lo < len(lines):
+        hi, chars = lo + 1, len(lines[lo])
+        while hi < len(lines) and hi - lo < (1 << PLACE) - 1 and chars + len(lines[hi]) <= CHARS:
+            chars += len(lines[hi])
+            hi += 1
+        keys = shingle_keys(lines[lo:hi])
+        ends = np.searchsorted(keys, np.arange(1, hi - lo, dtype=np.uint64) << _HASH)
+        out += np.split(keys & np.uint64((1 << (64 - PLACE)) - 1), ends)
+        lo = hi
+    return out

@@ -2,7 +2,10 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from pageloom.llm import line_dedup
+from pageloom.llm.work import Scratch
 from tests.llm.brute import WORD, Union
 
 
@@ -88,3 +91,23 @@ def test_shingles_are_plain_ones():
     others = [x[:7] + "#" + x[8:] if i % 2 else lines[i - 1] for i, x in enumerate(lines)]
     want = [100 * len(plain(a) & plain(b)) >= 80 * len(plain(a) | plain(b)) for a, b in zip(lines, others, strict=True)]
     assert line_dedup.alike(data, [x.encode() for x in others]).tolist() == want
+
+
+def test_no_python_on_the_executors(spark, monkeypatch):
+    """DataFrame functions only: no plan of a step or of the result runs Python, and the columns agree with plain shingles."""
+    plans, save = [], Scratch.save
+
+    def kept_plan(self, df, name):
+        plans.append(df._jdf.queryExecution().toString())
+        return save(self, df, name)
+
+    monkeypatch.setattr(Scratch, "save", kept_plan)
+    rng = random.Random(6)
+    lines = [" ".join(words(rng, rng.randint(1, 30))) for _ in range(60)] + ["a", "abcd", "abcde", "ä𝔘ö", "日本語", "a  b\tC "]
+    lines += [x[:7] + "#" + x[8:] for x in lines]
+    out = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string").coalesce(1))
+    plans.append(out._jdf.queryExecution().toString())
+    assert len(plans) > 10 and not [p for p in plans if any(x in p for x in ("MapInArrow", "MapInPandas", "PythonUDF", "EvalPython"))]
+    n = F.size(F.array_distinct(line_dedup.shingles(line_dedup.spaced(F.lower("a"))))).alias("n")
+    got = [r.n for r in spark.createDataFrame([(x,) for x in lines], "a string").select(n).collect()]
+    assert got == [len(plain(x)) for x in lines]
