@@ -133,8 +133,8 @@ def robust_outliers(stats: DataFrame, groups: list[str], floors: dict[str, float
 
     Minimum covariance determinant by concentration steps: keep the share `h` of a cell's rows that lie nearest, take
     their mean and covariance, measure all rows anew. Several starts (medians and absolute deviations, then disjoint
-    random parts of the cell) take two steps each; the one of least determinant goes on until no determinant falls any more,
-    most_steps at most. The covariance is scaled for the share kept, and the squared floors are added to its diagonal, so
+    random parts of the cell) take two steps each; the one of least determinant goes on until the cell's determinant falls no more,
+    most_steps at most; only cells whose determinant still falls take a further step. The covariance is scaled for the share kept, and the squared floors are added to its diagonal, so
     that a statistic that is constant within a cell (its determinant would be 0) still gives finite distances. A cell is the
     row's `groups`; one under least_rows (five for each statistic, if not given), too few for an estimate, shares the cell of
     the first group, and if that is small too, one for all. Rows whose group is NULL form a cell of their own. Only sums and
@@ -166,12 +166,16 @@ def robust_outliers(stats: DataFrame, groups: list[str], floors: dict[str, float
         params = _concentrated(many, params, ["cell", "start"], xs, floors, scale, h, work, f"start{k}")
     best = params.groupBy("cell").agg(F.min_by("start", "log_det").alias("start"))
     params = work.save(params.join(best, ["cell", "start"]).drop("start"), "best")
+    settled = params.limit(0)
     for k in range(most_steps):
         nxt = _concentrated(only, params, ["cell"], xs, floors, scale, h, work, f"step{k}")
-        fell = nxt.join(params.select("cell", F.col("log_det").alias("_was")), "cell").agg(F.max(F.col("_was") - F.col("log_det"))).first()[0]
-        params = nxt
-        if fell is None or fell < 1e-3:
+        was = params.select("cell", F.col("log_det").alias("_was"))
+        nxt = work.save(nxt.join(was, "cell").withColumn("_falls", F.coalesce(F.col("_was") - F.col("log_det") >= 1e-3, F.lit(False))).drop("_was"), f"after{k}")
+        settled = settled.unionByName(nxt.where("not _falls").drop("_falls"))
+        params = nxt.where("_falls").drop("_falls")
+        if params.isEmpty():
             break
+    params = work.save(settled.unionByName(params), "settled")
     out = _with_distance(rows.join(params.drop("log_det"), "cell"), xs).drop(*factor[1:], *[f"y_{i}" for i in range(d)])
     return out.withColumn("cutoff", F.lit(chi2_quantile(level, d))).withColumn("outlier", F.col("d2") > F.col("cutoff"))
 

@@ -377,6 +377,32 @@ def test_plan_fills_windows():
     assert packing.best_fill({5: 1, 4: 2, 3: 3}, 10) == (10, {4: 1, 3: 2}) or packing.best_fill({5: 1, 4: 2, 3: 3}, 10)[0] == 10
 
 
+def test_settled_cells_take_no_further_step(spark, monkeypatch):
+    """One cell hardly varies and settles at once; the others go on without it."""
+    from pageloom.llm.work import Scratch
+
+    cells, step = [], quality_rules._concentrated
+
+    def watched(rows, params, keys, xs, floors, scale, h, work, name):
+        if name.startswith("step"):
+            cells.append({r.cell for r in params.select("cell").collect()})
+        return step(rows, params, keys, xs, floors, scale, h, work, name)
+
+    monkeypatch.setattr(quality_rules, "_concentrated", watched)
+    rng = np.random.default_rng(21)
+    rows = [(i, "flat", 1.0, 1.0) for i in range(60)]
+    for c in range(4):
+        x = rng.normal(size=(400, 2)) @ np.array([[1, 0.8], [0, 0.6]])
+        x[:90] += [2, -2]
+        rows += [(1000 * (c + 1) + i, f"c{c}", float(u), float(v)) for i, (u, v) in enumerate(x)]
+    df = spark.createDataFrame(rows, "doc_id bigint, lang string, u double, v double")
+    out = quality_rules.robust_outliers(df, ["lang"], {"u": 0.1, "v": 0.1}, Scratch(spark, "settled"), starts=1).collect()
+    assert sorted(r.doc_id for r in out) == sorted(r[0] for r in rows)
+    assert len(cells[0]) == 5 and len(cells) > 1
+    assert all(b < a or b == a and len(a) < 5 for a, b in zip(cells, cells[1:]))
+    assert not any("flat" in c for later in cells[1:] for c in later)
+
+
 def test_distances_are_those_of_plain_concentration(spark):
     """One start and one cell: medians and deviations, then concentration steps, by numpy."""
     from pageloom.llm.work import Scratch
