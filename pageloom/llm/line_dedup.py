@@ -20,6 +20,10 @@ AGREE = 5
 #: Bands with more lines than this are compared in pairs of blocks of about this size.
 BLOCK = 512
 LOOK = ["n", "low", "high"]
+#: The parity sketch of a line has so many words of 64 bits; a word takes the hashes of its share of their range.
+WORDS = 16
+SKETCH = [f"w{k}" for k in range(WORDS)]
+_SHARES = [-(1 << 63) + k * (1 << 64) // WORDS for k in range(1, WORDS)]
 
 
 def lines_of(docs: DataFrame, *keep: str) -> DataFrame:
@@ -80,6 +84,29 @@ def _likely(a: str, b: str) -> Column:
     return (100 * n >= PERCENT * m) & (100 * m >= PERCENT * n) & (agree >= AGREE)
 
 
+def _sketched(texts: DataFrame) -> DataFrame:
+    """h and the words of the line's parity sketch (odd sketch): each distinct shingle turns over the bit that its hash names."""
+    hashes = F.sort_array(F.array_distinct(F.concat(shingles(F.col("line")), F.array(*map(F.lit, _SHARES)))))
+    rows = texts.select("h", hashes.alias("s"))
+    # places from 1 of the shares' first values; the hashes of word k lie between p{k} and p{k + 1}
+    rows = rows.select("*", F.lit(0).alias("p0"), *[F.array_position("s", F.lit(c)).cast("int").alias(f"p{k}") for k, c in enumerate(_SHARES, 1)], (F.size("s") + 1).alias(f"p{WORDS}"))
+    part = lambda k: F.slice("s", F.col(f"p{k}") + 1, F.col(f"p{k + 1}") - F.col(f"p{k}") - 1)
+    turn = lambda word, x: word.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), x.bitwiseAND(F.lit(63)).cast("int")))
+    return rows.select("h", *[F.aggregate(part(k), F.lit(0).cast("bigint"), turn).alias(w) for k, w in enumerate(SKETCH)])
+
+
+def _near(a: str, b: str) -> Column:
+    """Whether the sketches of lines allow a similarity of PERCENT; never False where the lines have it.
+
+    The bits in which two sketches differ are at most as many as the shingles that only one of the lines has. In lines of
+    thousands of shingles bits are turned over so often that this tells less.
+    """
+    apart = F.lit(0)
+    for w in SKETCH:
+        apart = apart + F.bit_count(F.col(f"{w}{a}").bitwiseXOR(F.col(f"{w}{b}")))
+    return (100 + PERCENT) * apart <= (100 - PERCENT) * (F.col(f"n{a}") + F.col(f"n{b}"))
+
+
 def _texts(docs: DataFrame, wanted: DataFrame, distinct: DataFrame, work: Scratch, name: str) -> DataFrame:
     """h, line: the words of the wanted lines, read again in the documents where they first stand. Only wanted lines are shuffled."""
     wanted = work.save(wanted, f"{name}-wanted")
@@ -96,21 +123,20 @@ def similar(a: Column, b: Column, na: Column, nb: Column) -> Column:
     return (100 + PERCENT) * F.size(F.array_intersect(shingles(a), shingles(b))) >= PERCENT * (na + nb)
 
 
-def _verified(docs: DataFrame, distinct: DataFrame, pairs: DataFrame, work: Scratch, name: str) -> DataFrame:
-    """The pairs (a, b, n_a, n_b) whose lines are alike by the full sets of their shingles, as (a, b)."""
-    texts = _texts(docs, pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct(), distinct, work, name)
+def _verified(pairs: DataFrame, texts: DataFrame, work: Scratch, name: str) -> DataFrame:
+    """The pairs (a, b, n_a, n_b) whose lines are alike by the full sets of their shingles, as (a, b). texts holds their lines."""
     half = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("la")), "a")
     both = half.join(texts.select(F.col("h").alias("b"), F.col("line").alias("lb")), "b")
     edges = work.save(both.where(similar(F.col("la"), F.col("lb"), F.col("n_a"), F.col("n_b"))).select("a", "b"), f"{name}-edges")
-    work.drop(f"{name}-texts")
     return edges
 
 
-def _across(met: DataFrame, looks: DataFrame, joined: DataFrame, work: Scratch) -> DataFrame:
-    """Pairs (a, b, n_a, n_b) of the lines of a band that are not joined yet and likely alike, all of them.
+def _across(docs: DataFrame, distinct: DataFrame, met: DataFrame, looks: DataFrame, joined: DataFrame, work: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b, n_a, n_b) of the lines of a band that are not joined yet and likely alike, all of them, and the lines (h, line).
 
     In bands of three lines or less the smallest and the largest have met all others. In the rest, those outside the band's
-    largest component are set against all that are not of their own; large bands are dealt out in pairs of blocks.
+    largest component are set against all that are not of their own; large bands are dealt out in pairs of blocks. A pair comes
+    from the first of the bands that it shares, and only if the sketches of its lines allow the similarity.
     """
     at = met.select("band", "h").join(joined.select(F.col("v").alias("h"), "c"), "h", "left").select("band", "h", F.coalesce("c", "h").alias("c"))
     at = work.save(at, "at")
@@ -118,17 +144,22 @@ def _across(met: DataFrame, looks: DataFrame, joined: DataFrame, work: Scratch)
     open_ = parts.groupBy("band").agg(F.count("*").alias("parts"), F.sum("k").alias("m"), F.max(F.struct("k", "c")).alias("most")).where("parts > 1 and m > 3")
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     open_ = work.save(open_.select("band", F.col("most.c").alias("big"), blocks(F.col("m") - F.col("most.k")).alias("rows"), blocks(F.col("m")).alias("cols")), "open")
-    at = work.save(at.join(open_, "band").join(looks, "h"), "open-at")
+    at = work.save(at.join(open_, "band"), "open-at")
+    lines = work.save(at.groupBy("h").agg(F.collect_set("band").alias("bands")), "open-lines")
+    texts = _texts(docs, lines.select("h"), distinct, work, "open")
+    at = at.join(work.save(lines.join(looks, "h").join(_sketched(texts), "h"), "open-looks"), "h")
     own = lambda n: F.pmod(F.xxhash64("h"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    side = lambda df, end: df.select("band", "i", "j", F.col("h").alias(end), F.col("c").alias(f"c_{end}"), *[F.col(x).alias(f"{x}_{end}") for x in LOOK])
+    side = lambda df, end: df.select("band", "i", "j", F.col("h").alias(end), F.col("c").alias(f"c_{end}"), *[F.col(x).alias(f"{x}_{end}") for x in ("bands", *LOOK, *SKETCH)])
     rest = side(at.where("c != big").withColumn("i", own("rows")).withColumn("j", every("cols")), "a")
     all_ = side(at.withColumn("j", own("cols")).withColumn("i", every("rows")), "b").join(open_.select("band", "big"), "band")
     # two lines outside the largest component meet twice
-    new = (F.col("c_a") != F.col("c_b")) & ((F.col("c_b") == F.col("big")) | (F.col("a") < F.col("b"))) & _likely("_a", "_b")
+    new = (F.col("c_a") != F.col("c_b")) & ((F.col("c_b") == F.col("big")) | (F.col("a") < F.col("b"))) & _likely("_a", "_b") & _near("_a", "_b")
+    # lines of two components are met in every open band that they share
+    new = new & (F.col("band") == F.array_min(F.array_intersect("bands_a", "bands_b")))
     small = F.col("a") < F.col("b")
     pairs = rest.join(all_, ["band", "i", "j"]).where(new)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(small, F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"), F.when(small, F.col("n_b")).otherwise(F.col("n_a")).alias("n_b")).distinct()
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(small, F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"), F.when(small, F.col("n_b")).otherwise(F.col("n_a")).alias("n_b")), texts
 
 
 def duplicate_lines(docs: DataFrame, work: Scratch) -> DataFrame:
@@ -150,10 +181,13 @@ def duplicate_lines(docs: DataFrame, work: Scratch) -> DataFrame:
     first = met.select("h", F.explode(F.array("a", "b")).alias("g")).where("h != g").select(F.least("h", "g").alias("a"), F.greatest("h", "g").alias("b")).distinct()
     of = lambda end: looks.select(F.col("h").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in LOOK])
     pairs = work.save(first.join(of("a"), "a").join(of("b"), "b").where(_likely("_a", "_b")).select("a", "b", "n_a", "n_b"), "pairs")
-    edges = _verified(docs, distinct, pairs, work, "ends")
-    rest = work.save(_across(met, looks, components(work, edges, "ends"), work).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "rest")
-    more = _verified(docs, distinct, rest, work, "rest")
-    work.drop("met", "looks", "at", "open", "open-at", "ends", "pairs", "rest")
+    texts = _texts(docs, pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct(), distinct, work, "ends")
+    edges = _verified(pairs, texts, work, "ends")
+    work.drop("ends-texts")
+    rest, texts = _across(docs, distinct, met, looks, components(work, edges, "ends"), work)
+    rest = work.save(rest.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "rest")
+    more = _verified(rest, texts, work, "rest")
+    work.drop("met", "looks", "at", "open", "open-at", "open-lines", "open-looks", "open-texts", "ends", "pairs", "rest")
     joined = components(work, edges.union(more), "lines")
     named = distinct.select("h", "times").join(joined.select(F.col("v").alias("h"), "c"), "h", "left").where("c is not null or times > 1").select("h", F.coalesce("c", "h").alias("c"))
     cand = work.save(lines.select("doc_id", "line_no", "h").join(named, "h").select("doc_id", "line_no", "c"), "candidates")

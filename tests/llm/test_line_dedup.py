@@ -111,3 +111,51 @@ def test_no_python_on_the_executors(spark, monkeypatch):
     n = F.size(F.array_distinct(line_dedup.shingles(line_dedup.spaced(F.lower("a"))))).alias("n")
     got = [r.n for r in spark.createDataFrame([(x,) for x in lines], "a string").select(n).collect()]
     assert got == [len(plain(x)) for x in lines]
+
+
+def family(rng, near=150, far=60):
+    """Lines of one base: near ones are mostly joined; far ones are close to all and alike to few."""
+    base, lines = words(rng, 60), []
+    for k in range(near + far):
+        w = list(base)
+        for i in rng.sample(range(60), rng.randint(1, 2) if k < near else rng.randint(5, 6)):
+            w[i] = words(rng, 1)[0]
+        lines.append(" ".join(w))
+    rng.shuffle(lines)
+    return lines
+
+
+def test_a_crowded_band_is_not_verified_pair_by_pair(spark, monkeypatch):
+    pairs, save = [], Scratch.save
+
+    def counted(self, df, name):
+        out = save(self, df, name)
+        if name == "rest":
+            pairs.append(out.select("a", "b").count())
+            assert out.select("a", "b").distinct().count() == pairs[-1]
+        return out
+
+    monkeypatch.setattr(Scratch, "save", counted)
+    lines = family(random.Random(12))
+    want, got = kept(lines), run(spark, lines)
+    assert len(want) > 20 and want <= got
+    assert (len(lines) - len(got)) / (len(lines) - len(want)) >= 0.9
+    assert pairs and pairs[0] <= 8 * len(lines), pairs
+
+
+def test_sketches_refuse_no_like_lines(spark):
+    """Two sketches differ in no more bits than the lines in shingles, and in nearly as many where these are few."""
+    lines = [*family(random.Random(13), 30, 30), "a", "abcde", "日本語 𝔘", " ".join(words(random.Random(14), 1500))]
+    rows = line_dedup._sketched(spark.createDataFrame(list(enumerate(lines)), "h bigint, line string")).collect()
+    sketch = {r.h: [r[w] & (1 << 64) - 1 for w in line_dedup.SKETCH] for r in rows}
+    sets = [plain(x) for x in lines]
+    few = 0
+    for i in range(len(lines)):
+        for j in range(i):
+            bits = sum((x ^ y).bit_count() for x, y in zip(sketch[i], sketch[j], strict=True))
+            apart = len(sets[i] ^ sets[j])
+            assert bits <= apart and (apart - bits) % 2 == 0
+            if apart < 100:
+                few += 1
+                assert bits >= 0.75 * apart
+    assert few > 400
