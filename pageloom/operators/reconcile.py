@@ -9,13 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pageloom.functions.text import collapse, comparison_key, covered, parse_reference, plain_words
+from pageloom.functions.text import collapse, comparison_key, covered, parse_reference, plain_words, word_match
 from pageloom.operators.nesting import nested
 
 #: Types of pages that belong to the text block, and leaves that contradict them.
 BLOCK_TYPES = ["titlePage", "tableOfContents", "preface", "introduction", "normalPage", "impressum", "colophon", "imprimatur", "dedication", "errata", "appendix", "bibliography", "afterword", "conclusion", "index", "listOfIllustrations", "listOfMaps", "listOfTables"]
 CONFLICTING = ["plate", "binding"]
 SINGLE_VALUED = ["title", "subtitle", "part_name", "part_number", "edition", "publication_date"]
+#: Lengths of the beginnings by which words meet, and how many sets of words that share a word one key holds.
+KEY_LENGTHS, BLOCK = [*range(1, 65), *[2**k for k in range(7, 31)]], 4096
 
 
 def _by(*keys: str):
@@ -90,30 +92,81 @@ def settle_leaves(scans: DataFrame) -> tuple[DataFrame, DataFrame]:
     return clean, conflicts
 
 
-def _beginning(word: Column) -> Column:
-    return F.left(word, F.lit(1))
+def _stem_length(word: Column) -> Column:
+    """So many letters must another word share that is at least as long as this one, if they are to match."""
+    n = F.length(word)
+    return F.when(n <= 2, n).otherwise(F.greatest(F.lit(3), n - 2))
+
+
+def _stem(word: Column) -> Column:
+    """The longest key of a word within its stem: keys have any length up to 64 letters, then powers of two."""
+    n = _stem_length(word)
+    return F.left(word, F.when(n <= KEY_LENGTHS[63], n).otherwise(F.array_max(F.filter(_key_lengths(), lambda x: x <= n))))
+
+
+def _key_lengths() -> Column:
+    return F.array(*[F.lit(x) for x in KEY_LENGTHS])
+
+
+def _word_pairs(short: DataFrame, s: str, long: DataFrame, w: str) -> DataFrame:
+    """Words of both tables (book_id, field, word) in which the first, not longer than the second, may begin it."""
+    a = short.withColumn("stem", _stem(F.col(s)))
+    # the second is met by those of its beginnings that have the length of a stem: a few numbers, whatever the rows
+    lengths = a.agg(F.collect_set(F.length("stem")).alias("lengths"))
+    b = long.crossJoin(F.broadcast(lengths)).withColumn("stem", F.explode(F.transform(F.filter("lengths", lambda n: n <= F.length(_stem(F.col(w)))), lambda n: F.left(F.col(w), n)))).drop("lengths")
+    return a.join(b, ["book_id", "field", "stem"]).drop("stem")
+
+
+def covering(wanted: DataFrame, seen: DataFrame) -> DataFrame:
+    """book_id, field, words, o_words: the sets of words of a field, and those seen in it that cover them.
+
+    wanted: book_id, field, words; seen: book_id, field, o_words, both distinct. Words that match are found by equal
+    stems, once for all sets that have them. A set then meets only those that match its rarest word, of which blocks go
+    to different tasks; whether they cover all its words is decided on them.
+    """
+    w = wanted.select("book_id", "field", F.explode("words").alias("w")).distinct()
+    postings = seen.select("book_id", "field", "o_words", F.explode("o_words").alias("v"))
+    v = postings.groupBy("book_id", "field", "v").agg(F.count("*").alias("n"))
+    nearer = _word_pairs(w, "w", v, "v").where(F.length("w") <= F.length("v")).select("book_id", "field", "w", "v", "n")
+    farther = _word_pairs(v, "v", w, "w").where(F.length("v") < F.length("w")).select("book_id", "field", "w", "v", "n")
+    match = nearer.unionByName(farther).where(word_match(F.col("w"), F.col("v")))
+    met = match.groupBy("book_id", "field", "w").agg(F.sum("n").alias("met"))
+    each = wanted.select("book_id", "field", "words", F.explode("words").alias("w")).join(met, ["book_id", "field", "w"])
+    rarest = each.groupBy("book_id", "field", "words").agg(F.count("*").alias("matched"), F.min(F.struct("met", "w"))["w"].alias("w")).where(F.col("matched") == F.size("words"))
+    blocks = F.ceil(F.col("n") / BLOCK)
+    ask = rarest.join(match, ["book_id", "field", "w"]).select("book_id", "field", "words", "v", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("block"))
+    held = postings.join(v, ["book_id", "field", "v"]).select("book_id", "field", "v", "o_words", F.pmod(F.xxhash64("o_words"), blocks).alias("block"))
+    return ask.join(held, ["book_id", "field", "v", "block"]).where(covered(F.col("words"), F.col("o_words"))).select("book_id", "field", "words", "o_words").distinct()
 
 
 def ground_values(observed: DataFrame, proposed: DataFrame) -> DataFrame:
-    """Each proposed bibliographic value with the scans that show it, how (exact, similar, covered), and its fate.
+    """Each proposed bibliographic value with the scans that show it (and their number), how (exact, similar, covered), and its fate.
 
     observed: book_id, scan_index, ord, scan_id, field, value. proposed: book_id, pos, field, value, notes. Exact: the same
     text in the same field. Similar: the same comparison form in any field. Covered: all its words, up to initials and
-    endings, in one candidate of the field. All three are equi-joins; the last, by the first letter of a word, is filtered by words.
+    endings, in one candidate of the field. Each different text, form and set of words is looked up once, however many
+    rows have it, and its scans are listed once; rows without use for the list take their number alone.
     """
-    o = observed.withColumns({"o_text": collapse(F.col("value")), "o_key": comparison_key(F.col("value")), "o_words": plain_words(F.col("value"))}).withColumnRenamed("field", "o_field").drop("value")
-    p = proposed.withColumns({"text": collapse(F.col("value")), "key": comparison_key(F.col("value")), "words": plain_words(F.col("value"))})
-    cols = ["book_id", "pos", "way", "scan_index", "ord", "scan_id"]
-    exact = p.join(o, (p["book_id"] == o["book_id"]) & (p["field"] == o["o_field"]) & (p["text"] == o["o_text"])).select(p["book_id"], "pos", F.lit(1).alias("way"), "scan_index", "ord", "scan_id")
-    similar = p.join(o, (p["book_id"] == o["book_id"]) & (p["key"] == o["o_key"])).select(p["book_id"], "pos", F.lit(2).alias("way"), "scan_index", "ord", "scan_id")
-    # words match only if they begin alike: candidates are met by the first letter of the proposal's longest word
-    longest = F.element_at(F.array_sort(F.col("words"), lambda x, y: F.length(x) - F.length(y)), -1)
-    met = o.select("book_id", "o_field", "o_words", "scan_index", "ord", "scan_id", F.explode(F.array_distinct(F.transform("o_words", _beginning))).alias("o_begin"))
-    long = p.where(F.size("words") > 0).withColumn("begin", _beginning(longest))
-    near = long.join(met, (long["book_id"] == met["book_id"]) & (long["field"] == met["o_field"]) & (long["begin"] == met["o_begin"])).where(covered(F.col("words"), F.col("o_words"))).select(long["book_id"], "pos", F.lit(3).alias("way"), "scan_index", "ord", "scan_id")
-    hits = exact.unionByName(similar).unionByName(near).select(*cols)
-    sources = hits.groupBy("book_id", "pos").agg(F.array_distinct(F.transform(F.sort_array(F.collect_list(F.struct("way", "scan_index", "ord", "scan_id"))), lambda x: x["scan_id"])).alias("sources"), F.min("way").alias("way"))
-    d = p.join(sources, ["book_id", "pos"], "left")
+    word_set = lambda c: F.array_sort(F.array_distinct(plain_words(F.col(c))))
+    scan = F.struct("scan_index", "ord", "scan_id")
+    # nothing equals an unknown book or value; with the same filter everywhere the branches share their exchanges
+    known = F.col("book_id").isNotNull() & F.col("value").isNotNull()
+    o = observed.where(known).groupBy("book_id", "field", "value").agg(F.collect_list(scan).alias("at"))
+    p = proposed.where(known).select("book_id", "field", "value").distinct()
+    listed = F.flatten(F.collect_list("at"))
+    exact = o.groupBy("book_id", "field", collapse(F.col("value")).alias("text")).agg(F.count("*").alias("n_1"), listed.alias("at_1"))
+    similar = o.groupBy("book_id", comparison_key(F.col("value")).alias("key")).agg(F.count("*").alias("n_2"), listed.alias("at_2"))
+    by_words = o.withColumn("o_words", word_set("value")).groupBy("book_id", "field", "o_words").agg(listed.alias("at"))
+    forms = p.withColumns({"text": collapse(F.col("value")), "key": comparison_key(F.col("value")), "words": word_set("value")})
+    some = lambda c: F.size(c) > 0
+    pairs = covering(forms.where(some("words")).select("book_id", "field", "words").distinct(), by_words.where(some("o_words")).select("book_id", "field", "o_words"))
+    near = pairs.join(by_words, ["book_id", "field", "o_words"]).groupBy("book_id", "field", "words").agg(F.count("*").alias("n_3"), listed.alias("at_3"))
+    forms = forms.join(exact, ["book_id", "field", "text"], "left").join(similar, ["book_id", "key"], "left").join(near, ["book_id", "field", "words"], "left")
+    way = F.when(F.col("n_1") > 0, 1).when(F.col("n_2") > 0, 2).when(F.col("n_3") > 0, 3)
+    scans = lambda c: F.coalesce(F.transform(F.array_sort(c), lambda x: x["scan_id"]), F.array().cast("array<string>"))
+    sources = F.when(way.isNotNull(), F.array_distinct(F.concat(scans("at_1"), scans("at_2"), scans("at_3"))))
+    forms = forms.select(F.col("book_id").alias("f_book"), F.col("field").alias("f_field"), F.col("value").alias("f_value"), "key", way.alias("way"), sources.alias("sources"), F.size(sources).alias("n_sources"))
+    d = proposed.join(forms, proposed["book_id"].eqNullSafe(forms["f_book"]) & proposed["field"].eqNullSafe(forms["f_field"]) & proposed["value"].eqNullSafe(forms["f_value"]), "left")
     grounded = F.col("way").isNotNull()
     nth_field = F.row_number().over(_by("book_id", "field", "_g").orderBy("pos"))
     nth_key = F.row_number().over(_by("book_id", "field", "_g", "key").orderBy("pos"))
@@ -123,7 +176,7 @@ def ground_values(observed: DataFrame, proposed: DataFrame) -> DataFrame:
     place = F.sum(F.when(F.col("fate") == "kept", 1).otherwise(0)).over(_by("book_id", "field").orderBy("pos")) - 1
     d = d.withColumn("fate", fate).withColumn("place", F.when((F.col("fate") == "kept") & ~single, place))
     origin = F.when(F.col("fate") == "kept", F.when(F.col("way") == 1, "observed").otherwise("inferred"))
-    return d.select("book_id", "pos", "field", "value", "notes", "fate", origin.alias("origin"), "place", "sources")
+    return d.select("book_id", "pos", "field", "value", "notes", "fate", origin.alias("origin"), "place", "sources", "n_sources")
 
 
 def bibliography_changes(grounded: DataFrame, observed: DataFrame) -> DataFrame:
