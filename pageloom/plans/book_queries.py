@@ -139,10 +139,10 @@ def q_leaf_conflicts(spark, sf_dir):
 def q_grounding_fuzzy(spark, sf_dir):
     """First words of documents proposed as values, grounded in those of their own source; word rules have no SQL form."""
     d = table(spark, sf_dir, "documents").where("text is not null")
-    words = F.split("text", " ")
+    words = F.split("text", " ", 4)
     obs = d.select(F.col("source").alias("book_id"), F.col("doc_id").alias("scan_index"), F.lit(0).alias("ord"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("scan_id"), F.when(F.col("doc_id") % 3 == 0, "title").otherwise("author").alias("field"), F.array_join(F.slice(words, 1, 3), " ").alias("value"))
     prop = obs.select("book_id", F.col("scan_index").alias("pos"), "field", F.upper("value").alias("value"), F.lit(None).cast("string").alias("notes"))
-    return reconcile.ground_values(obs, prop).select("book_id", "pos", "field", "fate", "origin", F.size("sources").alias("n"))
+    return reconcile.ground_values(obs, prop).select("book_id", "pos", "field", "fate", "origin", F.col("n_sources").alias("n"))
 
 
 # --- evaluation: labels are the gold, rules on documents the systems ---
