@@ -75,12 +75,8 @@ SELECT book_id, CAST(k AS BIGINT) AS k, CAST(CASE WHEN nv IS NULL THEN pv + onn
   WHEN rule = 'fill' AND missing > 0 THEN pv + onn END AS BIGINT) AS value
 FROM sv WHERE NOT coalesce(rule = 'fill' AND missing BETWEEN 1 AND free - 1, false)""")
 def q_counted_pages(spark, sf_dir):
-    s = scans(spark, sf_dir)
-    paged = P.pages(s)
-    g = P.gaps(paged, P.anchors(paged)).where("rule = 'fill' and missing between 1 and free - 1").select("book_id", "a_k", "b_k")
-    d = P.number_pages(s).where(F.col("kind").isin("counted", "lettered", "free")).select("book_id", F.col("k"), "value")
-    hard = (d["book_id"] == g["book_id"]) & (d["k"] > g["a_k"]) & (d["k"] < g["b_k"])
-    return d.join(g, hard, "left_anti").select("book_id", F.col("k").cast("bigint").alias("k"), F.col("value").cast("bigint").alias("value"))
+    d = P.number_pages(scans(spark, sf_dir)).where(F.col("kind").isin("counted", "lettered", "free") & ~F.col("chosen"))
+    return d.select("book_id", F.col("k").cast("bigint").alias("k"), F.col("value").cast("bigint").alias("value"))
 
 
 @query(None)
